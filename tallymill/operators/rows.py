@@ -18,22 +18,27 @@ def open_range(column: Column, low, high) -> Column:
     return (column > low) & (column < high)
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key: the smallest by all remaining columns, nulls first.
+def _top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of each key in the given order.
 
     `row_number() = 1` lets Spark keep one row per key in every map task before the shuffle
-    (WindowGroupLimit), so a key that holds much of the data sends one row per task.
+    (WindowGroupLimit), so a key that holds much of the data sends one row per task. Sorting by a
+    64-bit hash of the key first settles nearly every comparison on the sort prefix.
     """
-    rest = [F.col(c).asc_nulls_first() for c in df.columns if c not in keys]
-    order = Window.partitionBy(*keys).orderBy(*(rest or [F.lit(0)]))
-    return df.withColumn("_rn", F.row_number().over(order)).where("_rn = 1").drop("_rn")
+    window = Window.partitionBy("_kh", *keys).orderBy(*(order or [F.lit(0)]))
+    hashed = df.withColumn("_kh", F.xxhash64(*keys))
+    return hashed.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn", "_kh")
+
+
+def first_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the smallest by all remaining columns, nulls first."""
+    return _top_per_key(df, keys, [F.col(c).asc_nulls_first() for c in df.columns if c not in keys])
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
     """The row with the highest version per key, ties broken by the remaining columns."""
     rest = [F.col(c).desc_nulls_last() for c in df.columns if c not in keys and c != version]
-    order = Window.partitionBy(*keys).orderBy(F.col(version).desc_nulls_last(), *rest)
-    return df.withColumn("_rn", F.row_number().over(order)).where("_rn = 1").drop("_rn")
+    return _top_per_key(df, keys, [F.col(version).desc_nulls_last(), *rest])
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

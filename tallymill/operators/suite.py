@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymill.functions.keys import surrogate_key
@@ -102,32 +103,52 @@ def run_log(report_df: DataFrame, batch_id: int, run_time: str) -> DataFrame:
     )
 
 
-def flag(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Every row with the names of the checks it fails, in config order, in `failed_checks`."""
-    flagged, tests = df, {}
+def _tested(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, list[Column]]:
+    """Rows with what the tests need, and one violation expression per check."""
+    rows, tests = df, {}
     for i, check in _unique_checks(checks):
         counts = df.groupBy(check.column).agg(F.count("*").alias(f"_n{i}")).where(f"_n{i} > 1")
-        flagged = attach_counts(flagged, counts, check.column, f"_n{i}")
+        rows = attach_counts(rows, counts, check.column, f"_n{i}")
         tests[i] = F.col(check.column).isNotNull() & F.coalesce(F.col(f"_n{i}") > 1, F.lit(False))
     for i, check in _row_checks(checks):
         tests[i] = violation(check)
-    names = [F.when(tests[i], F.lit(c.name)) for i, c in enumerate(checks)]
-    failed = F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
-    return flagged.select(*[F.col(f"`{c}`") for c in df.columns], failed.alias(FAILED))
+    return rows, [tests[i] for i in range(len(checks))]
 
 
-def violations(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """One row per row and failed check."""
-    return flag(df, checks).withColumn("check_name", F.explode(FAILED)).drop(FAILED)
+def _any(tests: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
+
 
+def _failed(checks: Sequence[Check], tests: Sequence[Column]) -> Column:
+    names = [F.when(test, F.lit(c.name)) for c, test in zip(checks, tests)]
+    return F.array_compact(F.array(*names).cast("array<string>")).alias(FAILED)
 
-def clean(flagged: DataFrame) -> DataFrame:
+
+def _own(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
+def flag(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Every row with the names of the checks it fails, in config order, in `failed_checks`."""
+    rows, tests = _tested(df, checks)
+    return rows.select(*_own(df), _failed(checks, tests))
+
+
+def clean(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Rows that fail nothing; copies stay."""
-    return flagged.where(F.size(FAILED) == 0).drop(FAILED)
+    rows, tests = _tested(df, checks)
+    return rows.where(~_any(tests)).select(*_own(df))
+
 
+def quarantine(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Rows that fail something, with `failed_checks`. The names are only worked out for these rows."""
+    rows, tests = _tested(df, checks)
+    return rows.where(_any(tests)).select(*_own(df), _failed(checks, tests))
 
-def quarantine(flagged: DataFrame) -> DataFrame:
-    return flagged.where(F.size(FAILED) > 0)
+
+def violations(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row per row and failed check."""
+    return quarantine(df, checks).withColumn("check_name", F.explode(FAILED)).drop(FAILED)
 
 
 def violating_all(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
@@ -136,13 +157,11 @@ def violating_all(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         suite_counts(df, checks).where(~F.col("success")).agg(F.collect_list("check_name").alias("names")).scalar()
     )
     fails_all = (F.size(failing) > 0) & (F.size(F.array_except(failing, F.col(FAILED))) == 0)
-    return flag(df, checks).where(fails_all).drop(FAILED)
+    return quarantine(df, checks).where(fails_all).drop(FAILED)
 
 
 def samples(df: DataFrame, checks: Sequence[Check], k: int = 20) -> DataFrame:
     """Up to k distinct failing values per check, the most frequent first."""
-    from pyspark.sql import Window
-
     value = F.lit(None).cast("string")
     for check in reversed(list(checks)):
         value = F.when(F.col("check_name") == check.name, F.col(check.column).cast("string")).otherwise(value)
@@ -160,17 +179,16 @@ def by_dimension(report_df: DataFrame) -> DataFrame:
     )
 
 
-def audit_rows(flagged: DataFrame, topic: str, batch_id: int) -> DataFrame:
+def audit_rows(quarantined: DataFrame, topic: str, batch_id: int) -> DataFrame:
     """Quarantined rows for the audit table: content key, number of copies, topic and batch.
 
     Copies of one row are counted rather than numbered, so a large group of copies combines on the
     map side and none of them is lost.
     """
-    data = [c for c in flagged.columns if c != FAILED]
+    data = [c for c in quarantined.columns if c != FAILED]
     failed = F.concat_ws(",", FAILED).alias(FAILED)
     return (
-        quarantine(flagged)
-        .groupBy(*[F.col(c) for c in data], failed)
+        quarantined.groupBy(*[F.col(c) for c in data], failed)
         .agg(F.count("*").alias("n_copies"))
         .withColumns(
             {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallymill.operators.checks import Check
 
@@ -54,9 +55,7 @@ CATALOGUE = [
 
 
 def catalogue(spark: SparkSession) -> DataFrame:
-    rows = [(key, rule, kind, "I", risk, "A", action) for key, rule, kind, risk, action in CATALOGUE]
-    return spark.createDataFrame(
-        rows,
-        "rule_key int, rule_name string, rule_type string, rule_category string, risk_level string, "
-        "status string, action string",
-    )
+    names = ("rule_key", "rule_name", "rule_type", "rule_category", "risk_level", "status", "action")
+    rules = [(key, rule, kind, "I", risk, "A", action) for key, rule, kind, risk, action in CATALOGUE]
+    rows = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, rule)]) for rule in rules]
+    return spark.range(1).select(F.inline(F.array(*rows)))

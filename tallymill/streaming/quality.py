@@ -42,7 +42,7 @@ def land_checked(
         stored = batch.sparkSession.read.schema(flagged.schema).parquet(stored_at)
         report = suite.report_rows(counts_from_flags(stored, checks), checks)
         write_batch(suite.run_log(report, batch_id, run_time).drop("batch_id"), f"{out}/report", batch_id)
-        audit = suite.audit_rows(stored, topic, batch_id)
+        audit = suite.audit_rows(stored.where(F.size(suite.FAILED) > 0), topic, batch_id)
         write_batch(audit.drop("batch_id", "topic"), f"{out}/audit/topic={topic}", batch_id)
 
     each_batch(rows, handle, checkpoint)

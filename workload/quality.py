@@ -64,7 +64,7 @@ def one_check(index):
     def run(spark, sf):
         check = COUNT_CHECKS[index]
         raw = raw_stream(table(spark, sf, "lineitem"), "l_orderkey", "l_linenumber")
-        return suite.quarantine(suite.flag(raw, [check])).select(
+        return suite.quarantine(raw, [check]).select(
             "l_orderkey", "l_linenumber", F.col(check.column).alias("value")
         )
 
@@ -158,7 +158,7 @@ def dq_violations_all(spark, sf):
 
 @query("dq_clean", f"WITH {FLAGGED} SELECT {STREAM_COLUMNS} FROM flagged WHERE len(failed) = 0")
 def dq_clean(spark, sf):
-    return suite.clean(suite.flag(raw_counts(spark, sf), COUNT_CHECKS))
+    return suite.clean(raw_counts(spark, sf), COUNT_CHECKS)
 
 
 @query(
@@ -167,7 +167,7 @@ def dq_clean(spark, sf):
     WHERE len(failed) > 0""",
 )
 def dq_quarantine(spark, sf):
-    held = suite.quarantine(suite.flag(raw_counts(spark, sf), COUNT_CHECKS))
+    held = suite.quarantine(raw_counts(spark, sf), COUNT_CHECKS)
     return held.withColumn(suite.FAILED, F.concat_ws(",", suite.FAILED))
 
 
@@ -183,7 +183,7 @@ KEY_TEXT = " || '-' || ".join(
     WHERE len(failed) > 0 GROUP BY ALL""",
 )
 def dq_audit(spark, sf):
-    return suite.audit_rows(suite.flag(raw_counts(spark, sf), COUNT_CHECKS), "Central", 1)
+    return suite.audit_rows(suite.quarantine(raw_counts(spark, sf), COUNT_CHECKS), "Central", 1)
 
 
 VALUE_CASE = "CASE check_name " + " ".join(f"""WHEN '{c.name}' THEN "{c.column}" """ for c in COUNT_CHECKS) + " END"
