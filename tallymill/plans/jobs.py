@@ -13,6 +13,8 @@ from tallymill.operators.rows import distinct_rows, lower_names, open_range
 from tallymill.plans import marts, staging
 from tallymill.sources.files import read_counts
 from tallymill.sources.tables import Models, overwrite_and_read
+from tallymill.sources.topics import as_messages, parse_payload, replay_topics
+from tallymill.streaming.land import land
 
 
 def clean_counts(raw: DataFrame) -> DataFrame:
@@ -89,3 +91,20 @@ def warehouse(spark: SparkSession, raw_by_source: DataFrame, locations: DataFram
         "table",
     )
     return models
+
+
+def ingest(
+    picked: DataFrame, rows: DataFrame, fields: list[str], schema: T.StructType, topic: str, out: str
+) -> DataFrame:
+    """Rows of the picked files go to a topic as JSON messages, and from there to a landing table.
+
+    `rows` carries `file_name`. The topic is a folder of messages here; with a broker, publish to it
+    and read it with `read_topics` instead.
+    """
+    spark = rows.sparkSession
+    wanted = rows.join(picked.select(F.col("name").alias("file_name")), "file_name", "left_semi")
+    as_messages(wanted, F.lit(topic), fields).write.mode("overwrite").parquet(f"{out}/topic")
+    message = T.StructType([T.StructField("topic", T.StringType()), T.StructField("value", T.StringType())])
+    arriving = replay_topics(spark, f"{out}/topic", message, "parquet")
+    land(parse_payload(arriving, schema), f"{out}/landed", f"{out}/checkpoint")
+    return spark.read.schema(schema).parquet(f"{out}/landed")
