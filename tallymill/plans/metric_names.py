@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -86,19 +86,41 @@ MAPPINGS = [
 ]
 
 
-def mapped(raw: Column, mappings: Sequence[NameMapping] = MAPPINGS) -> Column:
-    """struct(metric, metric_type, labels) of the first pattern that matches; null when none does."""
-    out = F.lit(None)
-    for m in reversed(list(mappings)):
-        labels = F.create_map(
-            *[x for label, group in m.labels.items() for x in (F.lit(label), F.regexp_extract(raw, m.pattern, group))]
+def map_names(names: DataFrame, column: str, mappings: Sequence[NameMapping] = MAPPINGS) -> DataFrame:
+    """(column, metric, metric_type, labels) of the first pattern each name matches; other names go."""
+    raw = F.col(column)
+    rules = F.array(
+        *[
+            F.struct(
+                F.lit(m.name).alias("metric"),
+                F.lit(m.metric_type).alias("metric_type"),
+                F.lit(m.pattern).alias("pattern"),
+                F.array(*[F.lit(label) for label in m.labels]).alias("names"),
+                F.array(*[F.lit(group) for group in m.labels.values()]).alias("groups"),
+            )
+            for m in mappings
+        ]
+    )
+    first = F.get(F.filter(rules, lambda r: F.rlike(raw, r["pattern"])), F.lit(0))
+    rule = F.col("_rule")
+    parts = F.transform(rule["groups"], lambda group: F.call_function("regexp_extract", raw, rule["pattern"], group))
+    return (
+        names.select(raw, first.alias("_rule"))
+        .where("_rule IS NOT NULL")
+        .select(
+            raw,
+            rule["metric"].alias("metric"),
+            rule["metric_type"].alias("metric_type"),
+            F.map_from_arrays(rule["names"], parts).alias("labels"),
         )
-        found = F.struct(F.lit(m.name).alias("metric"), F.lit(m.metric_type).alias("metric_type"), labels.alias("labels"))
-        out = F.when(raw.rlike(m.pattern), found).otherwise(out)
-    return out
+    )
 
 
 def map_metrics(raw: DataFrame, column: str, mappings: Sequence[NameMapping] = MAPPINGS) -> DataFrame:
-    """Samples with `metric`, `metric_type` and `labels` in place of the flat name; unmatched names go."""
-    out = raw.withColumn("_m", mapped(F.col(column), mappings)).where("_m IS NOT NULL")
-    return out.select("_m.*", *[c for c in raw.columns if c != column])
+    """Samples with `metric`, `metric_type` and `labels` in place of the flat name; unmatched names go.
+
+    The patterns run once per distinct name, not once per sample.
+    """
+    known = map_names(raw.select(column).distinct(), column, mappings)
+    rest = [c for c in raw.columns if c != column]
+    return raw.join(known, column).select("metric", "metric_type", "labels", *rest)

@@ -2,52 +2,72 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from tallymill.operators.timeseries import seconds
+from tallymill.streaming.land import each_batch, write_batch
 
-def notify_stream(
-    firing: DataFrame, by: Sequence[str], interval: int, repeat: int, delay: str, wait: int = 0
+
+def advance(
+    firing: DataFrame, state: DataFrame, by: Sequence[str], interval: int, repeat: int, wait: int = 0
 ) -> DataFrame:
-    """Streaming counterpart of `timeseries.notifications`: (by..., since, sent_at, n_alerts).
+    """One step of the stream: a row per group and interval, with `since`, and `due` where one is sent.
 
-    `firing` has `by`, and `ts` without a zone. Alerts are counted per group and interval first,
-    which combines on the map side, so the state function sees one row per group and interval. The
-    state of a group is two numbers: the start of its run and its last interval. Intervals close
-    once the watermark (`delay`) has passed them, so they reach the state function in order.
+    `state` has one row per group: the last interval seen and the start of its run. The state row
+    joins the new intervals as their predecessor, so a run goes on across batches. Intervals up to
+    the one already seen are late and go. Alerts are counted before the windows run, so a group
+    holds one row per interval.
     """
     every = -(-repeat // interval) * interval
-    stamped = firing.withColumn("_ts", F.col("ts").cast("timestamp"))
-    counted = (
-        stamped.withWatermark("_ts", delay)
-        .groupBy(*by, F.window("_ts", f"{interval} seconds").alias("w"))
-        .agg(F.count("*").alias("n_alerts"))
-        .select(*by, F.unix_seconds("w.start").alias("tick"), "n_alerts", F.window_time("w").alias("_ts"))
+    secs = seconds(F.col("ts"))
+    counted = firing.groupBy(*by, (secs - F.pmod(secs, F.lit(interval))).alias("tick")).agg(
+        F.count("*").alias("n_alerts")
+    )
+    none = F.lit(None).cast("bigint")
+    rows = counted.withColumn("prior", none).unionByName(
+        state.select(*by, F.col("last").alias("tick"), none.alias("n_alerts"), F.col("since").alias("prior"))
     )
-    names = list(by)
-
-    def send(key: tuple, batches: Iterator, state) -> Iterator:
-        import pandas as pd
-
-        since, last = state.get if state.exists else (None, None)
-        # one row per interval since the last trigger
-        ticks = pd.concat([b[["tick", "n_alerts"]] for b in batches]).sort_values("tick")
-        out = []
-        for tick, n in zip(ticks["tick"].tolist(), ticks["n_alerts"].tolist()):
-            if last is None or tick - last > interval:
-                since = tick
-            last = tick
-            if (tick - since) % every == 0:
-                out.append((*key, since, tick + wait, n))
-        state.update((since, last))
-        yield pd.DataFrame(out, columns=[*names, "since", "sent_at", "n_alerts"])
-
-    output = T.StructType(
-        [firing.schema[n] for n in by]
-        + [T.StructField(n, T.LongType()) for n in ("since", "sent_at", "n_alerts")]
+    group = Window.partitionBy(*by)
+    seen = F.max(F.when(F.col("prior").isNotNull(), F.col("tick"))).over(group)
+    rows = rows.withColumn("_seen", seen).where(
+        F.col("prior").isNotNull() | F.col("_seen").isNull() | (F.col("tick") > F.col("_seen"))
     )
-    state = T.StructType([T.StructField("since", T.LongType()), T.StructField("last", T.LongType())])
-    return counted.groupBy(*by).applyInPandasWithState(send, output, state, "append", "NoTimeout")
+    run = F.col("tick") - F.row_number().over(group.orderBy("tick")) * interval
+    within = Window.partitionBy(*by, "_run")
+    since = F.coalesce(F.max("prior").over(within), F.min("tick").over(within))
+    rows = rows.withColumn("_run", run).withColumn("since", since)
+    due = F.col("n_alerts").isNotNull() & (F.pmod(F.col("tick") - F.col("since"), F.lit(every)) == 0)
+    return rows.withColumns({"due": due, "sent_at": F.col("tick") + wait}).drop("prior", "_seen", "_run")
+
+
+def land_notifications(
+    firing: DataFrame, by: Sequence[str], interval: int, repeat: int, out: str, checkpoint: str, wait: int = 0
+) -> None:
+    """Stream of alerts to `out/sent`, the counterpart of `timeseries.notifications`.
+
+    `firing` has `by`, and `ts` without a zone. The state of batch n is stored under its number and
+    read by batch n+1, so a batch that runs again starts from the same state.
+    """
+    fields = [firing.schema[n] for n in by]
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        empty = batch.select(*by).limit(0)
+        longs = {"last": F.lit(None).cast("bigint"), "since": F.lit(None).cast("bigint")}
+        schema = empty.withColumns(longs).schema
+        if batch_id:
+            state = spark.read.schema(schema).parquet(f"{out}/state/batch_id={batch_id - 1}")
+        else:
+            state = spark.createDataFrame([], schema)
+        rows = advance(batch, state, [f.name for f in fields], interval, repeat, wait).persist()
+        try:
+            latest = rows.groupBy(*by).agg(F.max("tick").alias("last"), F.max_by("since", "tick").alias("since"))
+            write_batch(rows.where("due").select(*by, "since", "sent_at", "n_alerts"), f"{out}/sent", batch_id)
+            write_batch(latest, f"{out}/state", batch_id)
+        finally:
+            rows.unpersist()
+
+    each_batch(firing, handle, checkpoint)
