@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -86,21 +87,23 @@ MAPPINGS = [
 ]
 
 
+RULE = "array<struct<metric:string,metric_type:string,pattern:string,names:array<string>,groups:array<int>>>"
+
+
 def map_names(names: DataFrame, column: str, mappings: Sequence[NameMapping] = MAPPINGS) -> DataFrame:
     """(column, metric, metric_type, labels) of the first pattern each name matches; other names go."""
     raw = F.col(column)
-    rules = F.array(
-        *[
-            F.struct(
-                F.lit(m.name).alias("metric"),
-                F.lit(m.metric_type).alias("metric_type"),
-                F.lit(m.pattern).alias("pattern"),
-                F.array(*[F.lit(label) for label in m.labels]).alias("names"),
-                F.array(*[F.lit(group) for group in m.labels.values()]).alias("groups"),
-            )
-            for m in mappings
-        ]
-    )
+    table = [
+        {
+            "metric": m.name,
+            "metric_type": m.metric_type,
+            "pattern": m.pattern,
+            "names": list(m.labels),
+            "groups": list(m.labels.values()),
+        }
+        for m in mappings
+    ]
+    rules = F.from_json(F.lit(json.dumps(table)), RULE)
     first = F.get(F.filter(rules, lambda r: F.rlike(raw, r["pattern"])), F.lit(0))
     rule = F.col("_rule")
     parts = F.transform(rule["groups"], lambda group: F.call_function("regexp_extract", raw, rule["pattern"], group))

@@ -13,7 +13,7 @@ from tallymill.session import work_path
 from tallymill.sources import topics
 from tallymill.streaming.notify import land_notifications
 from workload.inputs import table
-from workload.registry import query
+from workload.registry import query, single, single_sql
 
 HOUR = 3600
 SERIES = ["type", "instance", "device"]
@@ -56,42 +56,42 @@ def ranged_sql(reach: int) -> str:
 
 @query(
     "ts_increase",
-    f"""WITH {ranged_sql(6 * HOUR)} SELECT {KEYS}, tick, CASE WHEN n > 1 THEN round(grown, 6) END AS increase
+    f"""WITH {ranged_sql(6 * HOUR)} SELECT {KEYS}, tick, CASE WHEN n > 1 THEN {single_sql('grown')} END AS increase
     FROM ranged""",
 )
 def ts_increase(spark, sf):
     out = ts.with_increase(grid(spark, sf), SERIES, {"increase": ("increase", "v")}, 6 * HOUR)
-    return out.select(*SERIES, "tick", F.round("increase", 6).alias("increase"))
+    return out.select(*SERIES, "tick", single(F.col("increase")).alias("increase"))
 
 
 @query(
     "ts_rate",
-    f"""WITH {ranged_sql(12 * HOUR)} SELECT {KEYS}, tick, CASE WHEN n > 1 THEN round(grown / span, 9) END AS rate
+    f"""WITH {ranged_sql(12 * HOUR)} SELECT {KEYS}, tick, CASE WHEN n > 1 THEN {single_sql('grown / span')} END AS rate
     FROM ranged""",
 )
 def ts_rate(spark, sf):
     out = ts.with_increase(grid(spark, sf), SERIES, {"rate": ("rate", "v")}, 12 * HOUR)
-    return out.select(*SERIES, "tick", F.round("rate", 9).alias("rate"))
+    return out.select(*SERIES, "tick", single(F.col("rate")).alias("rate"))
 
 
 @query(
     "ts_deriv",
-    f"""WITH {ranged_sql(24 * HOUR)} SELECT {KEYS}, tick, CASE WHEN n > 1 THEN round(slope, 9) END AS slope
+    f"""WITH {ranged_sql(24 * HOUR)} SELECT {KEYS}, tick, CASE WHEN n > 1 THEN {single_sql('slope')} END AS slope
     FROM ranged""",
 )
 def ts_deriv(spark, sf):
     out = ts.with_trend(grid(spark, sf), SERIES, "v", 24 * HOUR, slope="slope")
-    return out.select(*SERIES, "tick", F.round("slope", 9).alias("slope"))
+    return out.select(*SERIES, "tick", single(F.col("slope")).alias("slope"))
 
 
 @query(
     "ts_predict_linear",
     f"""WITH {ranged_sql(24 * HOUR)} SELECT {KEYS}, tick,
-      CASE WHEN n > 1 THEN round(at_now + slope * 100000, 6) END AS forecast FROM ranged""",
+      CASE WHEN n > 1 THEN {single_sql('at_now + slope * 100000')} END AS forecast FROM ranged""",
 )
 def ts_predict_linear(spark, sf):
     out = ts.with_trend(grid(spark, sf), SERIES, "v", 24 * HOUR, forecast=("forecast", 100_000))
-    return out.select(*SERIES, "tick", F.round("forecast", 6).alias("forecast"))
+    return out.select(*SERIES, "tick", single(F.col("forecast")).alias("forecast"))
 
 
 @query("ts_min_over_time", f"WITH {ranged_sql(12 * HOUR)} SELECT {KEYS}, tick, lowest FROM ranged")
@@ -102,20 +102,20 @@ def ts_min_over_time(spark, sf):
 
 @query(
     "ts_sum_by",
-    f'WITH {GRID} SELECT instance, tick, round(sum(v), 6) AS "value" FROM grid GROUP BY instance, tick',
+    f'WITH {GRID} SELECT instance, tick, {single_sql('sum(v)')} AS "value" FROM grid GROUP BY instance, tick',
 )
 def ts_sum_by(spark, sf):
     out = ts.aggregate(grid(spark, sf), ["instance"], value=F.sum("v"))
-    return out.withColumn("value", F.round("value", 6))
+    return out.withColumn("value", single(F.col("value")))
 
 
 @query(
     "ts_avg_by",
-    f"""WITH {GRID} SELECT "type", device, tick, round(avg(v), 6) AS "value" FROM grid GROUP BY "type", device, tick""",
+    f"""WITH {GRID} SELECT "type", device, tick, {single_sql('avg(v)')} AS "value" FROM grid GROUP BY "type", device, tick""",
 )
 def ts_avg_by(spark, sf):
     out = ts.aggregate(grid(spark, sf), ts.without(SERIES, ["instance"]), value=F.avg("v"))
-    return out.withColumn("value", F.round("value", 6))
+    return out.withColumn("value", single(F.col("value")))
 
 
 @query(
@@ -154,12 +154,12 @@ def _grid_sql(name: str, kind: str, labels: str) -> str:
 @query(
     "ts_ratio",
     f"""WITH {SAMPLES}, {_grid_sql("a", "purchase", "instance, device")}, {_grid_sql("b", "click", "instance, device")}
-    SELECT instance, device, tick, round(a."value" / b."value", 6) AS "value" FROM a JOIN b USING (instance, device, tick)""",
+    SELECT instance, device, tick, {single_sql('a."value" / b."value"')} AS "value" FROM a JOIN b USING (instance, device, tick)""",
 )
 def ts_ratio(spark, sf):
     on = ["instance", "device"]
     out = ts.divide(_grid_of(spark, sf, "purchase", on), _grid_of(spark, sf, "click", on), on)
-    return out.withColumn("value", F.round("value", 6))
+    return out.withColumn("value", single(F.col("value")))
 
 
 @query(

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,3 +25,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         return fn
 
     return add
+
+
+def single(value: Column) -> Column:
+    """A computed double to single precision: the engines add in different orders, and rounding to
+    decimals would turn the last bit of a tie into a whole unit."""
+    return value.cast("float").cast("double")
+
+
+def single_sql(value: str) -> str:
+    return f"cast(cast({value} AS float) AS double)"
