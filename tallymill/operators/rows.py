@@ -41,6 +41,17 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], version: str) -> DataFram
     return _top_per_key(df, keys, [F.col(version).desc_nulls_last(), *rest])
 
 
+def evaluate_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """`df` plus a column that filters above it read instead of repeating.
+
+    A filter on a computed column is normally rewritten in terms of the columns below it, down to
+    the scan, so a payload parsed once is parsed again for every mention in the filter. Passing the
+    value through a one-element explode keeps the filter above it.
+    """
+    computed = df.select("*", F.struct(value.alias(name)).alias("_once"))
+    return computed.select(*[F.col(f"`{c}`") for c in df.columns], F.inline(F.array("_once")))
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 

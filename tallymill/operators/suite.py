@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymill.functions.keys import surrogate_key
 from tallymill.operators.checks import UNIQUE, Check, rule_of, violation
-from tallymill.operators.rows import union_all
+from tallymill.operators.rows import evaluate_once, union_all
 from tallymill.operators.skew import attach_counts
 
 FAILED = "failed_checks"
@@ -115,13 +114,10 @@ def _tested(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, list[Col
     return rows, [tests[i] for i in range(len(checks))]
 
 
-def _any(tests: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, tests, F.lit(False))
-
-
 def _failed(checks: Sequence[Check], tests: Sequence[Column]) -> Column:
-    names = [F.when(test, F.lit(c.name)) for c, test in zip(checks, tests)]
-    return F.array_compact(F.array(*names).cast("array<string>")).alias(FAILED)
+    # array_remove rather than a lambda filter: it stays inside generated code
+    names = [F.when(test, F.lit(c.name)).otherwise("") for c, test in zip(checks, tests)]
+    return F.array_remove(F.array(*names).cast("array<string>"), "").alias(FAILED)
 
 
 def _own(df: DataFrame) -> list[Column]:
@@ -134,16 +130,19 @@ def flag(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return rows.select(*_own(df), _failed(checks, tests))
 
 
+def _flagged_once(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    rows, tests = _tested(df, checks)
+    return evaluate_once(rows, FAILED, _failed(checks, tests))
+
+
 def clean(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Rows that fail nothing; copies stay."""
-    rows, tests = _tested(df, checks)
-    return rows.where(~_any(tests)).select(*_own(df))
+    return _flagged_once(df, checks).where(F.size(FAILED) == 0).select(*_own(df))
 
 
 def quarantine(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Rows that fail something, with `failed_checks`. The names are only worked out for these rows."""
-    rows, tests = _tested(df, checks)
-    return rows.where(_any(tests)).select(*_own(df), _failed(checks, tests))
+    """Rows that fail something, with `failed_checks`."""
+    return _flagged_once(df, checks).where(F.size(FAILED) > 0).select(*_own(df), FAILED)
 
 
 def violations(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
