@@ -40,7 +40,9 @@ def clean_files(spark: SparkSession, root: str, out: str, schema: T.StructType)
     cleaned = clean_counts(raw.select(*fields, "file_name", "file_year"))
     table = F.regexp_replace(normalise_name(F.col("file_name")), "-", "_")
     named = cleaned.withColumn("table_name", F.regexp_replace(table, r"\.csv$", ""))
-    named.write.mode("overwrite").partitionBy("file_year", "Quarter").parquet(out)
+    # rebalance: few files per folder, and a quarter that holds most rows is still split over tasks
+    spread = named.hint("rebalance", "file_year", "Quarter")
+    spread.write.mode("overwrite").partitionBy("file_year", "Quarter").parquet(out)
     return spark.read.schema(named.schema).parquet(out)
 
 

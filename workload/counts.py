@@ -421,7 +421,7 @@ def job_etl_by_quarter(spark, sf):
     """All quarters cleaned and stored in one partitioned write, then read back."""
     out = work_path(spark, "etl")
     cleaned = jobs.clean_counts(raw_batch(spark, sf).drop("source"))
-    cleaned.write.partitionBy("Year", "Quarter").parquet(out)
+    cleaned.hint("rebalance", "Year", "Quarter").write.partitionBy("Year", "Quarter").parquet(out)
     stored = spark.read.schema(cleaned.schema).parquet(out)
     return stored.groupBy("Year", "Quarter").agg(F.count("*").alias("n_rows"), F.count("Date").alias("n_dates"))
 
