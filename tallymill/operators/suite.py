@@ -68,17 +68,18 @@ def suite_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     )
 
 
-def report_rows(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Turn (check_no, unexpected_count, element_count) into the eight report columns, config order."""
+def report_rows(counts: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> DataFrame:
+    """Turn (by..., check_no, unexpected_count, element_count) into the eight report columns, config order."""
     no = F.col("check_no")
     bad_percent = F.when(
         F.col("element_count") > 0, F.col("unexpected_count") / F.col("element_count") * 100
     ).otherwise(0.0)
     return (
-        # at most one short row per check, so one partition is enough to keep the config order
+        # at most one short row per check (and topic), so one partition is enough to keep the config order
         counts.coalesce(1)
-        .sortWithinPartitions("check_no")
+        .sortWithinPartitions(*by, "check_no")
         .select(
+            *by,
             _by_check_no([c.column for c in checks], no).alias("column"),
             _by_check_no([c.dimension for c in checks], no).alias("dimension"),
             F.when(F.col("unexpected_count") == 0, "PASSED").otherwise("FAILED").alias("status"),
@@ -178,24 +179,18 @@ def by_dimension(report_df: DataFrame) -> DataFrame:
     )
 
 
-def audit_rows(quarantined: DataFrame, topic: str, batch_id: int) -> DataFrame:
-    """Quarantined rows for the audit table: content key, number of copies, topic and batch.
+def audit_rows(quarantined: DataFrame, batch_id: int) -> DataFrame:
+    """Quarantined rows with their `topic` for the audit table: content key, number of copies, batch.
 
     Copies of one row are counted rather than numbered, so a large group of copies combines on the
     map side and none of them is lost.
     """
-    data = [c for c in quarantined.columns if c != FAILED]
+    data = [c for c in quarantined.columns if c not in (FAILED, "topic")]
     failed = F.concat_ws(",", FAILED).alias(FAILED)
     return (
-        quarantined.groupBy(*[F.col(c) for c in data], failed)
+        quarantined.groupBy(*[F.col(c) for c in data], "topic", failed)
         .agg(F.count("*").alias("n_copies"))
-        .withColumns(
-            {
-                "row_id": surrogate_key(*data),
-                "topic": F.lit(topic),
-                "batch_id": F.lit(batch_id).cast("bigint"),
-            }
-        )
+        .withColumns({"row_id": surrogate_key(*data), "batch_id": F.lit(batch_id).cast("bigint")})
     )
 
 

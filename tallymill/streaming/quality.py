@@ -12,9 +12,9 @@ from tallymill.operators.checks import Check
 from tallymill.streaming.land import each_batch, write_batch
 
 
-def counts_from_flags(flagged: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """(check_no, unexpected_count, element_count) from rows that already carry their failed checks."""
-    totals = flagged.agg(
+def counts_from_flags(flagged: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> DataFrame:
+    """(by..., check_no, unexpected_count, element_count) from rows that carry their failed checks."""
+    totals = flagged.groupBy(*by).agg(
         F.count("*").alias("element_count"),
         *[F.count_if(F.array_contains(suite.FAILED, c.name)).alias(f"v{i}") for i, c in enumerate(checks)],
     )
@@ -24,26 +24,27 @@ def counts_from_flags(flagged: DataFrame, checks: Sequence[Check]) -> DataFrame:
             for i, _ in enumerate(checks)
         ]
     )
-    return totals.select(F.inline(per_check), "element_count")
+    return totals.select(*by, F.inline(per_check), "element_count")
 
 
-def land_checked(
-    rows: DataFrame, checks: Sequence[Check], out: str, checkpoint: str, topic: str, run_time: str
-) -> None:
-    """Per batch: rows with their failed checks, stored by status; then report and audit from those.
+def land_checked(rows: DataFrame, checks: Sequence[Check], out: str, checkpoint: str, run_time: str) -> None:
+    """Per batch: rows with their failed checks, stored by topic and status; then report and audit.
 
-    The checks run once per row, when the rows are stored. Report and audit read the stored flags.
+    `rows` has a `topic` column, and one stream serves all topics. The checks run once per row, when
+    the rows are stored; the report (per topic) and the audit read the stored flags. A unique check
+    looks for copies within the batch, over all topics.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         status = F.when(F.size(suite.FAILED) == 0, "clean").otherwise("quarantine")
         flagged = suite.flag(batch, checks)
-        stored_at = write_batch(flagged.withColumn("status", status), f"{out}/rows", batch_id, by=["status"])
-        stored = batch.sparkSession.read.schema(flagged.schema).parquet(stored_at)
-        report = suite.report_rows(counts_from_flags(stored, checks), checks)
+        stored_at = write_batch(flagged.withColumn("status", status), f"{out}/rows", batch_id, by=["topic", "status"])
+        spark = batch.sparkSession
+        kept = spark.read.schema(flagged.withColumn("status", status).schema).parquet(stored_at)
+        report = suite.report_rows(counts_from_flags(kept, checks, ["topic"]), checks, ["topic"])
         write_batch(suite.run_log(report, batch_id, run_time).drop("batch_id"), f"{out}/report", batch_id)
-        audit = suite.audit_rows(stored.where(F.size(suite.FAILED) > 0), topic, batch_id)
-        write_batch(audit.drop("batch_id", "topic"), f"{out}/audit/topic={topic}", batch_id)
+        held = kept.where(F.col("status") == "quarantine").drop("status")
+        write_batch(suite.audit_rows(held, batch_id).drop("batch_id"), f"{out}/audit", batch_id, by=["topic"])
 
     each_batch(rows, handle, checkpoint)
 

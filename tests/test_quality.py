@@ -185,7 +185,8 @@ def test_rows_that_violate_every_failing_check(spark, rows):
 
 
 def test_audit_counts_copies(spark):
-    audit = suite.audit_rows(suite.quarantine(records(spark), COUNT_CHECKS), "Central", 4).collect()
+    held = suite.quarantine(records(spark), COUNT_CHECKS).withColumn("topic", F.lit("Central"))
+    audit = suite.audit_rows(held, 4).collect()
     assert {r["n_copies"] for r in audit if r["Path"] is None} == {2}
     assert len({r["row_id"] for r in audit}) == len(audit)
     assert {(r["topic"], r["batch_id"]) for r in audit} == {("Central", 4)}

@@ -103,12 +103,15 @@ def test_checked_stream_agrees_with_the_batch_suite(spark, tmp_path):
     faulty = {**GOOD, "SiteID": None}
     drop_messages(source, "a.json", [json.dumps(GOOD), json.dumps(faulty), json.dumps(faulty)])
     drop_messages(source, "b.json", [json.dumps({**GOOD, "Count": "-1"})])
-    arriving = topics.parse_payload(topics.replay_topics(spark, str(source), MESSAGE, max_files=1), RAW_STREAM)
-    quality.land_checked(arriving, COUNT_CHECKS, out, str(tmp_path / "cp"), "Central", "2024-01-01 00:00:00")
+    drop_messages(source, "c.json", [json.dumps(GOOD)], topic="Inner")
+    arriving = topics.parse_payload(topics.replay_topics(spark, str(source), MESSAGE, max_files=1), RAW_STREAM, ["topic"])
+    quality.land_checked(arriving, COUNT_CHECKS, out, str(tmp_path / "cp"), "2024-01-01 00:00:00")
     rows = quality.stored(spark, out, "rows")
-    assert Counter(r["status"] for r in rows.collect()) == {"clean": 1, "quarantine": 3}
-    report = quality.stored(spark, out, "report")
-    whole = suite.report(rows.select(*STREAM_FIELDS), COUNT_CHECKS)
+    assert Counter((r["topic"], r["status"]) for r in rows.collect()) == {
+        ("Central", "clean"): 1, ("Central", "quarantine"): 3, ("Inner", "clean"): 1,
+    }
+    report = quality.stored(spark, out, "report").where("topic = 'Central'")
+    whole = suite.report(rows.where("topic = 'Central'").select(*STREAM_FIELDS), COUNT_CHECKS)
     by = ["column", "expectation_type"]
     summed = {(r[0], r[1]): r[2] for r in report.groupBy(*by).agg(F.sum("unexpected_count")).collect()}
     assert summed == {(r["column"], r["expectation_type"]): r["unexpected_count"] for r in whole.collect()}

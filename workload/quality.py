@@ -35,11 +35,19 @@ FLAGGED = f"""{RAW}, flagged AS (SELECT *, list_filter([{
     ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in zip(NAMES, CONDITIONS))
 }], lambda x: x IS NOT NULL) AS failed FROM raw)"""
 
-COUNTS = "counts AS (" + " UNION ALL ".join(
-    f"""SELECT {i} AS check_no, '{c.name}' AS check_name, '{c.column}' AS "column", '{c.dimension}' AS dimension,
-      count(*) AS element_count, count(*) FILTER (WHERE {cond}) AS unexpected_count FROM raw"""
-    for i, (c, cond) in enumerate(zip(COUNT_CHECKS, CONDITIONS))
-) + ")"
+
+
+def counts_sql(by: str = "", source: str = "raw") -> str:
+    lead, group = (f"{by}, ", f" GROUP BY {by}") if by else ("", "")
+    parts = " UNION ALL ".join(
+        f"""SELECT {lead}{i} AS check_no, '{c.name}' AS check_name, '{c.column}' AS "column", '{c.dimension}' AS dimension,
+          count(*) AS element_count, count(*) FILTER (WHERE {cond}) AS unexpected_count FROM {source}{group}"""
+        for i, (c, cond) in enumerate(zip(COUNT_CHECKS, CONDITIONS))
+    )
+    return f"counts AS ({parts})"
+
+
+COUNTS = counts_sql()
 
 # Report names of the rules, as they must appear.
 TYPES = {
@@ -52,10 +60,11 @@ TYPES = {
 }
 TYPE_CASE = "CASE check_no " + " ".join(f"WHEN {i} THEN '{TYPES[c.rule]}'" for i, c in enumerate(COUNT_CHECKS)) + " END"
 
-REPORT = f"""SELECT "column", dimension, CASE WHEN unexpected_count = 0 THEN 'PASSED' ELSE 'FAILED' END AS status,
+REPORT_COLUMNS = f""""column", dimension, CASE WHEN unexpected_count = 0 THEN 'PASSED' ELSE 'FAILED' END AS status,
   {TYPE_CASE} AS expectation_type, unexpected_count, element_count,
   cast(unexpected_count AS double) / element_count * 100 AS unexpected_percent,
-  100 - cast(unexpected_count AS double) / element_count * 100 AS percent FROM counts"""
+  100 - cast(unexpected_count AS double) / element_count * 100 AS percent"""
+REPORT = f"SELECT {REPORT_COLUMNS} FROM counts"
 
 
 def one_check(index):
@@ -183,7 +192,8 @@ KEY_TEXT = " || '-' || ".join(
     WHERE len(failed) > 0 GROUP BY ALL""",
 )
 def dq_audit(spark, sf):
-    return suite.audit_rows(suite.quarantine(raw_counts(spark, sf), COUNT_CHECKS), "Central", 1)
+    held = suite.quarantine(raw_counts(spark, sf), COUNT_CHECKS)
+    return suite.audit_rows(held.withColumn("topic", F.lit("Central")), 1)
 
 
 VALUE_CASE = "CASE check_name " + " ".join(f"""WHEN '{c.name}' THEN "{c.column}" """ for c in COUNT_CHECKS) + " END"

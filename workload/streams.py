@@ -11,7 +11,7 @@ from tallymill.session import work_path
 from tallymill.sources import topics
 from tallymill.streaming import dead_letters, land, quality
 from workload.inputs import MESSAGES, RAW, STREAM_COLUMNS, messages, raw_stream, stream_table, table
-from workload.quality import COUNTS, FLAGGED, REPORT
+from workload.quality import CONDITIONS, KEY_TEXT, NAMES, REPORT_COLUMNS, counts_sql
 from workload.registry import query
 
 KEPT = ", ".join(f"CASE WHEN NOT broken THEN {c} END AS {c}" for c in STREAM_COLUMNS.split(","))
@@ -108,19 +108,28 @@ def dlq_retry(spark, sf):
     return _headers(dead)
 
 
+# what the stream sees: the parsed messages, all null where the payload is broken
+PARSED = f"{MESSAGES}, parsed AS (SELECT topic, {KEPT} FROM messages)"
+
+
 @query(
     "stream_dq",
-    f"WITH {RAW}, {COUNTS} SELECT *, TIMESTAMP '2024-12-01 00:00:00' AS run_time, 0 AS batch_id FROM ({REPORT})",
+    f"""WITH {PARSED}, {counts_sql("topic", "parsed")}
+    SELECT topic, {REPORT_COLUMNS}, TIMESTAMP '2024-12-01 00:00:00' AS run_time, 0 AS batch_id FROM counts""",
 )
 def stream_dq(spark, sf):
-    """The suite on a stream: the report of its one batch."""
+    """The suite on a stream of four topics: the report of its one batch, per topic."""
     return quality.stored(spark, _checked(spark, sf), "report")
 
 
+FAILED_LIST = f"""list_filter([{", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in zip(NAMES, CONDITIONS))}],
+  lambda x: x IS NOT NULL)"""
+
+
 @query(
     "stream_dq_split",
-    f"""WITH {FLAGGED} SELECT {STREAM_COLUMNS}, array_to_string(failed, ',') AS failed_checks,
-      CASE WHEN len(failed) = 0 THEN 'clean' ELSE 'quarantine' END AS status FROM flagged""",
+    f"""WITH {PARSED} SELECT topic, {STREAM_COLUMNS}, array_to_string({FAILED_LIST}, ',') AS failed_checks,
+      CASE WHEN len({FAILED_LIST}) = 0 THEN 'clean' ELSE 'quarantine' END AS status FROM parsed""",
 )
 def stream_dq_split(spark, sf):
     rows = quality.stored(spark, _checked(spark, sf), "rows").drop("batch_id")
@@ -129,18 +138,18 @@ def stream_dq_split(spark, sf):
 
 @query(
     "stream_dq_audit",
-    f"""WITH {FLAGGED} SELECT array_to_string(failed, ',') AS failed_checks, 'Central' AS topic, count(*) AS n_rows
-    FROM flagged WHERE len(failed) > 0 GROUP BY ALL""",
+    f"""WITH {PARSED} SELECT topic, {STREAM_COLUMNS}, array_to_string({FAILED_LIST}, ',') AS failed_checks,
+      count(*) AS n_copies, md5({KEY_TEXT}) AS row_id, 0 AS batch_id
+    FROM parsed WHERE len({FAILED_LIST}) > 0 GROUP BY ALL""",
 )
 def stream_dq_audit(spark, sf):
-    audit = quality.stored(spark, _checked(spark, sf), "audit")
-    return audit.groupBy(suite.FAILED, "topic").agg(F.sum("n_copies").alias("n_rows"))
+    return quality.stored(spark, _checked(spark, sf), "audit")
 
 
 def _checked(spark, sf):
     out = work_path(spark, "checked")
-    arriving = raw_stream(stream_table(spark, sf, "lineitem")).drop("source")
-    quality.land_checked(arriving, COUNT_CHECKS, out, f"{out}/checkpoint", "Central", "2024-12-01 00:00:00")
+    arriving = topics.parse_payload(messages(stream_table(spark, sf, "lineitem")), RAW_STREAM, keep=["topic"])
+    quality.land_checked(arriving, COUNT_CHECKS, out, f"{out}/checkpoint", "2024-12-01 00:00:00")
     return out
 
 
