@@ -81,8 +81,7 @@ def one_check(index):
 
 
 for key, index in [
-    ("dq_not_null", 2), ("dq_regex", 1), ("dq_regex_site", 3), ("dq_date_format", 5), ("dq_time_format", 8),
-    ("dq_in_set", 10), ("dq_ge", 13),
+    ("dq_not_null", 2), ("dq_wave_regex", 1), ("dq_date_format", 5), ("dq_in_set", 10), ("dq_ge", 13),
 ]:
     query(
         key,
@@ -91,6 +90,32 @@ for key, index in [
     )(one_check(index))
 
 
+@query("dq_regex", "SELECT page_id, url FROM pages WHERE NOT regexp_matches(url, '^https://[a-z.-]+/(en|fr)/')")
+def dq_regex(spark, sf):
+    check = Check("url", "check_if_matches_regex", "Validity", {"regex_pattern": "^https://[a-z.-]+/(en|fr)/"})
+    return suite.quarantine(table(spark, sf, "pages").select("page_id", "url"), [check]).drop(suite.FAILED)
+
+
+@query(
+    "dq_time_format",
+    """WITH clock AS (SELECT event_id, CASE event_type WHEN 'error' THEN strftime(ts, '%H:%M')
+      WHEN 'view' THEN strftime(ts, '%H:%M:') || cast(second(ts) + 30 AS varchar)
+      ELSE strftime(ts, '%H:%M:%S') END AS clock FROM events)
+    SELECT event_id, clock FROM clock WHERE try_strptime(clock, '%H:%M:%S') IS NULL""",
+)
+def dq_time_format(spark, sf):
+    """Times of errors lack their seconds; those of views may have more than 59."""
+    late = F.concat(F.date_format("ts", "HH:mm:"), (F.second("ts") + 30).cast("string"))
+    clock = (
+        F.when(F.col("event_type") == "error", F.date_format("ts", "HH:mm"))
+        .when(F.col("event_type") == "view", late)
+        .otherwise(F.date_format("ts", "HH:mm:ss"))
+    )
+    events = table(spark, sf, "events").select("event_id", clock.alias("clock"))
+    check = Check("clock", "check_if_valid_time_format", "Validity", {"time_format": "%H:%M:%S"})
+    return suite.quarantine(events, [check]).drop(suite.FAILED)
+
+
 @query(
     "dq_unique",
     """SELECT o_orderkey, CASE WHEN count(*) OVER (PARTITION BY o_orderkey) > 1 THEN 'o_orderkey_check_if_unique,'
