@@ -10,6 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymill.operators.rows import evaluate_once
+
 
 @dataclass(frozen=True)
 class NameMapping:
@@ -107,15 +109,13 @@ def map_names(names: DataFrame, column: str, mappings: Sequence[NameMapping] = M
     first = F.get(F.filter(rules, lambda r: F.rlike(raw, r["pattern"])), F.lit(0))
     rule = F.col("_rule")
     parts = F.transform(rule["groups"], lambda group: F.call_function("regexp_extract", raw, rule["pattern"], group))
-    return (
-        names.select(raw, first.alias("_rule"))
-        .where("_rule IS NOT NULL")
-        .select(
-            raw,
-            rule["metric"].alias("metric"),
-            rule["metric_type"].alias("metric_type"),
-            F.map_from_arrays(rule["names"], parts).alias("labels"),
-        )
+    # evaluated once: the null filter would otherwise be pushed below the distinct, to every sample
+    ruled = evaluate_once(names.select(raw), "_rule", first).where("_rule IS NOT NULL")
+    return ruled.select(
+        raw,
+        rule["metric"].alias("metric"),
+        rule["metric_type"].alias("metric_type"),
+        F.map_from_arrays(rule["names"], parts).alias("labels"),
     )
 
 

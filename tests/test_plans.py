@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from tallymill.operators import suite
 from tallymill.operators.rows import except_distinct, first_per_key
-from tallymill.plans import marts, staging
+from tallymill.plans import marts, metric_names, staging
 from tallymill.plans.count_checks import COUNT_CHECKS
 from tallymill.schemas import RAW_STREAM, to_batch_names
+from tallymill.sources import topics
 from workload.inputs import locations, table
 
 SF = "/root/testdata/sf0.001"
@@ -79,3 +80,18 @@ def test_set_difference_reduces_both_sides_first(spark):
     text = physical(except_distinct(nation, nation.where(F.col("n_regionkey") > 2)))
     assert text.count("HashAggregate") >= 4
 
+
+
+def test_name_patterns_stay_off_the_samples(spark, tmp_path):
+    path = str(tmp_path / "flat")
+    spark.createDataFrame([("a.ti_failures", 1.0)], "flat string, value double").write.parquet(path)
+    text = physical(metric_names.map_metrics(spark.read.parquet(path), "flat"))
+    below = text[text.index("HashAggregate") :]
+    assert "Filter isnotnull(_rule" in text and "_rule" not in below and "rlike" not in below.lower()
+
+
+def test_filters_do_not_repeat_a_parsed_payload(spark, tmp_path):
+    path = str(tmp_path / "messages")
+    spark.createDataFrame([("t", "{}")], "topic string, value string").write.parquet(path)
+    parsed = topics.parse_payload(spark.read.parquet(path), RAW_STREAM)
+    assert physical(suite.clean(parsed, COUNT_CHECKS)).count("from_json") == 1

@@ -138,7 +138,7 @@ def ts_count_nested(spark, sf):
 )
 def ts_quantiles(spark, sf):
     flat = ts.select(samples(table(spark, sf, "events")), Selector("event_value"), ["type"])
-    return distribution.quantiles(flat, ["type"], F.col("value"), [0.5, 0.9, 0.99])
+    return distribution.quantiles(flat, ["type"], F.col("value"), [0.5, 0.9, 0.99], accuracy=100_000)
 
 
 def _grid_of(spark, sf, kind, labels):
