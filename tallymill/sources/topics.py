@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymill.operators.rows import evaluate_once
+
 CORRUPT = "_corrupt_record"
 
 
@@ -54,9 +56,9 @@ def parse_or_reject(messages: DataFrame, schema: T.StructType) -> DataFrame:
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     text = F.col("value").cast("string")
-    parsed = messages.withColumn(
-        "d", F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    # once, or every filter on the error would parse the payload again
+    parsed = evaluate_once(messages, "d", F.from_json(text, with_corrupt, options))
     error = F.when(text.isNull(), "empty message").when(F.col(f"d.{CORRUPT}").isNotNull(), "payload does not parse")
     return parsed.withColumn("error_message", error)
 

@@ -26,9 +26,9 @@ def with_headers(messages: DataFrame) -> DataFrame:
     return messages.withColumn("headers", headers)
 
 
-def envelope(rejected: DataFrame) -> DataFrame:
+def envelope(messages: DataFrame) -> DataFrame:
     """Rejected messages in the shape of the dead-letter topic."""
-    return with_headers(rejected).select(
+    return with_headers(messages).select(
         "topic",
         F.col("value").cast("string").alias("original_message"),
         "error_message",
@@ -39,24 +39,34 @@ def envelope(rejected: DataFrame) -> DataFrame:
     )
 
 
+def accepted(parsed: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows of `parse_or_reject` that parse, as topic and flat columns."""
+    fields = [F.col(f"d.{f}") for f in schema.fieldNames()]
+    return parsed.where(F.col("error_message").isNull()).select("topic", *fields)
+
+
+def rejected(parsed: DataFrame) -> DataFrame:
+    """The rows of `parse_or_reject` that do not parse, as dead letters."""
+    return envelope(parsed.where(F.col("error_message").isNotNull()))
+
+
 def split(messages: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(parsed rows with topic, dead letters)."""
     parsed = parse_or_reject(messages, schema)
-    good = parsed.where(F.col("error_message").isNull()).select("topic", *[f"d.{f}" for f in schema.fieldNames()])
-    return good, envelope(parsed.where(F.col("error_message").isNotNull()))
+    return accepted(parsed, schema), rejected(parsed)
 
 
 def land_or_reject(messages: DataFrame, schema: T.StructType, good: str, dead: str, checkpoint: str):
     """Stream: good rows to `good`, the others to `dead`; one bad message costs only itself."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
+        # kept parsed for the two writes; a lost block is read from the source and parsed again
+        parsed = parse_or_reject(batch, schema).persist()
         try:
-            ok, rejected = split(kept, schema)
-            write_batch(ok, good, batch_id, by=["topic"])
-            write_batch(rejected, dead, batch_id)
+            write_batch(accepted(parsed, schema), good, batch_id, by=["topic"])
+            write_batch(rejected(parsed), dead, batch_id)
         finally:
-            kept.unpersist()
+            parsed.unpersist()
 
     return each_batch(messages, handle, checkpoint)
 
