@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tools.check_oracle import sorted_rows
+from workload.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,14 +23,19 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+
+
+def test_entry_offers_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_flagship(spark):
     assert entry.entry(spark).columns == ["borough", "road_type", "total_count"]
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_agrees_with_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
