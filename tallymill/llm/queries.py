@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import bpe, html_text, language, radix_dedup, sharding, templates, warc
+from tallymill.llm import bpe, html_text, language, licenses, radix_dedup, sharding, templates, warc
 from tallymill.llm.common import ascii_lower, read, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,6 +103,12 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(sizes, SHARD_BYTES, size=F.col("n_bytes")).drop("n_bytes")
 
 
+@query("op7_licenses")
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named in every document."""
+    return licenses.scan(read(spark, sf_dir, "documents")).drop("spans")
+
+
 @query("op9_bpe")
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and the text that they decode to."""
