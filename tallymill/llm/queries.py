@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import bpe, html_text, language, licenses, radix_dedup, sharding, templates, warc
+from tallymill.llm import bpe, html_text, jaccard, language, licenses, radix_dedup, sharding, templates, warc
 from tallymill.llm.common import ascii_lower, read, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,27 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents")).drop("spans")
 
 
+@query(
+    "op8_jaccard",
+    f"""
+    WITH RECURSIVE
+    w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^ \\t\\n\\x0B\\f\\r]+') AS w FROM documents),
+    s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                 ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM w),
+    e AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS x, any_value(b.n) AS y, count(*) AS common
+          FROM e AS a JOIN e AS b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY ALL),
+    l AS (SELECT a, b FROM p WHERE 100 * common >= 85 * (x + y - common)),
+    u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r AS (SELECT DISTINCT a AS d, a AS c FROM u UNION SELECT r.d, u.b FROM r JOIN u ON u.a = r.c)
+    SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce((SELECT min(c) FROM r WHERE d = doc_id), doc_id) AS component_id FROM s
+    """,
+)
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document whose four-word shingles link it with others."""
+    return jaccard.components_of(read(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 @query("op9_bpe")
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and the text that they decode to."""
