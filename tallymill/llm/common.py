@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,3 +42,29 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """`df` without input columns whose names an operator's own output takes."""
     taken = {n.lower() for n in names}
     return df.drop(*[c for c in df.columns if c.lower() in taken])
+
+
+MASK_BITS = 23
+
+
+def mask_place(key: Column) -> Column:
+    """The bit of a key in `mask`."""
+    return F.pmod(F.xxhash64(key), F.lit(1 << MASK_BITS))
+
+
+def mask(keys: DataFrame, name: str) -> np.ndarray:
+    """One bit set for each key, 2^23 bits whatever the number of keys.
+
+    It keeps most rows without a partner out of a join that is exact without it. It is a megabyte on
+    the driver and in each executor, and with very many keys it merely lets more rows through.
+    """
+    place = mask_place(F.col(name))
+    words = keys.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64({name}), 64) as int))")).alias("bits"))
+    found = words.toPandas()  # 131,072 rows at most
+    bits = np.zeros(1 << (MASK_BITS - 6), np.int64)
+    bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return bits
+
+
+def in_mask(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bits[places >> 6] >> (places & 63)) & 1 == 1

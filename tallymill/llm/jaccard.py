@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import stored
+from tallymill.llm.common import in_mask, mask, mask_place, stored
 
 REMEMBERED = 400_000  # hashes of words per task process
 BLOCK = 4000  # documents whose signatures are combined before they are shuffled
@@ -210,30 +210,19 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sig, leader, waiting = s[-1], leaders[-1], not many[-1]
 
 
-def _mask(ids: DataFrame) -> np.ndarray:
-    """2^23 bits, one set for each id: a fixed size, whatever the number of ids."""
-    place = F.pmod(F.xxhash64("node"), F.lit(1 << 23))
-    words = ids.groupBy(F.shiftright(place, 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(pmod(xxhash64(node), 64) as int)))").alias("bits")).toPandas()
-    mask = np.zeros(1 << 17, np.int64)
-    mask[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    return mask
-
-
 def _sets_of(texts: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """(node, tokens) of the `ids`, one row per id and text. The mask keeps most other texts out of the join."""
-    mask = texts.sparkSession.sparkContext.broadcast(_mask(ids))
+    bits = texts.sparkSession.sparkContext.broadcast(mask(ids, "node"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = batch.column(2).to_numpy()
-            batch = batch.filter(pa.array((mask.value[place >> 6] >> (place & 63)) & 1 == 1))
+            batch = batch.filter(pa.array(in_mask(bits.value, batch.column(2).to_numpy())))
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
                 tokens = [t.view(np.int64) for _, t in _sets(part, width)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(tokens, pa.list_(pa.int64()))], ["node", "tokens"])
 
-    # the low 6 bits of the place and of the hash agree: 64 divides 2^23
-    placed = texts.select("node", "text", F.pmod(F.xxhash64("node"), F.lit(1 << 23)).alias("place"))
+    placed = texts.select("node", "text", mask_place(F.col("node")).alias("place"))
     return placed.mapInArrow(run, "node long, tokens array<long>").join(ids, "node", "left_semi")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import bpe, html_text, jaccard, language, licenses, radix_dedup, sharding, templates, warc
+from tallymill.llm import bpe, html_text, jaccard, language, licenses, radix_dedup, sharding, suffix_dedup, templates, warc
 from tallymill.llm.common import ascii_lower, read, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,15 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (language.fold("doc_id") == 0).alias("held_out"), "lang_pred", "score", "accepted")
 
 
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without byte strings that an earlier place has."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.octet_length(whole(F.col("text"))).cast("long").alias("n_bytes"), "text")
+    found = suffix_dedup.remove(docs)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 @query("op5_benchmark_templates")
 def op5_benchmark_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that give away a benchmark item, as it stands or with other numbers, names and units."""
