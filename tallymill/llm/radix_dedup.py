@@ -87,12 +87,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """
     docs = without(docs, ["keep_id", "group_size", "kept"])
     found = decisions(docs, id_col, text_col)
-    rows = docs.withColumn("__row", _row_key(id_col, text_col))
-    joined = rows.join(found, rows["__row"].eqNullSafe(found["row"]), "left")
+    rows = docs.withColumn("__key", _row_key(id_col, text_col))
+    joined = rows.join(found, rows["__key"].eqNullSafe(found["row"]), "left")
     mine = F.col(id_col).eqNullSafe(F.col("keep_id"))
     kept = F.col("group_size").isNull() | mine
     if not found.where("copies > 1").isEmpty():  # rows that repeat an id: one of them stays
-        order = Window.partitionBy("__row").orderBy(F.col(id_col))
+        order = Window.partitionBy("__key").orderBy(F.col(id_col))
         kept = F.col("group_size").isNull() & (F.lit(True)) | mine & (F.row_number().over(order) == 1)
     keep_id = F.when(F.col("group_size").isNull(), F.col(id_col)).otherwise(F.col("keep_id"))
     return joined.select(
