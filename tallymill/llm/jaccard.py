@@ -91,34 +91,45 @@ def differ_most(a: int, b: int, percent: int) -> int:
     return (a + b) * (100 - percent) // (100 + percent)
 
 
-def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """Hashes such that linked sets share one at least.
+def _dealt(tokens: np.ndarray, percent: int) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """For each size class that a set is signed in: the class, its buckets, the buckets that must agree
+    with those of any linked set of the class, and the token's buckets.
 
-    A set is signed in its size class, and in the next one if a linked set can be that large. With
-    more buckets than tokens that may differ, one bucket agrees; the spare buckets make up for empty
-    ones, which are signed only where they do not.
+    A set is signed in its own class, and in the next one if a linked set can be that large.
     """
     n = len(tokens)
-    if not n:
-        return np.zeros(0, np.uint64)
-    own = int(np.searchsorted(_STARTS, n, "right")) - 1
     largest = n * 100 // percent
-    made = []
+    own = int(np.searchsorted(_STARTS, n, "right")) - 1
     for c in range(own, int(np.searchsorted(_STARTS, largest, "right"))):
         top = _STARTS[c + 1] - 1
         most = differ_most(top, top, percent)
         buckets = most + most // 12 + 2
-        mine = (_mix(tokens, 3 * c + 1) >> np.uint64(11)) % np.uint64(buckets)
+        yield c, buckets, buckets - differ_most(n, min(largest, top), percent), (_mix(tokens, 3 * c + 1) >> np.uint64(11)) % np.uint64(buckets)
+
+
+def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """Hashes such that linked sets share one at least.
+
+    With more buckets than tokens that may differ, one bucket agrees; the spare buckets make up for
+    empty ones, which are signed only where they do not.
+    """
+    made = [np.zeros(0, np.uint64)]
+    for c, buckets, agree, mine in _dealt(tokens, percent) if len(tokens) else ():
         order = np.argsort(mine, kind="stable")
         mine, mixed = mine[order], _mix(tokens, 3 * c + 2)[order]
         first = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]])
         made.append(_mix(np.add.reduceat(mixed, first) + _mix(mine[first], 3 * c + 3), c + 1))
-        if buckets - differ_most(n, largest, percent) <= buckets - len(first):
+        if agree <= buckets - len(first):
             empty = np.setdiff1d(np.arange(buckets, dtype=np.uint64), mine[first])
             made.append(_mix(_mix(empty, 3 * c + 3), c + 1))
     return np.concatenate(made)
 
 
+def shared_least(tokens: np.ndarray, percent: int) -> int:
+    """The fewest signatures that a set shares with any set it is linked with."""
+    return max(1, min(agree - (buckets - len(np.unique(mine))) for _, buckets, agree, mine in _dealt(tokens, percent)))
+
+
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int | None, np.ndarray]]:
     for node, text in zip(batch.column(0), batch.column(1), strict=True):
         yield node.as_py(), shingles(text.as_py(), width)
@@ -308,6 +319,23 @@ def _open(percent: int):
     return run
 
 
+def _needs(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least = [shared_least(t, percent) for t in _lists(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(least, pa.int64())], ["node", "least"])
+
+    return run
+
+
+def _still_mixed(named: DataFrame) -> DataFrame:
+    """Rows of signatures with several labels, of nodes that have enough of those for a link."""
+    mixed = named.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("sig")
+    rows = named.join(mixed, "sig", "left_semi")
+    enough = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("least").alias("least")).where("n >= least").select("node")
+    return rows.join(enough, "node", "left_semi")
+
+
 def _left_over(left: DataFrame, percent: int) -> DataFrame:
     """Links between documents of different labels. `left`: node, label, tokens.
 
@@ -364,9 +392,11 @@ def components_of(docs: DataFrame, width: int = 5, percent: int = 80, id_col: st
     labels = components(links)
 
     label = F.coalesce("label", "node").alias("label")
-    named = met.join(labels, "node", "left").select("sig", "node", label)
-    mixed = named.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("sig")
-    left = stored(named.join(mixed, "sig", "left_semi").select("node", "label").distinct(), "left")
+    needs = stored(sets.mapInArrow(_needs(percent), "node long, least long").groupBy("node").agg(F.min("least").alias("least")), "needs")
+    named = met.join(labels, "node", "left").join(needs, "node").select("sig", "node", label, "least")
+    for _ in range(3):  # each round leaves fewer; any number of them is right
+        named = stored(_still_mixed(named), "mixed")
+    left = named.select("node", "label").distinct()
     if not left.isEmpty():
         more = stored(_left_over(left.join(sets, "node"), percent), "more-links")
         if not more.isEmpty():
