@@ -13,12 +13,13 @@ every member, and only groups whose bound qualifies are opened and their members
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymill.llm.common import in_mask, mask, mask_place, stored
@@ -278,17 +279,20 @@ GROUP = 64  # members of a group of the matrix
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Groups of at most GROUP neighbours in order: their prefixes' unions, members and sets."""
-    held: list[dict] = []
+    names = ["node", "label", "tokens", "asked", "offered"]
+    held: list[tuple] = []
 
     def group() -> pa.RecordBatch:
-        union = lambda c: sorted({t for r in held for t in r[c]})
-        row = {"grp": held[0]["node"], "asked": union("asked"), "offered": union("offered"), "nodes": [r["node"] for r in held], "labels": [r["label"] for r in held], "sets": [r["tokens"] for r in held]}
+        node, label, tokens, asked, offered = zip(*held, strict=True)
         held.clear()
-        kinds = {"grp": pa.int64(), "sets": pa.list_(pa.list_(pa.int64()))}
-        return pa.RecordBatch.from_arrays([pa.array([v], kinds.get(k, pa.list_(pa.int64()))) for k, v in row.items()], list(row))
+        numbers, lists = pa.list_(pa.int64()), pa.list_(pa.binary())
+        union = lambda sets: np.unique(np.concatenate(sets)).view(np.int64)
+        row = [(node[0], pa.int64()), (union(asked), numbers), (union(offered), numbers), (node, numbers), (label, numbers), ([t.tobytes() for t in tokens], lists)]
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in row], ["grp", "asked", "offered", "nodes", "labels", "sets"])
 
     for batch in batches:
-        for row in batch.to_pylist():
+        plain = [batch.column(c).to_pylist() for c in names[:2]]
+        for row in zip(*plain, *[_lists(batch.column(c)) for c in names[2:]], strict=True):
             held.append(row)
             if len(held) == GROUP:
                 yield group()
@@ -301,12 +305,12 @@ def _open(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            found = []
             for row in batch.to_pylist():
-                sets = [np.array(t, np.int64).view(np.uint64) for t in row["sets"]]
+                sets = [np.frombuffer(t, np.uint64) for t in row["sets"]]
                 union = np.unique(np.concatenate(sets))
-                found = []
                 for node, label, tokens in zip(row["q_nodes"], row["q_labels"], row["q_sets"], strict=True):
-                    x = np.array(tokens, np.int64).view(np.uint64)
+                    x = np.frombuffer(tokens, np.uint64)
                     if 100 * _overlap(x, union) < percent * len(x):
                         continue  # no member can share enough with this query
                     met = {label}
@@ -314,11 +318,23 @@ def _open(percent: int):
                         if other_label not in met and linked(x, y, percent):
                             found.append((node, other))
                             met.add(other_label)
-                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
     return run
 
 
+@contextlib.contextmanager
+def _batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Fewer rows in the batches that go to Python, for wide rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before) if int(before) > 0 else rows)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _needs(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -353,10 +369,12 @@ def _left_over(left: DataFrame, percent: int) -> DataFrame:
     offered = size - F.ceil(size * F.lit(percent) / 100).cast("int") + 1 - alone
     asked = size - F.ceil(size * F.lit(2 * percent) / (100 + percent)).cast("int") + 1 - alone
     first = lambda n: F.transform(F.slice("shared", 1, F.greatest(n, F.lit(0))), lambda s: s["token"])
-    ready = left.join(ordered, "node").select("node", "label", "tokens", first(asked).alias("asked"), first(offered).alias("offered"))
-    ready = ready.where(F.size("offered") > 0).repartition("node").sortWithinPartitions(F.get("offered", 0), "node")
+    # sets of a family have their commonest token in common, so that it brings similar ones together
+    family = F.element_at("shared", -1)["token"].alias("family")
+    ready = left.join(ordered, "node").select("node", "label", "tokens", first(asked).alias("asked"), first(offered).alias("offered"), family)
+    ready = stored(ready.where(F.size("offered") > 0), "ready").repartitionByRange("family", "node").sortWithinPartitions("family", "node").drop("family")
     kind = "array<long>"
-    groups = stored(ready.mapInArrow(_pack, f"grp long, asked {kind}, offered {kind}, nodes {kind}, labels {kind}, sets array<{kind}>"), "groups")
+    groups = stored(ready.mapInArrow(_pack, f"grp long, asked {kind}, offered {kind}, nodes {kind}, labels {kind}, sets array<binary>"), "groups")
     queries = groups.select(F.col("grp").alias("q"), F.explode("asked").alias("token"))
     matrix = groups.select("grp", F.explode("offered").alias("token"))
     opened = stored(queries.join(matrix, "token").select("q", "grp").distinct(), "opened")
@@ -388,17 +406,19 @@ def components_of(docs: DataFrame, width: int = 5, percent: int = 80, id_col: st
     pairs = met.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     one = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
     two = one.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y")
-    links = stored(two.mapInArrow(_verify(percent), "a long, b long").unionByName(same), "links")
+    with _batches_of(docs.sparkSession, 500):
+        links = stored(two.mapInArrow(_verify(percent), "a long, b long").unionByName(same), "links")
     labels = components(links)
 
     label = F.coalesce("label", "node").alias("label")
     needs = stored(sets.mapInArrow(_needs(percent), "node long, least long").groupBy("node").agg(F.min("least").alias("least")), "needs")
     named = met.join(labels, "node", "left").join(needs, "node").select("sig", "node", label, "least")
-    for _ in range(3):  # each round leaves fewer; any number of them is right
+    for _ in range(2):  # each round leaves fewer; any number of them is right
         named = stored(_still_mixed(named), "mixed")
     left = named.select("node", "label").distinct()
     if not left.isEmpty():
-        more = stored(_left_over(left.join(sets, "node"), percent), "more-links")
+        with _batches_of(docs.sparkSession, 32):
+            more = stored(_left_over(left.join(sets, "node"), percent), "more-links")
         if not more.isEmpty():
             labels = components(links.unionByName(more))
     found = facts.join(labels, "node", "left")
