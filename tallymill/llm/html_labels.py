@@ -25,4 +25,15 @@ PAGES = [
     (f'<body><article><p><b>Bold head<br><p>{_LONG}</p><p>Three words here</p><p>and</p></article><div class="banner">{_LONG}</div></body>', "++++-"),
     (f'<body><div role="navigation"><p>{_MID}</p></div><div role="main"><p>{_LONG}</p><p>{_MID}</p><p>{_SHORT}</p></div><div class="newsletter"><p>{_LONG}</p></div></body>', "-+++-"),
     (f'<body><p>Log in</p><p>Register</p><p>{_LONG}</p><p>{_LONG}</p><p>Contact</p><p>Terms</p></body>', "--++--"),
+    (f'<body><nav>{_LINKS}</nav><article><h1>Cut off</h1><p>{_LONG}</p><p>{_MID}', "----+++"),
+    (f'<article><p>{_MID}</p></article>', "+"),
+    (f'<article><p>{_SHORT}</p></article>', "+"),
+    (f'<main><h1>One thing</h1><p>{_LONG}</p></main>', "++"),
+    (f'<body><main><p>{_LONG}</p><p>{_SHORT}</p></main></body>', "++"),
+    (f'<p>{_LONG}</p>', "+"),
+    (f'<p>{_LONG}</p><p>{_MID}</p>', "++"),
+    (f'<body><nav>{_LINKS}</nav><div>{_LONG}</div><div>{_MID}</div></body>', "----++"),
+    (f'<body><footer>{_MID}</footer></body>', "-"),
+    (f'<body><p><a href="/next">Next</a></p></body>', "-"),
+    (f'<article><p>Words</p><p>{_SHORT}</p><p>end</p></article>', "+++"),
 ]
