@@ -12,45 +12,50 @@ from tallymill.streaming.land import each_batch, write_batch
 
 
 def advance(
-    firing: DataFrame, state: DataFrame, by: Sequence[str], interval: int, repeat: int, wait: int = 0
+    counted: DataFrame, state: DataFrame, by: Sequence[str], interval: int, repeat: int, wait: int = 0
 ) -> DataFrame:
-    """One step of the stream: a row per group and interval, with `since`, and `due` where one is sent.
+    """One step of the stream: a row per group and closed interval, with `since`, and `due` where one is sent.
 
-    `state` has one row per group: the last interval seen and the start of its run. The state row
-    joins the new intervals as their predecessor, so a run goes on across batches. Intervals up to
-    the one already seen are late and go. Alerts are counted before the windows run, so a group
-    holds one row per interval.
+    `counted` has `by`, `tick` and `n_alerts`, each interval once. `state` has one row per group: the
+    last interval closed before and the start of its run. The state row joins the new intervals as
+    their predecessor, so a run goes on across batches.
     """
     every = -(-repeat // interval) * interval
-    secs = seconds(F.col("ts"))
-    counted = firing.groupBy(*by, (secs - F.pmod(secs, F.lit(interval))).alias("tick")).agg(
-        F.count("*").alias("n_alerts")
-    )
     none = F.lit(None).cast("bigint")
     rows = counted.withColumn("prior", none).unionByName(
         state.select(*by, F.col("last").alias("tick"), none.alias("n_alerts"), F.col("since").alias("prior"))
     )
     group = Window.partitionBy(*by)
-    seen = F.max(F.when(F.col("prior").isNotNull(), F.col("tick"))).over(group)
-    rows = rows.withColumn("_seen", seen).where(
-        F.col("prior").isNotNull() | F.col("_seen").isNull() | (F.col("tick") > F.col("_seen"))
-    )
     run = F.col("tick") - F.row_number().over(group.orderBy("tick")) * interval
     within = Window.partitionBy(*by, "_run")
     since = F.coalesce(F.max("prior").over(within), F.min("tick").over(within))
     rows = rows.withColumn("_run", run).withColumn("since", since)
     due = F.col("n_alerts").isNotNull() & (F.pmod(F.col("tick") - F.col("since"), F.lit(every)) == 0)
-    return rows.withColumns({"due": due, "sent_at": F.col("tick") + wait}).drop("prior", "_seen", "_run")
+    return rows.withColumns({"due": due, "sent_at": F.col("tick") + wait}).drop("prior", "_run")
 
 
 def land_notifications(
-    firing: DataFrame, by: Sequence[str], interval: int, repeat: int, out: str, checkpoint: str, wait: int = 0
+    firing: DataFrame,
+    by: Sequence[str],
+    interval: int,
+    repeat: int,
+    out: str,
+    checkpoint: str,
+    wait: int = 0,
+    lateness: str = "0 seconds",
 ) -> None:
     """Stream of alerts to `out/sent`, the counterpart of `timeseries.notifications`.
 
-    `firing` has `by`, and `ts` without a zone. The state of batch n is stored under its number and
-    read by batch n+1, so a batch that runs again starts from the same state.
+    `firing` has `by`, and `ts` without a zone. Alerts are counted per interval by a watermarked
+    window aggregation, so an interval may come in any number of batches and in any order; it is
+    handed on once, when an alert more than `lateness` past its end has come. The state of batch n
+    is stored under its number and read by batch n+1, so a batch that runs again starts from the
+    same state.
     """
+    # watermarks need an instant; `ts` is read as UTC, as everywhere in the time-series operators
+    timed = firing.select(*by, F.timestamp_seconds(seconds(F.col("ts"))).alias("at")).withWatermark("at", lateness)
+    counted = timed.groupBy(*by, F.window("at", f"{interval} seconds").alias("w")).agg(F.count("*").alias("n_alerts"))
+    counted = counted.select(*by, F.unix_seconds("w.start").alias("tick"), "n_alerts")
     fields = [firing.schema[n] for n in by]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -70,4 +75,4 @@ def land_notifications(
         finally:
             rows.unpersist()
 
-    each_batch(firing, handle, checkpoint)
+    each_batch(counted, handle, checkpoint)

@@ -269,13 +269,14 @@ def alert_repeat_suppress(spark, sf):
       count(*) AS n_alerts FROM events WHERE "value" > 150 GROUP BY 1, 2), runs AS (SELECT *, tick - 600 * row_number()
       OVER (PARTITION BY event_type ORDER BY tick) AS run FROM groups), started AS (SELECT *, min(tick)
       OVER (PARTITION BY event_type, run) AS since FROM runs)
-    SELECT event_type, since, tick + 30 AS sent_at, n_alerts FROM started WHERE (tick - since) % 1800 = 0""",
+    SELECT event_type, since, tick + 30 AS sent_at, n_alerts FROM started WHERE (tick - since) % 1800 = 0
+      AND tick + 600 <= (SELECT epoch(max(ts)) FROM events WHERE "value" > 150)""",
 )
 def stream_repeat_suppress(spark, sf):
-    """High events as alerts, grouped by type and ten minutes; they arrive in three runs of ten days."""
+    """High events as alerts, grouped by type and ten minutes; they arrive in three runs, cut inside intervals."""
     out = work_path(spark, "notify")
     high = table(spark, sf, "events").where(F.col("value") > 150).select("event_type", "ts")
-    cuts = [F.lit(f"2024-01-{d}").cast("timestamp_ntz") for d in ("11", "21")]
+    cuts = [F.lit(f"2024-01-{d}").cast("timestamp_ntz") for d in ("11 00:03:20", "21 12:34:56")]
     ts_col = F.col("ts")
     for part in (ts_col < cuts[0], (ts_col >= cuts[0]) & (ts_col < cuts[1]), ts_col >= cuts[1]):
         high.where(part).write.mode("append").parquet(f"{out}/arriving")
