@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,15 +15,31 @@ DEFAULT_RETRY, DEFAULT_RETRY_MAX = "0", "3"
 
 
 def with_headers(messages: DataFrame) -> DataFrame:
-    """Messages with a `headers` map holding at least the retry headers."""
-    given = F.col("headers") if "headers" in messages.columns else F.create_map().cast("map<string,string>")
-    headers = F.map_from_arrays(
-        F.array(F.lit(RETRY), F.lit(RETRY_MAX)),
-        F.array(
-            F.coalesce(given[RETRY], F.lit(DEFAULT_RETRY)), F.coalesce(given[RETRY_MAX], F.lit(DEFAULT_RETRY_MAX))
-        ),
-    )
-    return messages.withColumn("headers", headers)
+    """Messages with a `headers` map of text holding at least the retry headers; all others are kept.
+
+    Headers may come as a map, or as the connector delivers them, an array of key and binary value;
+    of a key given twice the last value counts.
+    """
+    none = F.create_map().cast("map<string,string>")
+    given = none
+    if "headers" in messages.columns:
+        given = F.col("headers")
+        if isinstance(messages.schema["headers"].dataType, T.ArrayType):
+            entries = given
+            keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+            last = F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"])
+            given = F.map_from_arrays(keys, F.transform(last, lambda v: v.cast("string")))
+        given = F.coalesce(given, none)
+    return messages.withColumn("headers", _defaulted(_defaulted(given, RETRY, DEFAULT_RETRY), RETRY_MAX, DEFAULT_RETRY_MAX))
+
+
+def _defaulted(headers: Column, key: str, default: str) -> Column:
+    """`headers` with a value for `key`: its own, or else the default."""
+    return _with_header(headers, key, F.coalesce(headers[key], F.lit(default)))
+
+
+def _with_header(headers: Column, key: str, value: Column) -> Column:
+    return F.map_concat(F.map_filter(headers, lambda k, _: k != key), F.create_map(F.lit(key), value))
 
 
 def envelope(messages: DataFrame) -> DataFrame:
@@ -75,9 +91,7 @@ def retry(dead: DataFrame) -> DataFrame:
     """Dead letters with tries left, as messages again, their retry header raised by one."""
     tries = F.col("headers")[RETRY].cast("int")
     left = dead.where(tries < F.col("headers")[RETRY_MAX].cast("int"))
-    raised = F.map_from_arrays(
-        F.array(F.lit(RETRY), F.lit(RETRY_MAX)), F.array((tries + 1).cast("string"), F.col("headers")[RETRY_MAX])
-    )
+    raised = _with_header(F.col("headers"), RETRY, (tries + 1).cast("string"))
     return left.select(
         "topic", "partition", "offset", "timestamp", F.col("original_message").alias("value"), raised.alias("headers")
     )
