@@ -11,7 +11,6 @@ STRFTIME = {
     "d": "d",
     "m": "M",
     "Y": "yyyy",
-    "y": "yy",
     "b": "MMM",
     "B": "MMMM",
     "H": "H",

@@ -20,16 +20,17 @@ UNIQUE = "check_if_unique"
 
 @dataclass(frozen=True)
 class Check:
-    """One rule on one column. `name` is `<column>_<rule>`."""
+    """One rule on one column. `name` is `<column>_<rule>`, and `_2`, `_3`... for further checks of that pair."""
 
     column: str
     rule: str
     dimension: str
     params: dict[str, Any] = field(default_factory=dict, hash=False)
+    number: int = 1
 
     @property
     def name(self) -> str:
-        return f"{self.column}_{self.rule}"
+        return f"{self.column}_{self.rule}" + (f"_{self.number}" if self.number > 1 else "")
 
 
 def _required(check: Check, key: str) -> Any:
@@ -114,11 +115,16 @@ def read_json(path: str) -> Any:
 
 
 def checks_from_config(config: dict[str, Any]) -> list[Check]:
-    """Checks in config order; a column whose rule list is null or empty has none."""
-    found = []
+    """Checks in config order; a column whose rule list is null or empty has none.
+
+    Checks with the same column and rule are numbered, so that no two share a name.
+    """
+    found: list[Check] = []
     for column in config["columns"]:
         for rule in column["dq_rule(s)"] or []:
-            check = Check(column["column_name"], rule["rule_name"], rule["rule_dimension"], rule.get("add_info") or {})
+            name, kind = column["column_name"], rule["rule_name"]
+            number = 1 + sum((c.column, c.rule) == (name, kind) for c in found)
+            check = Check(name, kind, rule["rule_dimension"], rule.get("add_info") or {}, number)
             rule_of(check)
             found.append(check)
     return found

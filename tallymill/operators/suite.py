@@ -198,13 +198,16 @@ def route_actions(df: DataFrame, checks: Sequence[Check], catalogue: DataFrame)
     """What the rule catalogue orders for each check of the suite, given its violations.
 
     `catalogue` has rule_name, status and action. Rules that are not active ('A') are skipped.
-    Action R quarantines the rows, F fails the batch, A accepts and logs.
+    Action R quarantines the rows, F fails the batch, A accepts and logs. A check that the catalogue
+    does not list stays in the outcome, as "not_listed" if it has violations.
     """
     counts = suite_counts(df, checks)
-    joined = counts.join(catalogue.where(F.col("status") == "A"), counts["check_name"] == catalogue["rule_name"])
+    joined = counts.join(catalogue, counts["check_name"] == catalogue["rule_name"], "left")
+    joined = joined.where(F.col("rule_name").isNull() | (F.col("status") == "A"))
     hit = F.col("unexpected_count") > 0
     outcome = (
         F.when(~hit, "none")
+        .when(F.col("rule_name").isNull(), "not_listed")
         .when(F.col("action") == "R", "quarantine_rows")
         .when(F.col("action") == "F", "fail_batch")
         .otherwise("accept_and_log")

@@ -76,7 +76,8 @@ def on_grid(samples: DataFrame, step: int, labels: Sequence[str], inputs: Mappin
     secs = seconds(F.col("ts"))
     wanted = samples.where(F.col("metric").isin(sorted({s.metric for s in inputs.values()})))
     values = [
-        F.max_by(F.when(s.column(), F.col("value")), F.when(s.column(), F.col("ts"))).alias(name)
+        # of samples with one time the largest counts, so that a repeated run gives the same
+        F.max(F.when(s.column(), F.struct("ts", "value")))["value"].alias(name)
         for name, s in inputs.items()
     ]
     grid = wanted.groupBy(

@@ -54,11 +54,13 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str], version:
 def sync(target: DataFrame, incoming: DataFrame, keys: Sequence[str], version: Column, current: str) -> DataFrame:
     """Insert unknown keys and apply newer rows; older or equal rows leave the target alone.
 
-    One full outer join does both, so the two sides shuffle once.
+    Of several incoming rows of one key the newest counts. Columns that only `incoming` has are kept,
+    with null for target rows that no row replaces. One full outer join does both, so the two sides
+    shuffle once.
     """
-    given = incoming.withColumn("_version", version).alias("n")
-    held = target.withColumn("_held", F.col(current)).alias("o")
-    take = F.col(f"o.{keys[0]}").isNull() | F.coalesce(F.col("o._held") < F.col("n._version"), F.lit(False))
+    given = latest_per_key(incoming.withColumn("_version", version), keys, "_version").alias("n")
+    held = target.withColumns({"_held": F.col(current), "_there": F.lit(True)}).alias("o")
+    take = F.col("o._there").isNull() | F.coalesce(F.col("o._held") < F.col("n._version"), F.lit(False))
     joined = held.join(given, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys], "full_outer")
     out = []
     for c in target.columns:
@@ -68,4 +70,5 @@ def sync(target: DataFrame, incoming: DataFrame, keys: Sequence[str], version: C
             out.append(F.when(take, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c))
         else:
             out.append(F.col(f"o.{c}"))
+    out += [F.when(take, F.col(f"n.{c}")).alias(c) for c in incoming.columns if c not in target.columns]
     return joined.select(*out)

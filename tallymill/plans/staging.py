@@ -35,7 +35,7 @@ def stage(
     kept = first_per_key(raw.where(F.col("UnqID").isNotNull()), [*within, *keys])
     staged = kept.select(
         *within,
-        surrogate_key(*KEYS).alias("cyclingid"),
+        surrogate_key(*keys).alias("cyclingid"),
         F.col("Year").alias("year"),
         F.col("UnqID").alias("unqid"),
         parse_date(F.col("Date"), strict=strict).alias("date"),

@@ -63,8 +63,9 @@ def to_fetch(manifest: DataFrame, fetched: DataFrame, version: str, place: str |
     `fetched` holds one row per file name with the version last fetched.
     """
     wanted = manifest if place is None else manifest.where(contains_ci(F.col("name"), place))
-    last = fetched.select("name", F.col(version).alias("_seen"))
-    return wanted.join(last, "name", "left").where(~F.col(version).eqNullSafe(F.col("_seen"))).drop("_seen")
+    last = fetched.select("name", F.col(version).alias("_seen"), F.lit(True).alias("_there"))
+    changed = F.col("_there").isNull() | ~F.col(version).eqNullSafe(F.col("_seen"))
+    return wanted.join(last, "name", "left").where(changed).drop("_seen", "_there")
 
 
 def mark_fetched(files: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymill.operators import suite
 from tallymill.operators.checks import Check
@@ -50,5 +51,7 @@ def land_checked(rows: DataFrame, checks: Sequence[Check], out: str, checkpoint:
 
 
 def stored(spark: SparkSession, out: str, part: str) -> DataFrame:
-    """What `land_checked` stored: `rows`, `report` or `audit`, all batches."""
-    return spark.read.parquet(f"{out}/{part}")
+    """What `land_checked` stored: `rows`, `report` or `audit`, all batches. Topics stay text, also `007`."""
+    path = f"{out}/{part}"
+    fields = [T.StructField(f.name, T.StringType()) if f.name == "topic" else f for f in spark.read.parquet(path).schema]
+    return spark.read.schema(T.StructType(fields)).parquet(path)

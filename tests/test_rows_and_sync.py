@@ -256,3 +256,36 @@ def test_failed_validation_keeps_the_old_table(spark, rows, tmp_path):
     with pytest.raises(Exception, match="field Path is missing"):
         jobs.validate_and_load(counts(spark, {}, {"Path": None}), RAW_BATCH, path)
     assert spark.read.parquet(path).count() == 1
+
+
+def test_sync_keeps_keys_unique_and_new_columns(spark, rows):
+    target = spark.createDataFrame([(1, "a", 5), (2, "b", 5)], "k long, v string, t long")
+    incoming = spark.createDataFrame([(2, "old", 4, "w"), (3, "x", 1, "y"), (3, "z", 2, "q"), (1, "n", 9, "m")], "k long, v string, t long, more string")
+    out = upsert.sync(target, incoming, ["k"], F.col("t"), "t")
+    assert rows(out, "k", "v", "t", "more") == [(1, "n", 9, "m"), (2, "b", 5, None), (3, "z", 2, "q")]
+
+
+def test_files_without_a_version_are_fetched_once(spark, rows):
+    listed = spark.createDataFrame([("a", None), ("b", 1), ("c", 2)], "name string, v long")
+    fetched = spark.createDataFrame([("b", 1), ("c", 1)], "name string, v long")
+    assert rows(manifest.to_fetch(listed, fetched, "v"), "name") == [("a",), ("c",)]
+    assert rows(manifest.to_fetch(listed, listed, "v"), "name") == []
+
+
+def test_surrogate_key_follows_the_keys(spark):
+    raw = spark.createDataFrame([tuple("x" if f == "UnqID" else d if f == "Dir" else "1" for f in RAW_BATCH.fieldNames()) for d in ("N", "S")], RAW_BATCH)
+    out = staging.stage(raw, keys=(*staging.KEYS, "Dir"))
+    assert out.count() == 2 and out.select("cyclingid").distinct().count() == 2
+
+
+@pytest.mark.parametrize("accuracy", [10, 200, 100_000])
+def test_quantiles_are_exact_at_any_accuracy(spark, accuracy):
+    rnd = random.Random(4)
+    values = {"a": [rnd.gauss(0, 1) for _ in range(5000)], "b": [rnd.randrange(5) for _ in range(999)], None: [1.0]}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in values.items() for v in vs], "k string, v double").repartition(4)
+    points = [0.0, 0.1, 0.5, 0.99, 1.0]
+    got = {(r.k, r.quantile): r.value for r in distribution.quantiles(df, ["k"], F.col("v"), points, accuracy).collect()}
+    for k, vs in values.items():
+        ordered = sorted(vs)
+        for p in points:
+            assert got[(k, p)] == ordered[max(0, -int(-len(vs) * p // 1) - 1)]

@@ -161,13 +161,18 @@ def test_stream_of_notifications_agrees_with_the_batch(spark, tmp_path, rows):
     assert len(expected) == 10
 
 
-def test_late_intervals_are_dropped(spark, rows):
-    firing = spark.createDataFrame([("a", "2024-01-01 00:00:00"), ("a", "2024-01-01 00:05:00")], "job string, t string")
-    firing = firing.select("job", F.col("t").cast("timestamp_ntz").alias("ts"))
-    base = 1704067200
-    state = spark.createDataFrame([("a", base + 240, base + 240)], "job string, last long, since long")
-    out = notify.advance(firing, state, ["job"], 60, 180)
-    assert rows(out.where("n_alerts IS NOT NULL"), "tick", "since", "due") == [(base + 300, base + 240, False)]
+def test_intervals_may_come_in_pieces(spark, rows, tmp_path):
+    """An interval that is cut by batches and comes out of order is counted once, in full."""
+    out, base = str(tmp_path / "notify"), 1704067200
+    parts = [["00:00:05", "00:02:10", "00:00:50"], ["00:02:55", "00:03:10", "00:02:01"], ["00:04:00"]]
+    for part in parts:
+        firing = spark.createDataFrame([("a", f"2024-01-01 {t}") for t in part], "job string, t string")
+        firing = firing.select("job", F.col("t").cast("timestamp_ntz").alias("ts"))
+        firing.coalesce(1).write.mode("append").parquet(f"{out}/arriving")
+        arriving = topics.replay_topics(spark, f"{out}/arriving", firing.schema, "parquet")
+        notify.land_notifications(arriving, ["job"], 60, 180, out, f"{out}/checkpoint", lateness="30 seconds")
+    sent = spark.read.parquet(f"{out}/sent")
+    assert rows(sent, "since", "sent_at", "n_alerts") == [(base, base, 2), (base + 120, base + 120, 3)]
 
 
 def test_jdbc_append_options(spark, monkeypatch):
@@ -188,3 +193,20 @@ def test_connector_by_format_name(spark, rows, tmp_path):
     assert rows(tables.load(spark, "parquet", {"path": str(tmp_path / "t")})) == [(0,), (1,)]
     with pytest.raises(Exception, match="(?i)kafka"):
         topics.read_topics(spark, "host:9092", ["Central"])
+
+
+def test_headers_as_the_connector_gives_them(spark, rows):
+    """An array of key and binary value; all of them are kept, the last of a key counts."""
+    fields = "topic string, value string, partition int, offset long, timestamp timestamp, error_message string, headers array<struct<key: string, value: binary>>"
+    given = [("dlq_retry", bytearray(b"1")), ("trace", bytearray(b"a")), ("trace", bytearray(b"b"))]
+    messages = spark.createDataFrame([("t", "x", 0, 1, None, "bad", given), ("t", "y", 0, 2, None, "bad", None)], fields)
+    dead = dead_letters.envelope(messages)
+    wanted = {1: {"dlq_retry": "1", "dlq_retry_max": "3", "trace": "b"}, 2: {"dlq_retry": "0", "dlq_retry_max": "3"}}
+    assert {r.offset: r.headers for r in dead.collect()} == wanted
+    again = {r.offset: r.headers for r in dead_letters.retry(dead).collect()}
+    assert again == {1: wanted[1] | {"dlq_retry": "2"}, 2: wanted[2] | {"dlq_retry": "1"}}
+
+
+def test_topics_that_look_like_numbers(spark, tmp_path):
+    spark.createDataFrame([("007", 1), ("010", 2)], "topic string, n long").write.partitionBy("topic").parquet(str(tmp_path / "rows"))
+    assert {r.topic for r in quality.stored(spark, str(tmp_path), "rows").collect()} == {"007", "010"}

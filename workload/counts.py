@@ -38,12 +38,12 @@ def stg_counts(spark, sf):
 
 @query("union_years", f"WITH {STAGED} SELECT * FROM stg")
 def union_years(spark, sf):
-    """One raw source per year, united first and staged once; each keeps its own duplicates apart."""
+    """One raw source per year that the table has, united first and staged once; each keeps its own duplicates apart."""
     lineitem = table(spark, sf, "lineitem")
+    shipped = F.year("l_shipdate")
     yearly = []
-    for year in range(1995, 2002):
-        low, high = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
-        part = lineitem.where((F.col("l_shipdate") >= low) & (F.col("l_shipdate") < high))
+    for (year,) in sorted(lineitem.select(shipped).distinct().collect(), key=str):
+        part = lineitem.where(shipped.eqNullSafe(F.lit(year)))
         yearly.append(raw_stream(part).withColumn("source", F.lit(str(year))))
     return staging.stage(to_batch_names(rows.union_all(yearly)), source="source").drop("source")
 
