@@ -29,6 +29,9 @@ BLOCK = 4000  # documents whose signatures are combined before they are shuffled
 GROWTH = 1.4  # ratio of the size classes
 
 
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         made = self[word] = xxhash.xxh64_intdigest(word)
@@ -54,10 +57,14 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     n = min(width, len(hashed))
     if not n:
         return hashed
-    total = np.zeros(len(hashed) - n + 1, np.uint64)
-    for k in range(n):
-        total = _mix(total + hashed[k : len(hashed) - n + 1 + k], n)
-    return np.unique(total)
+    places = len(hashed) - n + 1
+    total = hashed[:places].copy()
+    for k in range(1, n):
+        total *= _STEP
+        total += hashed[k : k + places]
+    total = _mix(total, n)
+    total.sort()
+    return total[np.r_[True, total[1:] != total[:-1]]]
 
 
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
