@@ -24,21 +24,25 @@ from pyspark.sql import functions as F
 
 from tallymill.llm.common import in_mask, mask, mask_place, stored
 
-REMEMBERED = 400_000  # hashes of words per task process
 BLOCK = 4000  # documents whose signatures are combined before they are shuffled
 GROWTH = 1.4  # ratio of the size classes
 
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+PIECE = 1 << 14  # bytes of a text whose words are hashed at a time
+_SPACES = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_BYTES = np.random.default_rng(8).integers(1, 1 << 63, 256, np.uint64) * ~_SPACES  # a number for each byte, 0 for white space
+_BASE = 0xD6E8FEB86659FD93
+_UNBASE = pow(_BASE, -1, 1 << 64)
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        made = self[word] = xxhash.xxh64_intdigest(word)
-        return made
+def _powers(base: int, n: int) -> np.ndarray:
+    made = np.full(n, base, np.uint64)
+    made[:1] = 1
+    return np.multiply.accumulate(made)
 
 
-_WORDS = _Words()
+_POWERS = (_powers(_BASE, PIECE), _powers(_UNBASE, PIECE))
 
 
 def _mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -48,12 +52,37 @@ def _mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _pieces(data: bytes) -> Iterator[bytes]:
+    """`data` cut at white space into pieces of about `PIECE` bytes; only a longer word makes a longer piece."""
+    start = 0
+    while len(data) - start > PIECE:
+        end = start + PIECE
+        while end < len(data) and not _SPACES[data[end]]:
+            end += 1
+        yield data[start:end]
+        start = end
+    yield data[start:]
+
+
+def _word_hashes(piece: bytes) -> np.ndarray:
+    """A hash of each word, a polynomial in its bytes, from sums over all bytes of the piece."""
+    codes = np.frombuffer(piece, np.uint8)
+    n = len(codes)
+    up, down = _POWERS if n <= PIECE else (_powers(_BASE, n), _powers(_UNBASE, n))
+    values = np.zeros(n + 2, np.uint64)  # white space is 0, and so are both ends
+    values[1:-1] = _BYTES[codes]
+    space = values == 0
+    edge = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = edge[::2], edge[1::2]
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(values[1:-1] * up[:n], out=sums[1:])
+    return _mix((sums[ends] - sums[starts]) * down[starts])
+
+
 def shingles(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct hashes of the text's word n-grams; a shorter text is one n-gram, an empty one none."""
-    words = (text or "").encode("utf-8", "replace").lower().split()  # of bytes: A-Z only, ASCII white space
-    if len(_WORDS) > REMEMBERED:
-        _WORDS.clear()
-    hashed = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    data = (text or "").encode("utf-8", "replace").lower()  # of bytes: A-Z only, ASCII white space
+    hashed = np.concatenate([_word_hashes(p) for p in _pieces(data)])
     n = min(width, len(hashed))
     if not n:
         return hashed
