@@ -71,14 +71,13 @@ def suite_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 def report_rows(counts: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> DataFrame:
     """Turn (by..., check_no, unexpected_count, element_count) into the eight report columns, config order."""
     no = F.col("check_no")
+    # one short row per check fits one partition and keeps the config order; with `by` there may be many
+    placed = counts if by else counts.coalesce(1)
     bad_percent = F.when(
         F.col("element_count") > 0, F.col("unexpected_count") / F.col("element_count") * 100
     ).otherwise(0.0)
     return (
-        # at most one short row per check (and topic), so one partition is enough to keep the config order
-        counts.coalesce(1)
-        .sortWithinPartitions(*by, "check_no")
-        .select(
+        placed.sortWithinPartitions(*by, "check_no").select(
             *by,
             _by_check_no([c.column for c in checks], no).alias("column"),
             _by_check_no([c.dimension for c in checks], no).alias("dimension"),

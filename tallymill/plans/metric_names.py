@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.operators.rows import evaluate_once
@@ -89,41 +88,33 @@ MAPPINGS = [
 ]
 
 
-RULE = "array<struct<metric:string,metric_type:string,pattern:string,names:array<string>,groups:array<int>>>"
+RULE = "struct<metric:string,metric_type:string,labels:map<string,string>>"
+
+
+def _rule(raw: Column, mappings: Sequence[NameMapping]) -> Column:
+    """Metric, type and labels by the first pattern that a name matches; null if none does."""
+    found = F.lit(None).cast(RULE)
+    for m in reversed(mappings):
+        labels = [x for label, group in m.labels.items() for x in (F.lit(label), F.regexp_extract(raw, m.pattern, group))]
+        made = F.struct(F.lit(m.name).alias("metric"), F.lit(m.metric_type).alias("metric_type"), F.create_map(*labels).alias("labels"))
+        found = F.when(raw.rlike(m.pattern), made).otherwise(found)
+    return found
 
 
 def map_names(names: DataFrame, column: str, mappings: Sequence[NameMapping] = MAPPINGS) -> DataFrame:
     """(column, metric, metric_type, labels) of the first pattern each name matches; other names go."""
-    raw = F.col(column)
-    table = [
-        {
-            "metric": m.name,
-            "metric_type": m.metric_type,
-            "pattern": m.pattern,
-            "names": list(m.labels),
-            "groups": list(m.labels.values()),
-        }
-        for m in mappings
-    ]
-    rules = F.from_json(F.lit(json.dumps(table)), RULE)
-    first = F.get(F.filter(rules, lambda r: F.rlike(raw, r["pattern"])), F.lit(0))
-    rule = F.col("_rule")
-    parts = F.transform(rule["groups"], lambda group: F.call_function("regexp_extract", raw, rule["pattern"], group))
-    # evaluated once: the null filter would otherwise be pushed below the distinct, to every sample
-    ruled = evaluate_once(names.select(raw), "_rule", first).where("_rule IS NOT NULL")
-    return ruled.select(
-        raw,
-        rule["metric"].alias("metric"),
-        rule["metric_type"].alias("metric_type"),
-        F.map_from_arrays(rule["names"], parts).alias("labels"),
+    return map_metrics(names.select(column, F.col(column).alias("_name")), "_name", mappings).select(
+        column, "metric", "metric_type", "labels"
     )
 
 
 def map_metrics(raw: DataFrame, column: str, mappings: Sequence[NameMapping] = MAPPINGS) -> DataFrame:
     """Samples with `metric`, `metric_type` and `labels` in place of the flat name; unmatched names go.
 
-    The patterns run once per distinct name, not once per sample.
+    A name's mapping depends on the name alone, so it is found in the sample's own row, without a
+    join. Patterns are literals, compiled once.
     """
-    known = map_names(raw.select(column).distinct(), column, mappings)
     rest = [c for c in raw.columns if c != column]
-    return raw.join(known, column).select("metric", "metric_type", "labels", *rest)
+    # evaluated once: the null filter would otherwise repeat the patterns
+    ruled = evaluate_once(raw, "_rule", _rule(F.col(column), mappings)).where("_rule IS NOT NULL")
+    return ruled.select("_rule.metric", "_rule.metric_type", "_rule.labels", *rest)

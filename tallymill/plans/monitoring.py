@@ -196,9 +196,9 @@ GROUPED_RATES = [
 
 RATE_RATIOS = [
     _disk_latency("HostUnusualDiskReadLatency", "node_disk_read_time_seconds_total", "node_disk_reads_completed_total"),
-    # the published rule names a metric with a stray letter, so it can never fire; kept as published
+    # the published rule names the metric with a stray letter at its end and could never fire
     _disk_latency(
-        "HostUnusualDiskWriteLatency", "node_disk_write_time_seconds_totali", "node_disk_writes_completed_total",
+        "HostUnusualDiskWriteLatency", "node_disk_write_time_seconds_total", "node_disk_writes_completed_total",
         _NO_MMC,
     ),
     _packet_errors("HostNetworkReceiveErrors", "node_network_receive_errs_total", "node_network_receive_packets_total"),

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymill.functions.keys import surrogate_key
 from tallymill.operators.rows import evaluate_once
 
 CORRUPT = "_corrupt_record"
@@ -72,12 +73,20 @@ def as_messages(df: DataFrame, topic: Column, columns: Sequence[str] | None = No
     return df.select(topic.alias("topic"), encode(df, columns).alias("value"))
 
 
-def publish(df: DataFrame, servers: str, topic: str, batch_id: int | None = None) -> None:
+def with_ids(df: DataFrame, batch_id: int, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows with `batch_id` and `row_id`, a hash of `keys` or else of all columns; a repeated batch gives the same ids.
+
+    Rows that are alike in the keys share an id, so give keys that tell apart what must not be dropped.
+    """
+    return df.withColumns({"row_id": surrogate_key(*(keys or df.columns)), "batch_id": F.lit(batch_id).cast("bigint")})
+
+
+def publish(df: DataFrame, servers: str, topic: str, batch_id: int | None = None, keys: Sequence[str] = ()) -> None:
     """Publish rows as JSON messages. Delivery is at least once.
 
-    With `batch_id`, each message carries it, so a reader can drop what a repeated batch sends twice.
-    An empty DataFrame publishes nothing.
+    With `batch_id`, each message carries it and a row id, so a reader can drop what a repeated batch
+    sends twice. An empty DataFrame publishes nothing.
     """
-    tagged = df if batch_id is None else df.withColumn("batch_id", F.lit(batch_id))
+    tagged = df if batch_id is None else with_ids(df, batch_id, keys)
     out = tagged.select(encode(tagged).alias("value"))
     out.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()

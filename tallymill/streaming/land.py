@@ -48,9 +48,13 @@ def each_batch(df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoi
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, by: Sequence[str] = ()) -> str:
-    """Store one batch under its id; running it again replaces it."""
+    """Store one batch under its id; running it again replaces it.
+
+    With `by`, the rows of a folder are brought together first, or each task would add a file to each
+    folder; a folder that holds most rows is still split over tasks.
+    """
     target = f"{path}/batch_id={batch_id}"
-    writer = df.write.mode("overwrite")
+    writer = (df.hint("rebalance", *by) if by else df).write.mode("overwrite")
     (writer.partitionBy(*by) if by else writer).parquet(target)
     return target
 

@@ -210,3 +210,36 @@ def test_headers_as_the_connector_gives_them(spark, rows):
 def test_topics_that_look_like_numbers(spark, tmp_path):
     spark.createDataFrame([("007", 1), ("010", 2)], "topic string, n long").write.partitionBy("topic").parquet(str(tmp_path / "rows"))
     assert {r.topic for r in quality.stored(spark, str(tmp_path), "rows").collect()} == {"007", "010"}
+
+
+def test_job_routes_every_message(spark, tmp_path, rows):
+    source, out = tmp_path / "topic", str(tmp_path / "out")
+    drop_messages(source, "a.json", [json.dumps(GOOD), json.dumps({**GOOD, "SiteID": None}), "{broken"])
+    drop_messages(source, "b.json", [json.dumps({**GOOD, "Count": "-1"}), json.dumps({**GOOD, "Path": None})], topic="007")
+    drop_messages(source, "c.json", ["{broken", None], topic="Inner")
+    actions = {"SiteID_check_if_not_null": "F", "Count_check_if_greater_than_or_equal_to": "R", "Path_check_if_not_null": "A"}
+    arriving = topics.replay_topics(spark, str(source), MESSAGE, max_files=1)
+    quality.land_routed(arriving, RAW_STREAM, COUNT_CHECKS, actions, out, str(tmp_path / "cp"), "2024-01-01 00:00:00")
+    parts = Counter((r["topic"], r["part"]) for r in quality.settled(spark, out).collect())
+    assert parts == {("Central", "held"): 2, ("007", "quarantined"): 1, ("007", "accepted"): 1}
+    dead = quality.stored(spark, out, "dead")
+    assert rows(dead, "topic", "original_message") == [("Central", "{broken"), ("Inner", "{broken"), ("Inner", None)]
+    outcome = quality.stored(spark, out, "outcome").where("outcome <> 'none'")
+    assert {(r["topic"], r["outcome"]) for r in outcome.collect()} == {
+        ("Central", "fail_batch"), ("007", "quarantine_rows"), ("007", "accept_and_log"),
+    }
+    assert quality.stored(spark, out, "outcome").where("topic = '007'").count() == len(COUNT_CHECKS)
+
+
+def test_ids_repeat_with_the_batch(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    first, again = (topics.with_ids(df, 7).collect() for _ in range(2))
+    assert first == again and len({r.row_id for r in first}) == 2 and {r.batch_id for r in first} == {7}
+    assert [r.row_id for r in topics.with_ids(df.drop("v"), 7).collect()] == [r.row_id for r in topics.with_ids(df, 7, ["k"]).collect()]
+
+
+def test_one_file_per_folder_of_a_batch(spark, tmp_path):
+    df = spark.range(1000, numPartitions=20).selectExpr("cast(id % 3 as string) as topic", "id")
+    stored_at = land.write_batch(df, str(tmp_path), 0, by=["topic"])
+    assert len(list((tmp_path / "batch_id=0").glob("topic=*/*.parquet"))) == 3
+    assert spark.read.parquet(stored_at).count() == 1000

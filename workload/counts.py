@@ -38,13 +38,13 @@ def stg_counts(spark, sf):
 
 @query("union_years", f"WITH {STAGED} SELECT * FROM stg")
 def union_years(spark, sf):
-    """One raw source per year that the table has, united first and staged once; each keeps its own duplicates apart."""
-    lineitem = table(spark, sf, "lineitem")
-    shipped = F.year("l_shipdate")
-    yearly = []
-    for (year,) in sorted(lineitem.select(shipped).distinct().collect(), key=str):
-        part = lineitem.where(shipped.eqNullSafe(F.lit(year)))
-        yearly.append(raw_stream(part).withColumn("source", F.lit(str(year))))
+    """One folder per year that the table has, united first and staged once; each keeps its own duplicates apart."""
+    raw = raw_stream(table(spark, sf, "lineitem"))
+    root = work_path(spark, "years")
+    raw.hint("rebalance", "source").write.partitionBy("source").parquet(root)
+    stored = spark.read.schema(raw.schema).parquet(root)
+    years = [year for (year,) in stored.select("source").distinct().collect()]
+    yearly = [stored.where(F.col("source").eqNullSafe(F.lit(year))) for year in sorted(years, key=str)]  # reads its folder only
     return staging.stage(to_batch_names(rows.union_all(yearly)), source="source").drop("source")
 
 
