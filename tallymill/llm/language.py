@@ -9,6 +9,7 @@ one small table, so scoring a text is one gather per subword, of fixed memory pe
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -148,16 +149,32 @@ def fold(id_col: str) -> Column:
 
 
 def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> list[tuple[str, str]]:
-    """At most `SAMPLE` rows that are not held out, the same at every run: the first by checksum per label."""
+    """At most `SAMPLE` rows that are not held out, the same at every run: the first by checksum per label.
+
+    Labels are counted first, so that only the share of a label's rows with small checksums, about
+    twice what is wanted, meets in one task. Where rows repeat so that it falls short, all rows are ranked.
+    """
     labelled = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull() & (fold(id_col) != 0))
     rows = labelled.select(
         F.substring(text_col, 1, SAMPLE["chars"]).alias("text"),
         F.col(label_col).cast("string").alias("label"),
         F.xxhash64(F.col(id_col).cast("string"), F.substring(text_col, 1, 200)).alias("h"),
     )
+    counted = rows.groupBy("label").agg(F.count("*").alias("n")).orderBy("label").limit(SAMPLE["rows"]).collect()
+    most = SAMPLE["rows_per_label"]
+    shares = {r["label"]: min(1.0, (2 * most + 200) / r["n"]) for r in counted}
+    bounds = json.dumps({label: int(share * (2**64 - 1)) - 2**63 for label, share in shares.items()})
+    near = rows.where(F.col("h") <= F.from_json(F.lit(bounds), "map<string,bigint>")[F.col("label")])
     order = Window.partitionBy("label").orderBy("h", "text")
-    ranked = rows.withColumn("at", F.row_number().over(order)).where(F.col("at") <= SAMPLE["rows_per_label"])
-    return [(r["text"], r["label"]) for r in ranked.orderBy("at", "label").limit(SAMPLE["rows"]).collect()]
+
+    def first(rows: DataFrame) -> list[Row]:
+        ranked = rows.withColumn("at", F.row_number().over(order)).where(F.col("at") <= most)
+        return ranked.orderBy("at", "label").limit(SAMPLE["rows"]).collect()
+
+    found = first(near)
+    if len(found) < min(SAMPLE["rows"], sum(min(r["n"], most) for r in counted)):
+        found = first(rows)
+    return [(r["text"], r["label"]) for r in found]
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

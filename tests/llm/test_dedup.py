@@ -163,3 +163,17 @@ def test_long_texts_are_hashed_in_pieces(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECE", 300)
     covered = [i for _, _, at, more in suffix_dedup.anchors(data, 100) for a, m in zip(at, more, strict=True) for i in range(a, a + m + 1)]
     assert covered == list(range(4901))
+
+
+def test_shingles_of_texts_in_pieces(monkeypatch):
+    """Words have one hash wherever they stand and however a text is cut; a word may be longer than a piece."""
+    words = [rnd.choice(["a", "b", "Ab", "é", "x" * 90, "\x00", "\x00\x00", "\x85y"]) for _ in range(400)]
+    text = "".join(w + rnd.choice([" ", "\t\n", "  \x0b"]) for w in words)
+    lowered = [w.replace("A", "a") for w in words]
+    for width in (1, 4):
+        whole = jaccard.shingles(text, width)
+        assert len(whole) == len({tuple(lowered[i : i + width]) for i in range(len(words) - width + 1)})
+        with monkeypatch.context() as m:
+            m.setattr(jaccard, "PIECE", 16)
+            assert list(jaccard.shingles(text, width)) == list(whole)
+    assert list(jaccard.shingles("  a B\r", 4)) == list(jaccard.shingles("A b", 4)) and not len(jaccard.shingles(" \n", 4))

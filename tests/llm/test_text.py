@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallymill.llm import bpe, html_text, language, licenses, queries, sharding, templates, warc
@@ -49,6 +50,16 @@ def test_language_of_odd_texts(documents):
     assert language.sample(documents([])) == []
 
 
+def test_sample_is_the_first_by_checksum(documents, monkeypatch):
+    """Also where equal rows share a checksum, so that no share of them is about what is wanted."""
+    for texts in ([f"text {i}" for i in range(900)], ["same"] * 900):
+        docs = documents([(i if len(set(texts)) > 1 else 1, t) for i, t in enumerate(texts)]).withColumn("lang", F.when(F.col("text").endswith("7"), "b").otherwise("a"))
+        monkeypatch.setattr(language, "SAMPLE", {"rows_per_label": 3, "rows": 5, "chars": 20})
+        rows = docs.where(language.fold("doc_id") != 0).select("text", "lang", F.xxhash64(F.col("doc_id").cast("string"), "text").alias("h")).collect()
+        ranked = [(at, r.lang, r.text) for lang in ("a", "b") for at, r in enumerate(sorted((r for r in rows if r.lang == lang), key=lambda r: (r.h, r.text))[:3])]
+        assert language.sample(docs) == [(text, lang) for _, lang, text in sorted(ranked)[:5]]
+
+
 def test_licence_words_against_brute_force(documents):
     parts = ["CC BY", "cc-by", "cc", "by", "General Public License", "general  public\nlicense", "All rights reserved", "é", "1", "_", "Ä", "x\x80y"]
     rows = [(i, rnd.choice([" ", ". ", "\n"]).join(rnd.choices(parts, k=rnd.randint(0, 12)))) for i in range(200)] + [(300, None), (300, ""), (None, "cc by")]
