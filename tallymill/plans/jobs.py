@@ -11,6 +11,7 @@ from tallymill.functions.times import parse_date, parse_time_of_day, parse_times
 from tallymill.operators.contract import require_contract
 from tallymill.operators.rows import distinct_rows, lower_names, open_range
 from tallymill.plans import marts, staging
+from tallymill.session import work_path
 from tallymill.sources.files import read_counts
 from tallymill.sources.tables import Models, overwrite_and_read
 from tallymill.sources.topics import as_messages, parse_payload, replay_topics
@@ -65,10 +66,10 @@ def reload_trips(raw: DataFrame, drop: list[str], stamp: str, low: str, high: st
 def validate_and_load(raw: DataFrame, schema: T.StructType, out: str) -> DataFrame:
     """Replace the stored table; a row that breaks the contract fails the write and nothing is replaced.
 
-    The rows go to a sibling path first, since overwriting deletes the old files before the new
+    The rows go to a path of this run first, since overwriting deletes the old files before the new
     ones are known to be good.
     """
-    staged = f"{out}.incoming"
+    staged = work_path(raw.sparkSession, "incoming")
     checked = overwrite_and_read(require_contract(raw, schema), staged)
     return overwrite_and_read(checked, out)
 
