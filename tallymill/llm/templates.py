@@ -3,7 +3,9 @@
 Every text becomes a template: its words in lower case, with typed placeholders for numbers, for
 units after a number and for names. Windows of template words are joined by hash with those of the
 benchmark, the templates are compared word by word, and the slot values of matching windows must
-map consistently: one value of the item to one value of the document. Only DataFrame functions run.
+map consistently: one value of the item to one value of the document. Windows that are mostly
+placeholders tell nothing as templates; they are compared by their raw words. Only DataFrame
+functions run.
 
 A document's windows are tested inside its row against a bitmap of fixed size that the benchmark's
 windows set, so only windows that may match leave the row; the join that follows is exact.
@@ -102,11 +104,14 @@ def _prepared(table: DataFrame, id_col: str, text_col: str, name: str) -> DataFr
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", coverage: float = LEAST_COVERAGE) -> DataFrame:
     """One row per document and item it gives away: `doc_id`, `item_id`, `n_windows`, `matched`, `coverage`, `kind`.
 
-    `n_windows` counts the item's windows that can be looked for, `matched` those found in the document in consistent
-    alignments; a row needs the share `coverage`. `kind` is "copy" if every slot has the item's own
-    value in some alignment, else "slots". An item shorter than a window is one window; one with
-    fewer than four words that are no placeholder in any window cannot be found. Null and empty
-    texts match nothing; rows that repeat a doc_id count as one document.
+    Windows with four words that are no placeholder are looked for as templates, the others by their
+    raw words in any case. `n_windows` counts the item's windows, `matched` those found in the
+    document in consistent alignments; where the templates alone are found in a larger share, both
+    count the windows looked for as templates. A row needs the share `coverage`. `kind` is "copy" if
+    every slot has the item's own value in some alignment, else "slots". An item shorter than a
+    window is one window; one with fewer than four words cannot be found, and one with fewer than
+    four that are no placeholder in any window only as it stands. Null and empty texts match
+    nothing; rows that repeat a doc_id count as one document.
     """
     items = _prepared(benchmark, item_col, item_text_col, "item_id")
     short = items.select(F.least(F.lit(WINDOW), F.size("raw")).alias("w")).where(F.col("w") >= LEAST_LITERAL).distinct()
@@ -114,56 +119,85 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     wanted = []
     for width in widths:
         fits = items.where(F.least(F.lit(WINDOW), F.size("raw")) == width)
-        exploded = fits.select("item_id", "raw", "words", F.size("raw").alias("n"), F.explode(windows(F.col("words"), width)).alias("w"))
+        cut = lambda c: F.slice(c, F.col("w.at") + 1, F.lit(width))  # noqa: B023, E731
+        exploded = fits.select("item_id", "raw", "words", F.explode(windows(F.col("words"), width)).alias("w"))
+        parts = exploded.select("item_id", F.col("w.at").alias("item_at"), F.col("w.h").alias("h"), F.lit(width).alias("width"), cut("raw").alias("item_raw"), cut("words").alias("template"), F.transform(cut("raw"), _value).alias("said"))
+        said = F.xxhash64(*[F.xxhash64(F.get("said", F.lit(k))) for k in range(width)])
         wanted.append(
-            exploded.select(
-                "item_id", (F.col("n") - width + 1).alias("n_windows"), F.col("w.at").alias("item_at"), F.col("w.h").alias("h"), F.lit(width).alias("width"),
-                F.slice("raw", F.col("w.at") + 1, F.lit(width)).alias("item_raw"), F.slice("words", F.col("w.at") + 1, F.lit(width)).alias("template"),
-            )
+            parts.withColumn("exact", F.size(F.filter("template", lambda x: ~x.isin(NUMBER, UNIT, NAME))) < LEAST_LITERAL)
+            .withColumn("h", F.when(F.col("exact"), said).otherwise(F.col("h")))
+            .withColumn("key", F.when(F.col("exact"), F.col("said")).otherwise(F.col("template")))
+            .drop("said")
         )
     if not wanted:
         return _empty(docs, benchmark, id_col, item_col)
-    literal = F.size(F.filter("template", lambda x: ~x.isin(NUMBER, UNIT, NAME))) >= LEAST_LITERAL
-    wanted = reduce(DataFrame.unionByName, wanted).where(literal)
-    mask = _mask(wanted.select("h"))
+    wanted = reduce(DataFrame.unionByName, wanted)
+    exact = {r["width"] for r in wanted.where("exact").select("width").distinct().collect()}  # widths with windows to compare by raw words
+    ends = [wanted.where("exact").select(F.xxhash64(F.get("key", k)).alias("h")) for k in (F.lit(0), F.col("width") - 1)]
+    mask = _mask(reduce(DataFrame.unionByName, [wanted.select("h"), *ends]))
+    totals = wanted.groupBy("item_id").agg(F.count_distinct("item_at").alias("n_all"), F.count_distinct(F.when(~F.col("exact"), F.col("item_at"))).alias("n_templates"))
 
     rows = _prepared(docs, id_col, text_col, "doc_id")
     # bound, the mask stands in the plan once
-    cut = _bound(mask, lambda m: F.concat(*[_candidates(m, width) for width in widths]))
+    cut = _bound(mask, lambda m: F.concat(*[_candidates(m, width, by) for width in widths for by in (False, True) if not by or width in exact]))
     met = rows.select("doc_id", F.explode(cut).alias("w")).select("doc_id", "w.*")
-    same = ["h", "width", "template"]
-    pairs = met.join(wanted, same).select("doc_id", "item_id", "n_windows", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), _slots().alias("slots"))
+    same = ["h", "width", "exact", "key"]
+    pairs = met.join(wanted, same).select("doc_id", "item_id", "exact", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), _slots().alias("slots"))
     # one alignment of a document and an item: do its slots agree?
     aligned = pairs.groupBy("doc_id", "item_id", "shift").agg(
-        F.max("n_windows").alias("n_windows"), F.collect_set("item_at").alias("ats"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots")
+        F.collect_set("item_at").alias("ats"), F.collect_set(F.when(~F.col("exact"), F.col("item_at"))).alias("template_ats"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots")
     )
     one_value = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["item"])))
     same_value = ~F.exists("slots", lambda s: s["item"] != s["doc"])
-    return (
+    places = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c))))
+    found = (
         aligned.where(one_value)
         .groupBy("doc_id", "item_id")
-        .agg(F.max("n_windows").alias("n_windows"), F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("matched"), F.max(same_value).alias("copied"))
+        .agg(places("ats").alias("all"), places("template_ats").alias("templates"), F.max(same_value).alias("copied"))
+        .join(totals.withColumnRenamed("item_id", "__item"), F.col("item_id").eqNullSafe(F.col("__item")))
+    )
+    # only templates are found with other values in the slots
+    by_template = F.col("templates") * F.col("n_all") > F.col("all") * F.col("n_templates")
+    return (
+        found.withColumn("n_windows", F.when(by_template, F.col("n_templates")).otherwise(F.col("n_all")).cast("int"))
+        .withColumn("matched", F.when(by_template, F.col("templates")).otherwise(F.col("all")))
         .withColumn("coverage", F.col("matched") / F.col("n_windows"))
         .where(F.col("coverage") >= coverage)
         .select("doc_id", "item_id", "n_windows", "matched", "coverage", F.when(F.col("copied"), "copy").otherwise("slots").alias("kind"))
     )
 
 
-def _candidates(mask: Column, width: int) -> Column:
-    """A document's windows that the mask lets through, with their words."""
+def _candidates(mask: Column, width: int, exact: bool) -> Column:
+    """A document's windows of template words, or raw words if `exact`, that the mask lets through."""
     part = lambda array, w: F.slice(F.col(array), w["at"] + 1, F.lit(width))
-    return F.transform(
-        windows(F.col("words"), width, lambda h: _in_mask(mask, h)),
-        lambda w: F.struct(w["at"].alias("at"), w["h"].alias("h"), F.lit(width).alias("width"), part("raw", w).alias("raw"), part("words", w).alias("template")),
+    found = _said(mask, width) if exact else windows(F.col("words"), width, lambda h: _in_mask(mask, h))
+    key = lambda w: F.transform(part("raw", w), _value) if exact else part("words", w)
+    return F.transform(found, lambda w: F.struct(w["at"].alias("at"), w["h"].alias("h"), F.lit(width).alias("width"), F.lit(exact).alias("exact"), part("raw", w).alias("raw"), key(w).alias("key")))
+
+
+def _said(mask: Column, width: int) -> Column:
+    """Windows of raw words that the mask lets through; those whose first and last word it holds are hashed."""
+    last = F.size("raw") - width
+    hashes = _bound(
+        F.transform("raw", lambda x: F.xxhash64(_value(x))),
+        lambda hashed: F.transform(
+            F.filter(F.sequence(F.lit(0), last), lambda i: _in_mask(mask, F.get(hashed, i)) & _in_mask(mask, F.get(hashed, i + width - 1))),
+            lambda i: F.struct(i.alias("at"), F.xxhash64(*[F.get(hashed, i + k) for k in range(width)]).alias("h")),
+        ),
     )
+    return F.when(last >= 0, F.filter(hashes, lambda w: _in_mask(mask, w["h"]))).otherwise(F.array().cast("array<struct<at:int,h:bigint>>"))
+
+
+def _value(x: Column) -> Column:
+    """A raw word in lower case, wherever it stands in its sentence."""
+    return F.lower(F.ltrim(x, F.lit(START)))
 
 
 def _slots() -> Column:
     """Values of the item and the document in the placeholders of a window."""
-    value = lambda x: F.lower(F.ltrim(x, F.lit(START)))
     zipped = F.arrays_zip(F.col("template").alias("kind"), F.col("item_raw").alias("item"), F.col("raw").alias("doc"))
     slots = F.filter(zipped, lambda z: z["kind"].isin(NUMBER, UNIT, NAME))
-    return F.transform(slots, lambda z: F.struct(F.concat(z["kind"], value(z["item"])).alias("item"), F.concat(z["kind"], value(z["doc"])).alias("doc")))
+    return F.transform(slots, lambda z: F.struct(F.concat(z["kind"], _value(z["item"])).alias("item"), F.concat(z["kind"], _value(z["doc"])).alias("doc")))
 
 
 def _empty(docs: DataFrame, benchmark: DataFrame, id_col: str, item_col: str) -> DataFrame:

@@ -101,6 +101,18 @@ def test_templates(documents, spark):
     assert templates.find(documents(rows), items.limit(0)).count() == 0
 
 
+COINS = "Alice, Bob, Carol, Dave, Erin and Frank share 12, 14, 16, 18, 20 and 22 coins. Alice gives Bob 3, Carol 4 and Dave 5. How many coins does each of them hold at the end of the game?"
+
+
+def test_templates_of_items_rich_in_slots(documents, spark):
+    items = spark.createDataFrame([(1, COINS), (2, "Ann, Ben, Cid, Dan: 1, 2, 3, 4, 5, 6"), (3, ITEM)], "item_id long, text string")
+    other = COINS.replace("Alice", "Zoe").replace("Dave", "Max").replace("14", "99")
+    rows = [(1, "Text before. " + COINS + " After."), (2, other), (3, "He said that " + COINS), (4, "So it was: Ann, Ben, Cid, Dan: 1, 2, 3, 4, 5, 6 at last"), (5, "Ann, Ben, Cid, Dan: 7, 8, 9, 7, 5, 6"), (6, ITEM)]
+    got = {(r.doc_id, r.item_id): r for r in templates.find(documents(rows), items).collect()}
+    assert {k: r.kind for k, r in got.items()} == {(1, 1): "copy", (2, 1): "slots", (3, 1): "copy", (4, 2): "copy", (6, 3): "copy"}
+    assert got[1, 1].coverage == 1 and got[4, 2].coverage == 1 and got[6, 3].coverage == 1
+
+
 def test_templates_run_no_python(documents, spark):
     found = templates.find(documents([(1, ITEM)]), spark.createDataFrame([(1, ITEM)], "item_id long, text string"))
     for df in (found, licenses.scan(documents([(1, "cc by")]))):
