@@ -106,9 +106,9 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
 
     Windows with four words that are no placeholder are looked for as templates, the others by their
     raw words in any case. `n_windows` counts the item's windows, `matched` those found in the
-    document in consistent alignments; where the templates alone are found in a larger share, both
+    document in an alignment and in agreement with it (see `_agreeing`); where the templates alone are found in a larger share, both
     count the windows looked for as templates. A row needs the share `coverage`. `kind` is "copy" if
-    every slot has the item's own value in some alignment, else "slots". An item shorter than a
+    every slot of the windows found has the item's own value in some alignment, else "slots". An item shorter than a
     window is one window; one with fewer than four words cannot be found, and one with fewer than
     four that are no placeholder in any window only as it stands. Null and empty texts match
     nothing; rows that repeat a doc_id count as one document.
@@ -142,18 +142,18 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     cut = _bound(mask, lambda m: F.concat(*[_candidates(m, width, by) for width in widths for by in (False, True) if not by or width in exact]))
     met = rows.select("doc_id", F.explode(cut).alias("w")).select("doc_id", "w.*")
     same = ["h", "width", "exact", "key"]
-    pairs = met.join(wanted, same).select("doc_id", "item_id", "exact", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), _slots().alias("slots"))
-    # one alignment of a document and an item: do its slots agree?
-    aligned = pairs.groupBy("doc_id", "item_id", "shift").agg(
-        F.collect_set("item_at").alias("ats"), F.collect_set(F.when(~F.col("exact"), F.col("item_at"))).alias("template_ats"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots")
+    pairs = met.join(wanted.join(_plain_starts(items), "item_id", "left"), same).select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), F.struct("item_at", "exact", _slots().alias("slots")).alias("w"))
+    # one alignment of a document and an item: which of its windows agree?
+    aligned = pairs.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("w").alias("ws")).select("doc_id", "item_id", _agreeing(F.col("ws")).alias("ws")).where(F.size("ws") > 0)
+    aligned = aligned.select(
+        "doc_id", "item_id", F.transform("ws", lambda w: w["item_at"]).alias("ats"), F.transform(F.filter("ws", lambda w: ~w["exact"]), lambda w: w["item_at"]).alias("template_ats"),
+        F.forall("ws", _verbatim).alias("copied"),
     )
-    one_value = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["item"])))
-    same_value = ~F.exists("slots", lambda s: s["item"] != s["doc"])
     places = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c))))
     found = (
-        aligned.where(one_value)
+        aligned
         .groupBy("doc_id", "item_id")
-        .agg(places("ats").alias("all"), places("template_ats").alias("templates"), F.max(same_value).alias("copied"))
+        .agg(places("ats").alias("all"), places("template_ats").alias("templates"), F.max("copied").alias("copied"))
         .join(totals.withColumnRenamed("item_id", "__item"), F.col("item_id").eqNullSafe(F.col("__item")))
     )
     # only templates are found with other values in the slots
@@ -194,10 +194,59 @@ def _value(x: Column) -> Column:
 
 
 def _slots() -> Column:
-    """Values of the item and the document in the placeholders of a window."""
-    zipped = F.arrays_zip(F.col("template").alias("kind"), F.col("item_raw").alias("item"), F.col("raw").alias("doc"))
+    """Values of the item and the document in the placeholders of a window, and their places in the item.
+
+    `free` slots, plain words that open a sentence of the item, may have any value.
+    """
+    at = F.transform("template", lambda x, k: F.col("item_at") + k)
+    zipped = F.arrays_zip(F.col("template").alias("kind"), F.col("item_raw").alias("item"), F.col("raw").alias("doc"), at.alias("at"))
     slots = F.filter(zipped, lambda z: z["kind"].isin(NUMBER, UNIT, NAME))
-    return F.transform(slots, lambda z: F.struct(F.concat(z["kind"], _value(z["item"])).alias("item"), F.concat(z["kind"], _value(z["doc"])).alias("doc")))
+    free = lambda z: F.coalesce((z["kind"] == NAME) & (F.ascii(z["item"]) == 1) & F.array_contains("plain", _value(z["item"])), F.lit(False))
+    return F.transform(slots, lambda z: F.struct(z["at"].alias("at"), F.concat(z["kind"], _value(z["item"])).alias("item"), F.concat(z["kind"], _value(z["doc"])).alias("doc"), free(z).alias("free")))
+
+
+def _plain_starts(items: DataFrame) -> DataFrame:
+    """`plain`: the words that open a sentence of an item and are no names, as the benchmark has them in small letters elsewhere."""
+    small = items.select(F.explode("words").alias("word")).where(~F.col("word").isin(NUMBER, UNIT, NAME)).distinct()
+    starts = items.select("item_id", F.explode(F.filter("raw", lambda x: F.ascii(x) == 1)).alias("x")).select("item_id", _value(F.col("x")).alias("word"))
+    return starts.join(small, "word").groupBy("item_id").agg(F.collect_set("word").alias("plain"))
+
+
+def _verbatim(w: Column) -> Column:
+    return ~F.exists(w["slots"], lambda s: s["item"] != s["doc"])
+
+
+def _agreeing(ws: Column) -> Column:
+    """The windows of an alignment whose slots map consistently.
+
+    Windows that match word for word always count. The others must have the value of the document
+    that a slot's value has at most places, or its own if as many places have that. A value with no
+    such majority stands for two of the document's: its windows do not count, and none but those word
+    for word do if over half of the values at several places are of that kind.
+    """
+    votes = F.array_distinct(F.flatten(F.transform(ws, lambda w: F.transform(F.filter(w["slots"], lambda s: ~s["free"]), lambda s: s.dropFields("free")))))
+
+    def winner(votes: Column, item: Column) -> Column:
+        mine = lambda f: F.transform(F.filter(votes, lambda v: v["item"] == item), f)
+        count = lambda docs, d: F.size(F.filter(docs, lambda x: x == d))
+        ranked = _bound(mine(lambda v: v["doc"]), lambda docs: F.sort_array(F.transform(F.array_distinct(docs), lambda d: F.struct(count(docs, d).alias("n"), (d == item).alias("own"), d.alias("doc"))), asc=False))
+        tie = lambda r: (F.get(r, 0)["n"] == F.get(r, 1)["n"]) & ~F.get(r, 0)["own"]
+        return F.struct(item.alias("item"), _bound(ranked, lambda r: F.when(tie(r), None).otherwise(F.get(r, 0)["doc"])).alias("doc"))
+
+    pairs = lambda v: F.array_distinct(F.transform(v, lambda s: F.concat(s["item"], F.lit(START), s["doc"])))
+    names = lambda v: F.array_distinct(F.transform(v, lambda s: s["item"]))
+    several = lambda v, name: F.size(F.array_distinct(F.transform(F.filter(v, lambda s: s["item"] == name), lambda s: s["at"]))) > 1
+    split = lambda v, name: F.size(F.array_distinct(F.transform(F.filter(v, lambda s: s["item"] == name), lambda s: s["doc"]))) > 1
+
+    def counted(v: Column, winners: Column) -> Column:
+        open_values = F.size(F.filter(winners, lambda x: x["doc"].isNull()))
+        lost = 2 * open_values > F.size(F.filter(names(v), lambda n: several(v, n)))
+        differs = lambda s, x: ~s["free"] & (s["item"] == x["item"]) & ~s["doc"].eqNullSafe(x["doc"])
+        agrees = lambda w: ~F.exists(w["slots"], lambda s: F.exists(winners, lambda x: differs(s, x)))
+        return _bound(lost, lambda lost: F.filter(ws, lambda w: _verbatim(w) | (~lost & agrees(w))))
+
+    resolved = lambda v: F.transform(F.filter(names(v), lambda n: split(v, n)), lambda n: winner(v, n))
+    return _bound(votes, lambda v: F.when(F.size(pairs(v)) == F.size(names(v)), ws).otherwise(_bound(resolved(v), lambda winners: counted(v, winners))))
 
 
 def _empty(docs: DataFrame, benchmark: DataFrame, id_col: str, item_col: str) -> DataFrame:

@@ -113,6 +113,19 @@ def test_templates_of_items_rich_in_slots(documents, spark):
     assert got[1, 1].coverage == 1 and got[4, 2].coverage == 1 and got[6, 3].coverage == 1
 
 
+def test_templates_with_a_slot_changed(documents, spark):
+    """One value of several that differs takes away the windows over it, not the others."""
+    item = "The mill was built by Brown near the river in 1820 and stood there for many years. The owner of it was Brown, who paid 40 men and 40 women for a year of work at the weir and in the long barns behind it."
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    other = item.replace("Brown", "Smith").replace("40", "75").replace("1820", "1911")
+    rows = [(1, item.replace("The owner", "An owner")), (2, item.replace("40 women", "50 women")), (3, item.replace("was Brown", "was Green"))]
+    rows += [(4, other.replace("The mill", "A mill").replace("The owner", "One owner")), (5, other), (6, other.replace("75 women", "76 women"))]
+    got = {r.doc_id: r for r in templates.find(documents(rows), items).collect()}
+    assert {i: r.kind for i, r in got.items()} == {1: "slots", 2: "copy", 3: "copy", 4: "slots", 5: "slots", 6: "slots"}
+    assert got[1].coverage == got[4].coverage == got[5].coverage == 1
+    assert all(0.5 <= got[i].coverage < 1 for i in (2, 3, 6))
+
+
 def test_templates_run_no_python(documents, spark):
     found = templates.find(documents([(1, ITEM)]), spark.createDataFrame([(1, ITEM)], "item_id long, text string"))
     for df in (found, licenses.scan(documents([(1, "cc by")]))):
