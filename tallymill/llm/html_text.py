@@ -21,12 +21,16 @@ from pyspark.sql import types as T
 from tallymill.llm.common import without
 from tallymill.llm.html_labels import PAGES
 
-SKIPPED = "script|style|noscript|template|title|textarea|select|option|button|iframe|svg|object"
+RAW = "script|style|title|textarea"  # these run to the end of the page if nothing ends them
+SKIPPED = set("noscript template select option button iframe svg object".split())
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<skip>{SKIPPED})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=skip)\s*>|\Z)|<head(?=[\s>])[^>]*>.*?(?:</head\s*>|(?=<body[\s>])|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<skip>{RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=skip)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|</?[a-zA-Z!?][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
+_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in SKIPPED}
+_ENDS["option"] = re.compile(r"</option(?=[\s/>])[^>]*>|(?=</?(?:option|optgroup|select|datalist)[\s/>])", re.I)  # its end tag may be left out
+_EMPTY = re.compile(r"(?<!=)(?:^|[\s\"'])/\s*\Z|(?:^|\s)[^\s=\"']+/\s*\Z")
 _ATTR = re.compile(r"(class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -65,6 +69,19 @@ def _place(tag: str, attrs: str, side: bool, main: bool) -> tuple[bool, bool]:
     return side, main
 
 
+def _past(page: str, tag: str, attrs: str, at: int, endless: set[str]) -> int:
+    """Where the element that is not read ends; without an end only its tag is passed over.
+
+    `endless` has the tags that nothing ends further on, so that a page is searched once for each.
+    """
+    if tag in endless or (tag == "svg" and _EMPTY.search(attrs)):
+        return at
+    if m := _ENDS[tag].search(page, at):
+        return m.end()
+    endless.add(tag)
+    return at
+
+
 def blocks(page: str | None) -> list[Block]:
     """The text blocks of a page in order, without script, style, comments and markup."""
     found: list[Block] = []
@@ -81,13 +98,18 @@ def blocks(page: str | None) -> list[Block]:
             found.append(now)
         now = Block()
 
-    for m in _TOKEN.finditer(page or ""):
+    page, at, endless = page or "", 0, set()
+    while m := _TOKEN.match(page, at):
+        at = m.end()
         if (text := m["text"]) is not None:
             now.parts.append(text)
             if links:
                 now.linked += len(html.unescape(text).split())
         elif m["tag"]:
             tag = m["tag"].lower()
+            if tag in SKIPPED and not m["end"]:
+                at = _past(page, tag, m["attrs"], at, endless)
+                continue
             if tag == "a":
                 links = max(0, links - 1) if m["end"] else links + (not m["attrs"].rstrip().endswith("/"))
             if tag in INLINE:
@@ -103,7 +125,7 @@ def blocks(page: str | None) -> list[Block]:
                     while stack[-1][0] != tag:
                         stack.pop()
                     stack.pop()
-            elif tag not in VOID:
+            elif tag not in VOID and tag != "head":  # what a head may hold is skipped or void; all else is of the body
                 if tag in HEADINGS:
                     heading = True
                 elif tag in PARA_CLOSERS and stack[-1][0] == tag:

@@ -25,6 +25,21 @@ def test_main_text():
         html_text.main_text(odd, tree)
 
 
+def test_skipped_elements_end():
+    """Elements that are not read end where they do in valid pages, also without an end tag."""
+    tree = html_text.train()
+    article = "<article><h1>One</h1><p>All of the article.</p></article>"
+    for before in (
+        '<svg class="i"/>', "<svg/>", "<svg viewBox='0 0 1 1' />", "<svg class=i/><path></svg>", "<svg hidden/>", "<svg><path/></svg>",
+        "<datalist><option>red<option>blue</datalist>", "<select><optgroup><option>red</select>", "<optgroup><option>red</option><option>blue</optgroup>",
+        "<head><title>T</title><meta name=a>", "<head><script>var a</script>", "<head><title>T</title></head><body>", "<button>", "<object data=x>", "<noscript>",
+    ):
+        for after in ("", "<p><svg><path/></svg></p>"):
+            assert html_text.main_text(before + article + after, tree) == "One\nAll of the article.", before
+    for raw in html_text.RAW.split("|"):
+        assert html_text.main_text(f"{article}<{raw}>no <p>more</p>", tree) == "One\nAll of the article."
+
+
 def test_pages_with_odd_columns(spark):
     pages = spark.createDataFrame([(1, None, "old"), (2, "<article><p>Some words of an article.</p></article>", "old")], "page_id long, html string, text string")
     got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
