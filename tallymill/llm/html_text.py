@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -45,7 +46,9 @@ SIDE_NAMES = set(
     "widget search legal copyright disclaimer pagination pager toolbar masthead topbar skip toc byline respond feedback".split()
 )
 MAIN_NAMES = set("article articlebody content main story post entry maincontent".split())
-PARA_CLOSERS = set("p li dt dd tr td th option".split())
+# The elements on top of the stack that a start tag ends, whose end tags may be left out.
+CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "tr": {"tr", "td", "th", "p"}}
+CLOSES |= dict.fromkeys(["tbody", "thead", "tfoot"], {"tbody", "thead", "tfoot", "tr", "td", "th", "p"})
 
 
 @dataclass
@@ -86,6 +89,7 @@ def blocks(page: str | None) -> list[Block]:
     """The text blocks of a page in order, without script, style, comments and markup."""
     found: list[Block] = []
     stack: list[tuple[str, bool, bool]] = [("", False, False)]
+    opened: Counter[str] = Counter()  # open elements by tag
     now, links, heading = Block(), 0, False
 
     def close() -> None:
@@ -121,18 +125,19 @@ def blocks(page: str | None) -> list[Block]:
             if m["end"]:
                 if tag in HEADINGS:
                     heading = False
-                if any(t == tag for t, _, _ in stack[-64:]):  # an end tag without a start is ignored
+                if opened[tag]:  # an end tag without a start is ignored
                     while stack[-1][0] != tag:
-                        stack.pop()
-                    stack.pop()
+                        opened[stack.pop()[0]] -= 1
+                    opened[stack.pop()[0]] -= 1
             elif tag not in VOID and tag != "head":  # what a head may hold is skipped or void; all else is of the body
                 if tag in HEADINGS:
                     heading = True
-                elif tag in PARA_CLOSERS and stack[-1][0] == tag:
-                    stack.pop()  # its end tag may be left out
+                while stack[-1][0] in CLOSES.get(tag, ()):
+                    opened[stack.pop()[0]] -= 1
                 _, side, main = stack[-1]
                 if tag not in HEADINGS and not (tag == "p" and not m["attrs"]):
                     stack.append((tag, *_place(tag, m["attrs"], side, main)))
+                    opened[tag] += 1
     close()
     return found
 

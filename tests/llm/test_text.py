@@ -40,6 +40,22 @@ def test_skipped_elements_end():
         assert html_text.main_text(f"{article}<{raw}>no <p>more</p>", tree) == "One\nAll of the article."
 
 
+def test_side_parts_of_any_length_end():
+    """Also with end tags left out, however many elements were opened."""
+    tree = html_text.train()
+    article = "<article><h1>One</h1><p>All of the article, with some more words in it.</p></article>"
+    for n in (3, 500):
+        rows = ("<table>" + "<tr><th>a<td><a href=/>b</a>" * n + "</table>", "<dl>" + "<dt><a href=/>a</a><dd><p class=x><a href=/>b</a>" * n + "</dl>", "<div>" * n + "<a href=/>a</a>" + "</div>" * n, "<section><div>" + "<i>" * n + "<span><div>" * n + "</section>")
+        for inner in rows:
+            for tag in ('div class="sidebar"', "nav", 'section id="comments"'):
+                found = html_text.blocks(f"<{tag}>{inner}</{tag.split()[0]}>{article}")
+                assert [(b.side, b.main) for b in found[-2:]] == [(False, True)] * 2
+                assert all(b.side for b in found[:-2])
+                assert html_text.main_text(f"<{tag}>{inner}</{tag.split()[0]}>{article}", tree).endswith("with some more words in it.")
+    nested = html_text.blocks('<ul><li class="ad">a<ul><li>b<li>c</ul>d<li>e</ul>')
+    assert [(b.text, b.side) for b in nested] == [("a", True), ("b", True), ("c", True), ("d", True), ("e", False)]
+
+
 def test_pages_with_odd_columns(spark):
     pages = spark.createDataFrame([(1, None, "old"), (2, "<article><p>Some words of an article.</p></article>", "old")], "page_id long, html string, text string")
     got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
