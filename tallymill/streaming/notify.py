@@ -48,7 +48,8 @@ def land_notifications(
 
     `firing` has `by`, and `ts` without a zone. Alerts are counted per interval by a watermarked
     window aggregation, so an interval may come in any number of batches and in any order; it is
-    handed on once, when an alert more than `lateness` past its end has come. The state of batch n
+    handed on once, when an alert more than `lateness` past its end has come; an alert that comes
+    after that is dropped. At the end of a bounded replay `open_notifications` has the rest. The state of batch n
     is stored under its number and read by batch n+1, so a batch that runs again starts from the
     same state.
     """
@@ -76,3 +77,20 @@ def land_notifications(
             rows.unpersist()
 
     each_batch(counted, handle, checkpoint)
+
+
+def open_notifications(
+    firing: DataFrame, by: Sequence[str], interval: int, repeat: int, out: str, wait: int = 0
+) -> DataFrame:
+    """What `land_notifications` would still send if nothing more came: the rows of intervals that are open.
+
+    For the end of a bounded replay. `firing` are the stored alerts; those past the last interval
+    handed on are counted in a batch and go on from the stored state, which stays as it is.
+    """
+    states = firing.sparkSession.read.parquet(f"{out}/state")
+    state = states.join(states.agg(F.max("batch_id").alias("batch_id")), "batch_id").select(*by, "last", "since")
+    at = seconds(F.col("ts"))
+    counted = firing.groupBy(*by, (at - F.pmod(at, F.lit(interval))).cast("bigint").alias("tick")).agg(F.count("*").alias("n_alerts"))
+    closed = state.agg(F.max("last").alias("closed"))
+    left = counted.join(closed, F.col("closed").isNull() | (F.col("tick") > F.col("closed"))).drop("closed")
+    return advance(left, state, by, interval, repeat, wait).where("due").select(*by, "since", "sent_at", "n_alerts")

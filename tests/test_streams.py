@@ -175,6 +175,23 @@ def test_intervals_may_come_in_pieces(spark, rows, tmp_path):
     assert rows(sent, "since", "sent_at", "n_alerts") == [(base, base, 2), (base + 120, base + 120, 3)]
 
 
+def test_open_intervals_are_settled_at_the_end(spark, tmp_path, rows):
+    """Also those of a run that began before, and alerts that came late but within the lateness."""
+    out = str(tmp_path / "notify")
+    parts = [[("a", "00:00:05"), ("b", "00:00:10"), ("a", "00:01:05"), ("a", "00:02:10")], [("a", "00:01:50"), ("a", "00:03:10"), ("b", "00:03:20"), ("a", "00:04:00")]]
+    for part in parts:
+        firing = spark.createDataFrame([(g, f"2024-01-01 {t}") for g, t in part], "job string, t string")
+        firing = firing.select("job", F.col("t").cast("timestamp_ntz").alias("ts"))
+        firing.coalesce(1).write.mode("append").parquet(f"{out}/arriving")
+        arriving = topics.replay_topics(spark, f"{out}/arriving", firing.schema, "parquet")
+        notify.land_notifications(arriving, ["job"], 60, 120, out, f"{out}/checkpoint", lateness="60 seconds")
+    every = spark.read.schema(firing.schema).parquet(f"{out}/arriving")
+    left = notify.open_notifications(every, ["job"], 60, 120, out)
+    sent = spark.read.parquet(f"{out}/sent").drop("batch_id")
+    expected = rows(ts.notifications(every.select("job", ts.seconds(F.col("ts")).alias("tick")), ["job"], 60, 120))
+    assert rows(sent.unionByName(left)) == expected and rows(left) and len(expected) == 5
+
+
 def test_jdbc_append_options(spark, monkeypatch):
     from pyspark.sql import DataFrameWriter
 

@@ -11,7 +11,7 @@ from tallymill.operators.timeseries import Match, Selector
 from tallymill.plans import metric_names
 from tallymill.session import work_path
 from tallymill.sources import topics
-from tallymill.streaming.notify import land_notifications
+from tallymill.streaming.notify import land_notifications, open_notifications
 from workload.inputs import table
 from workload.registry import query, single, single_sql
 
@@ -269,20 +269,26 @@ def alert_repeat_suppress(spark, sf):
       count(*) AS n_alerts FROM events WHERE "value" > 150 GROUP BY 1, 2), runs AS (SELECT *, tick - 600 * row_number()
       OVER (PARTITION BY event_type ORDER BY tick) AS run FROM groups), started AS (SELECT *, min(tick)
       OVER (PARTITION BY event_type, run) AS since FROM runs)
-    SELECT event_type, since, tick + 30 AS sent_at, n_alerts FROM started WHERE (tick - since) % 1800 = 0
-      AND tick + 600 <= (SELECT epoch(max(ts)) FROM events WHERE "value" > 150)""",
+    SELECT event_type, since, tick + 30 AS sent_at, n_alerts FROM started WHERE (tick - since) % 1800 = 0""",
 )
 def stream_repeat_suppress(spark, sf):
-    """High events as alerts, grouped by type and ten minutes; they arrive in three runs, cut inside intervals."""
+    """High events as alerts, grouped by type and ten minutes; they arrive in three runs, cut inside intervals.
+
+    At the second cut every other type's last 20 minutes come a run late, within the lateness stated.
+    """
     out = work_path(spark, "notify")
     high = table(spark, sf, "events").where(F.col("value") > 150).select("event_type", "ts")
     cuts = [F.lit(f"2024-01-{d}").cast("timestamp_ntz") for d in ("11 00:03:20", "21 12:34:56")]
     ts_col = F.col("ts")
-    for part in (ts_col < cuts[0], (ts_col >= cuts[0]) & (ts_col < cuts[1]), ts_col >= cuts[1]):
+    late = (ts_col >= cuts[1] - F.expr("INTERVAL 20 MINUTES")) & (F.pmod(F.crc32("event_type"), F.lit(2)) == 0)
+    second = (ts_col >= cuts[0]) & (ts_col < cuts[1])
+    for part in (ts_col < cuts[0], second & ~late, (second & late) | (ts_col >= cuts[1])):
         high.where(part).write.mode("append").parquet(f"{out}/arriving")
         arriving = topics.replay_topics(spark, f"{out}/arriving", high.schema, "parquet")
-        land_notifications(arriving, ["event_type"], 600, 1800, out, f"{out}/checkpoint", wait=30)
-    return spark.read.parquet(f"{out}/sent").drop("batch_id")
+        land_notifications(arriving, ["event_type"], 600, 1800, out, f"{out}/checkpoint", wait=30, lateness="30 minutes")
+    arrived = spark.read.schema(high.schema).parquet(f"{out}/arriving")
+    left = open_notifications(arrived, ["event_type"], 600, 1800, out, wait=30)
+    return spark.read.parquet(f"{out}/sent").drop("batch_id").unionByName(left)
 
 
 # ---- flat metric names
