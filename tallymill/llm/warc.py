@@ -53,7 +53,8 @@ HEADERS = {
 }
 SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in HEADERS] + [T.StructField("content_length", T.LongType()), T.StructField("payload", T.BinaryType())])
 RANGE = 64 << 20  # bytes of a plain file per partition
-MOST_HEADERS = 1 << 20  # a longer header block is an error, not a reason to read on
+MOST_HEADERS = 1 << 20  # bytes of a header value; what is longer goes on in lines of its own, which the reader joins
+MORE = "X-More-"  # before the name of the header that goes on
 
 
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
@@ -71,7 +72,15 @@ def one_line(value: str) -> str:
 
 
 def record(headers: dict[str, str | None], payload: bytes) -> bytes:
-    lines = [VERSION, *[f"{k}: {one_line(v)}".encode() for k, v in headers.items() if v is not None], b"Content-Length: %d" % len(payload)]
+    lines = [VERSION]
+    for k, v in headers.items():
+        value = b"" if v is None else one_line(v).encode()
+        if len(value) <= MOST_HEADERS // 2:
+            lines += [] if v is None else [f"{k}: ".encode() + value]
+            continue
+        # in hex, so that no cut falls inside a character or beside a space that a reader would strip
+        lines += [f"{k}: ".encode(), *[f"{MORE}{k}: {value[i : i + MOST_HEADERS // 4].hex()}".encode() for i in range(0, len(value), MOST_HEADERS // 4)]]
+    lines.append(b"Content-Length: %d" % len(payload))
     return b"\r\n".join(lines) + b"\r\n\r\n" + payload + b"\r\n\r\n"
 
 
@@ -82,16 +91,20 @@ def read_headers(file) -> tuple[dict[str, str], int] | None:
         return None
     if not line.startswith(b"WARC/"):
         raise ValueError(f"no WARC record here: {line[:40]!r}")
-    headers, size = {}, len(line)
+    headers, more, size = {}, {}, len(line)
     while True:
         line = file.readline(MOST_HEADERS)
         size += len(line)
         if line in (b"\r\n", b"\n", b""):
-            return headers, size
-        if size > MOST_HEADERS:
-            raise ValueError("a header block is too long")
+            return headers | {k: b"".join(v).decode("utf-8", "replace") for k, v in more.items()}, size
+        if len(line) >= MOST_HEADERS and not line.endswith(b"\n"):
+            raise ValueError("a header line is too long")
         name, _, value = line.decode("utf-8", "replace").rstrip("\r\n").partition(":")
-        headers[name.strip().lower()] = value.strip()
+        name = name.strip().lower()
+        if name.startswith(MORE.lower()):
+            more.setdefault(name[len(MORE) :], []).append(bytes.fromhex(value.strip()))
+        else:
+            headers[name] = value.strip()
 
 
 @dataclass

@@ -213,6 +213,15 @@ def test_archives(spark, tmp_path):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_archives_of_very_long_urls(spark, tmp_path):
+    urls = {1: "http://a/" + "é /" * 700_000 + "b", 2: "http://b", 3: "x" * (warc.MOST_HEADERS // 2), 4: "x" * (warc.MOST_HEADERS // 2 + 1), 5: ""}
+    pages = spark.createDataFrame([(i, u, "<p>page") for i, u in urls.items()], "page_id long, url string, html string").repartition(2)
+    warc.archive(pages, str(tmp_path / "long"))
+    got = {r.record_id: r.target_uri for r in warc.load(spark, str(tmp_path / "long")).collect()}
+    assert got == {f"<urn:page:{i}>": u for i, u in urls.items()}
+    assert warc.round_trip(pages).count() == 5
+
+
 def test_predicates_are_pushed():
     reader = warc.WarcReader("/nowhere", warc.SCHEMA, 1)
     left = list(reader.pushFilters([warc.EqualTo(("record_type",), "response"), warc.In(("record_id",), ("a",)), warc.EqualTo(("payload",), b"x")]))
