@@ -47,9 +47,9 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of what is left."""
+    """Token ids of what is left, and the digest of the text that they decode to."""
     found = bpe.encode(docs.select("doc_id", "lang", "source", "text"), tokenizer_path())
-    return found.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    return found.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

@@ -1,5 +1,6 @@
 """HTML, language, licences, templates, shards, encoding and archives."""
 
+import hashlib
 import random
 import re
 
@@ -228,6 +229,12 @@ def test_predicates_are_pushed():
     assert len(reader.wanted) == 2 and [f.attribute for f in left] == [("payload",)]
 
 
+def test_pipeline_decodes(spark, documents):
+    texts = {1: "Ein Haus, zwei Häuser.", 2: "中 😀 <|endoftext|>", 3: ""}
+    got = {r.doc_id: r for r in corpus_pipeline.encode(spark, documents(list(texts.items())), "").collect()}
+    assert {i: r.decoded_sha256 for i, r in got.items()} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in texts.items()}
+
+
 def test_pipeline(spark, documents, tmp_path):
     english = ["the house and the dog went over to the green hill", "all of the people in the town saw the bright light"]
     german = ["das haus und der hund gingen auf den berg", "alle leute in der stadt sahen das helle licht"]
