@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import bpe, html_text, jaccard, language, licenses, radix_dedup, sharding, suffix_dedup, templates, warc
+from tallymill.llm import bpe, html_text, jaccard, language, lexical, licenses, radix_dedup, sharding, suffix_dedup, templates, warc
 from tallymill.llm.common import ascii_lower, read, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,29 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to an archive and read back."""
     return warc.round_trip(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+_TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+
+@query(
+    "op13_lexical_search",
+    f"""
+    WITH d AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS t FROM documents),
+    i AS (SELECT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS t FROM benchmark),
+    q AS (SELECT item_id, t, count(*) AS times FROM i GROUP BY ALL),
+    n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY ALL),
+    c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n),
+    p AS (SELECT doc_id, t, count(*) AS tf FROM d GROUP BY ALL),
+    f AS (SELECT t, count(*) AS df FROM p GROUP BY ALL),
+    w AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM f, c),
+    m AS (SELECT doc_id, 100 - 25 + (25 * n * docs) // terms AS m FROM n, c),
+    s AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+          FROM q JOIN p USING (t) JOIN w USING (t) JOIN m USING (doc_id) GROUP BY ALL),
+    r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s WHERE score > 0)
+    SELECT * FROM r WHERE rank <= 20
+    """,
+)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=20)
