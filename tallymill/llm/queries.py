@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import bpe, html_text, jaccard, language, lexical, licenses, radix_dedup, sharding, suffix_dedup, templates, warc
+from tallymill.llm import bpe, html_text, jaccard, language, lexical, licenses, quality, radix_dedup, sharding, suffix_dedup, templates, warc
 from tallymill.llm.common import ascii_lower, read, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,15 @@ _TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best documents for every benchmark item."""
     return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=20)
+
+
+def _quality_fold(id_col: str = "doc_id"):
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 4
+
+
+@query("op12_quality")
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from the labels of those that are not held out."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.classify(docs, read(spark, sf_dir, "labels"), _quality_fold() != 2)
+    return found.select("doc_id", (_quality_fold() == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
