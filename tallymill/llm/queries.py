@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import bpe, html_text, jaccard, language, lexical, licenses, quality, radix_dedup, sharding, suffix_dedup, templates, warc
+from tallymill.llm import bpe, html_text, jaccard, language, lexical, licenses, prefix_trie, quality, radix_dedup, sharding, suffix_dedup, templates, warc
 from tallymill.llm.common import ascii_lower, read, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +198,38 @@ def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = quality.classify(docs, read(spark, sf_dir, "labels"), _quality_fold() != 2)
     return found.select("doc_id", (_quality_fold() == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+# crc32 over the bytes of a decimal number, eight bits a byte
+_CRC = """(xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda crc, c: list_reduce(list_prepend(xor(crc, c), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+           lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT))"""
+
+
+@query(
+    "op11_prefix_trie",
+    f"""
+    WITH t AS (SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS l FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    h AS (SELECT conv_id, l, ({_CRC} % 9)::BIGINT AS h FROM t),
+    p AS (SELECT a.conv_id, list_concat(coalesce(b.l[1:a.h], []), a.l[a.h + 1:]) AS l FROM h AS a LEFT JOIN t AS b ON b.conv_id = a.conv_id - a.conv_id % 5),
+    m AS (SELECT conv_id, d AS depth, l[1:d] AS path, len(l) = d AS ends, CASE WHEN d = 0 THEN 0 ELSE octet_length(encode(l[d].t)) END AS size
+          FROM p, range(0, (SELECT max(len(l)) + 1 FROM p)) AS r(d) WHERE d <= len(l)),
+    n AS (SELECT depth, path, min(conv_id) AS node, count(*) AS n_convs, any_value(size) AS size,
+                 sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+          FROM m GROUP BY depth, path),
+    k AS (SELECT m.conv_id, m.depth, n.node FROM m JOIN n USING (depth, path)),
+    c AS (SELECT n.node, n.depth, k.node AS parent FROM n JOIN k ON k.conv_id = n.node AND k.depth = n.depth - 1),
+    g AS (SELECT parent, depth - 1 AS depth, count(*) AS n_children FROM c GROUP BY ALL),
+    x AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN g ON g.parent = n.node AND g.depth = n.depth),
+    s AS (SELECT k.node, k.depth, sum((x.n_children = 0)::INT)::BIGINT AS n_leaves, sum((x.n_convs - 1) * x.size)::BIGINT AS saved_tokens
+          FROM x JOIN k ON k.conv_id = x.node AND k.depth <= x.depth GROUP BY ALL)
+    SELECT x.node AS conv_id, x.depth, c.parent AS parent_conv_id, x.n_convs, x.n_children, s.n_leaves, s.saved_tokens, x.ends_sha256
+    FROM x JOIN s ON s.node = x.node AND s.depth = x.depth LEFT JOIN c ON c.node = x.node AND c.depth = x.depth
+    """,
+)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of conversations, each of which begins with up to eight turns of the first of its five."""
+    turns = prefix_trie.positions(read(spark, sf_dir, "conversations"))
+    conv_id = F.col("conv_id")
+    first, shared = conv_id - conv_id % 5, F.crc32(conv_id.cast("string").cast("binary")) % 9
+    return prefix_trie.trie(prefix_trie.members(turns, first, shared))
