@@ -1,21 +1,21 @@
 """Host and workflow alerts, each a declaration over the time-series operators.
 
 An alert names its inputs (metric selectors), the range functions over them, an optional
-aggregation over finer series, the value and the condition. `evaluate` runs them in that order; it
-is one pass over the samples, since all inputs of an alert meet on the evaluation grid.
+aggregation over finer series, the value and the condition. `evaluate_all` runs them in that order,
+for any number of alerts in one pass over the samples: the alert is one more key of the grid.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymill.functions.text import label_replace
 from tallymill.operators import timeseries as ts
-from tallymill.operators.rows import union_all
+from tallymill.operators.rows import evaluate_once
 from tallymill.operators.timeseries import Match, Selector
 
 MINUTE, HOUR, DAY, WEEK = 60, 3600, 86_400, 604_800
@@ -296,33 +296,111 @@ ALERTS = [
 ]
 
 
-def evaluate(samples: DataFrame, alert: Alert, step: int = STEP, stretch: int = 1) -> DataFrame:
-    """(labels, tick, value) wherever the condition of the alert is true.
+_INFO = "node info"  # stands in `alert` for the rows that name hosts
 
-    `step` is the evaluation interval. `stretch` multiplies the ranges (not the rates), for metrics
-    that are sampled less often than the alert was written for.
-    """
-    series = list(alert.series or alert.labels)
-    grid = ts.on_grid(samples, step, series, alert.inputs)
-    for reach in sorted({r for _, _, r in alert.ranges.values()}):
-        wanted = {n: (kind, source) for n, (kind, source, r) in alert.ranges.items() if r == reach}
-        grid = ts.with_increase(grid, series, wanted, reach * stretch)
+
+def _no_text() -> Column:
+    return F.lit(None).cast("string")
+
+
+def _by_alert(branches: Mapping[str, Column], otherwise: Column | None = None) -> Column:
+    """The expression of the row's own alert."""
+    chosen = F
+    for name, column in branches.items():
+        chosen = chosen.when(F.col("alert") == name, column)
+    return chosen if otherwise is None else chosen.otherwise(otherwise)
+
+
+def _ranges_of(alert: Alert, stretch: int) -> dict[str, ts.Range]:
+    found = {n: ts.Range(kind, source, reach * stretch) for n, (kind, source, reach) in alert.ranges.items()}
     if alert.slope:
-        name, source, reach = alert.slope
-        grid = ts.with_trend(grid, series, source, reach * stretch, slope=name)
+        found[alert.slope[0]] = ts.Range("slope", alert.slope[1], alert.slope[2] * stretch)
     if alert.lowest:
-        name, source, reach = alert.lowest
-        grid = ts.with_min(grid, series, source, reach * stretch, name)
+        found[alert.lowest[0]] = ts.Range("min", alert.lowest[1], alert.lowest[2] * stretch)
     if alert.forecast:
         name, source, reach, ahead = alert.forecast
-        grid = ts.with_trend(grid, series, source, reach * stretch, forecast=(name, ahead * stretch))
-    if alert.combine:
-        grid = ts.aggregate(grid, alert.labels, **{n: c() for n, c in alert.combine.items()})
-    active = grid.withColumn("value", alert.value()).where(alert.when()).select(*alert.labels, "tick", "value")
-    if alert.nodename:
-        info = ts.on_grid(samples, step, ["instance", "nodename"], {"value": INFO})
-        active = ts.enrich(active, info, ["instance"], ["nodename"])
-    return active
+        found[name] = ts.Range("forecast", source, reach * stretch, ahead * stretch)
+    return found
+
+
+def evaluate_all(
+    samples: DataFrame, alerts: Sequence[Alert], step: int = STEP, stretch: int = 1, lookback: int = 0
+) -> DataFrame:
+    """(alert, k1, k2, ..., nodename, tick, value) wherever the condition of one of the alerts is true.
+
+    One scan serves all alerts: each sample goes to the inputs that select it, and the alert is one
+    more key of the grid, of the range functions and of the aggregations. `k1`, `k2`, ... are the
+    alert's labels in order, null beyond. `step` is the evaluation interval. `stretch` multiplies
+    the ranges (not the rates), for metrics that are sampled less often than the alert was written
+    for. With `lookback`, an instant selector reads the last sample less than so many seconds old
+    at a tick without one, as long as the scrapes are late, and not only at the sample's own tick.
+    """
+    hosts = any(a.nodename for a in alerts)
+    series = {a.name: tuple(a.series or a.labels) for a in alerts} | ({_INFO: ("instance", "nodename")} if hosts else {})
+    picks = [(a.name, n, s) for a in alerts for n, s in a.inputs.items()] + ([(_INFO, "info", INFO)] if hosts else [])
+    inputs = list(dict.fromkeys(n for _, n, _ in picks))
+    keys = [f"k{i + 1}" for i in range(max(map(len, series.values())))]
+
+    def pick(name: str, n: str, selector: Selector) -> Column:
+        labels = [F.col("labels")[x] for x in series[name]] + [_no_text()] * (len(keys) - len(series[name]))
+        fields = {"alert": F.lit(name), "input": F.lit(n), **dict(zip(keys, labels))}
+        return F.when(selector.column(), F.struct(*[c.alias(k) for k, c in fields.items()]))
+
+    wanted = samples.where(F.col("metric").isin(sorted({s.metric for _, _, s in picks})) & F.col("value").isNotNull())
+    rows = wanted.select(ts.tick_of(F.col("ts"), step).alias("tick"), "ts", "value", F.inline(F.array_compact(F.array(*[pick(*p) for p in picks]))))
+    by = ["alert", *keys]
+    grid = ts.last_values(rows, [*by, "tick"], inputs)
+    if lookback:
+        grid = ts.with_gaps(grid, by, step, lookback)
+
+    ranges = {a.name: _ranges_of(a, stretch) for a in alerts}
+    specs = list(dict.fromkeys(r for own in ranges.values() for r in own.values()))
+    if specs:
+        grid = ts.with_ranges(grid, by, {f"_range_{i}": r for i, r in enumerate(specs)})
+        outputs = dict.fromkeys(n for own in ranges.values() for n in own)
+        grid = grid.withColumns(
+            {n: _by_alert({a: F.col(f"_range_{specs.index(own[n])}") for a, own in ranges.items() if n in own}) for n in outputs}
+        ).drop(*[f"_range_{i}" for i in range(len(specs))])
+    if lookback:
+        grid = ts.carried(grid, by, inputs, lookback)
+    if any(a.combine for a in alerts):
+        grid = _combined(grid, alerts, series, keys, ranges)
+
+    # the conditions read the value, and the value the ranges: none is to be copied into every mention
+    found = evaluate_once(grid, "value", _by_alert({a.name: a.value() for a in alerts}, F.col("info") if hosts else None))
+    found = found.where(_by_alert({a.name: a.when() for a in alerts}, F.lit(hosts)))
+    if hosts:
+        beside = Window.partitionBy("k1", "tick")
+        named = F.collect_list(F.when(F.col("alert") == _INFO, F.struct(F.col("k2").alias("nodename"), F.col("value").alias("factor")))).over(beside)
+        nobody = F.array(F.struct(_no_text().alias("nodename"), F.lit(1.0).alias("factor")))
+        needs = F.col("alert").isin([a.name for a in alerts if a.nodename])
+        found = found.withColumn("_named", F.when(~needs, nobody).when(F.col("k1").isNotNull(), named)).where(F.col("alert") != _INFO)
+        found = found.withColumn("_named", F.explode("_named")).withColumn("value", F.col("value") * F.col("_named.factor"))
+    return found.select("alert", *keys, (F.col("_named.nodename") if hosts else _no_text()).alias("nodename"), "tick", "value")
+
+
+def _combined(grid: DataFrame, alerts: Sequence[Alert], series: Mapping[str, tuple[str, ...]], keys: Sequence[str], ranges: Mapping[str, Mapping[str, ts.Range]]) -> DataFrame:
+    """Series summed up to the labels of their alert; rows of alerts that combine nothing stay as they are."""
+    places = {a.name: [series[a.name].index(x) if x in series[a.name] else None for x in a.labels] for a in alerts if a.combine}
+    regrouped = {}
+    for i, key in enumerate(keys):
+        own = {name: F.col(keys[at[i]]) if i < len(at) and at[i] is not None else _no_text() for name, at in places.items()}
+        regrouped[key] = _by_alert(own, F.col(key))
+    outputs: dict[str, dict[str, Column]] = {}
+    for a in alerts:
+        combine = a.combine or {n: (lambda n=n: F.max(n)) for n in (*a.inputs, *ranges[a.name])}
+        for n, make in combine.items():
+            outputs.setdefault(n, {})[a.name] = make()
+    if _INFO in series:
+        outputs.setdefault("info", {})[_INFO] = F.max("info")
+    return grid.withColumns(regrouped).groupBy("alert", *keys, "tick").agg(*[_by_alert(own).alias(n) for n, own in outputs.items()])
+
+
+def evaluate(samples: DataFrame, alert: Alert, step: int = STEP, stretch: int = 1, lookback: int = 0) -> DataFrame:
+    """(labels, tick, value) wherever the condition of the alert is true; see `evaluate_all`."""
+    found = evaluate_all(samples, [alert], step, stretch, lookback)
+    labels = [F.col(f"k{i + 1}").alias(n) for i, n in enumerate(alert.labels)]
+    return found.select(*labels, *(["nodename"] if alert.nodename else []), "tick", "value")
 
 
 def kernel_deviations(samples: DataFrame, step: int = STEP) -> DataFrame:
@@ -333,14 +411,11 @@ def kernel_deviations(samples: DataFrame, step: int = STEP) -> DataFrame:
     return ts.aggregate(per_kernel, [], value=F.count("*").cast("double")).where(F.col("value") > 1)
 
 
-def _rows(
-    active: DataFrame, name: str, severity: str, labels: list[str], step: int, hold: int
-) -> DataFrame:
-    held = ts.hold_for(active, labels, step, hold)
-    text = F.concat_ws(",", *[F.concat(F.lit(f"{n}="), F.coalesce(F.col(n), F.lit(""))) for n in labels])
+def _rows(active: DataFrame, by: list[str], step: int, severity: Column, text: Column, hold: int | Column) -> DataFrame:
+    held = ts.hold_for(active, by, step, hold)
     return held.select(
-        F.lit(name).alias("alert"),
-        F.lit(severity).alias("severity"),
+        "alert",
+        severity.alias("severity"),
         text.alias("labels"),
         ts.timestamp(F.col("tick")).alias("ts"),
         "value",
@@ -349,20 +424,33 @@ def _rows(
     )
 
 
-def alert_rows(samples: DataFrame, alert: Alert, step: int = STEP, stretch: int = 1) -> DataFrame:
-    """(alert, severity, labels, ts, value, since, state) with state pending or firing."""
-    labels = [*alert.labels, *(["nodename"] if alert.nodename else [])]
-    active = evaluate(samples, alert, step, stretch)
-    return _rows(active, alert.name, alert.severity, labels, step, alert.hold * stretch)
+def _text(labels: Mapping[str, str]) -> Column:
+    return F.concat_ws(",", *[F.concat(F.lit(f"{n}="), F.coalesce(F.col(c), F.lit(""))) for n, c in labels.items()])
 
 
-def kernel_alert_rows(samples: DataFrame, step: int = STEP, stretch: int = 1) -> DataFrame:
-    name, severity, hold = KERNEL_ALERT
-    return _rows(kernel_deviations(samples, step), name, severity, [], step, hold * stretch)
+def all_alert_rows(
+    samples: DataFrame, alerts: Sequence[Alert], step: int = STEP, stretch: int = 1, lookback: int = 0
+) -> DataFrame:
+    """(alert, severity, labels, ts, value, since, state) with state pending or firing, in one pass."""
+    active = evaluate_all(samples, alerts, step, stretch, lookback)
+    keys = [c for c in active.columns if c not in ("tick", "value")]
+    texts = {
+        a.name: _text({n: f"k{i + 1}" for i, n in enumerate(a.labels)} | ({"nodename": "nodename"} if a.nodename else {}))
+        for a in alerts
+    }
+    severity = _by_alert({a.name: F.lit(a.severity) for a in alerts})
+    hold = _by_alert({a.name: F.lit(a.hold * stretch) for a in alerts})
+    return _rows(active, keys, step, severity, _by_alert(texts), hold)
 
 
-def all_alert_rows(samples: DataFrame, alerts: list[Alert], step: int = STEP, stretch: int = 1) -> DataFrame:
-    return union_all([alert_rows(samples, a, step, stretch) for a in alerts])
+def alert_rows(samples: DataFrame, alert: Alert, step: int = STEP, stretch: int = 1, lookback: int = 0) -> DataFrame:
+    return all_alert_rows(samples, [alert], step, stretch, lookback)
+
+
+def kernel_alert_rows(samples: DataFrame, step: int = STEP, stretch: int = 1) -> DataFrame:
+    name, severity, hold = KERNEL_ALERT
+    active = kernel_deviations(samples, step).withColumn("alert", F.lit(name))
+    return _rows(active, [], step, F.lit(severity), F.lit(""), hold * stretch)
 
 
 # Dashboard panels of one workflow, in milliseconds, and of the executor.

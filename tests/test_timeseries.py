@@ -231,3 +231,76 @@ def test_kernel_versions(spark):
 def test_thirty_four_alerts():
     assert len(monitoring.ALERTS) + 1 == 34
     assert len({a.name for a in monitoring.ALERTS}) == 33
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 3, 7, 1000])
+def test_runs_go_on_across_chunks(spark, rows, chunk):
+    """Also over several chunks that they fill, with null labels, and without labels."""
+    rng = random.Random(chunk)
+    data = [(label, t * 15 - 300) for label in ("a", None) for t in range(80) if rng.random() < 0.85 or 20 <= t < 45]
+    expected = []
+    for label in ("a", None):
+        since = last = None
+        for tick in sorted(t for i, t in data if i == label):
+            since = since if last is not None and tick == last + 15 else tick
+            last = tick
+            expected.append((label, tick, since, "firing" if tick - since >= 45 else "pending"))
+    active = spark.createDataFrame(data, "i string, tick long").repartition(3)
+    held = ts.hold_for(active, ["i"], 15, 45, chunk)
+    assert rows(held) == sorted(expected, key=repr)
+    one = ts.hold_for(active.where("i = 'a'").drop("i"), [], 15, 45, chunk)
+    assert rows(one) == sorted((e[1:] for e in expected if e[0] == "a"), key=repr)
+    assert "SinglePartition" not in one._jdf.queryExecution().executedPlan().toString()
+
+
+def brute_last(data, label, tick, lookback):
+    found = [(t, v) for i, t, v in data if i == label and tick - lookback < t <= tick and v is not None]
+    return max(found)[1] if found else None
+
+
+@pytest.mark.parametrize("lookback, chunk", [(60, None), (45, 45), (100, 150), (15, 90)])
+def test_lookback_against_brute_force(spark, lookback, chunk):
+    rng = random.Random(lookback)
+    data = [(i, t, float(t) if rng.random() < 0.8 else None) for i in "ab" for t in range(0, 1500, 15) if rng.random() < 0.25]
+    grid = spark.createDataFrame(data, "i string, tick long, v double")
+    dense = ts.with_gaps(grid, ["i"], 15, lookback, chunk)
+    found = {(r["i"], r["tick"]): r["v"] for r in ts.carried(dense, ["i"], ["v"], lookback, chunk).collect()}
+    every = {(i, t) for i in "ab" for t in range(0, 1800, 15) if any(a == i and t - lookback < s <= t for a, s, _ in data)}
+    assert set(found) == every and dense.count() == len(every)
+    assert all(v == brute_last(data, i, t, lookback) for (i, t), v in found.items())
+
+
+def test_late_scrapes_keep_an_alert_running(spark):
+    """A scrape every 40 seconds or so on a grid of 15: five minutes hold only with a look-back."""
+    data, rng = [], random.Random(2)
+    for t in range(0, 420, 40):
+        at = t + rng.randint(0, 9)
+        data += [("node_memory_MemAvailable_bytes", {"instance": "h"}, at, 5), ("node_memory_MemTotal_bytes", {"instance": "h"}, at, 100)]
+    memory = alert("HostOutOfMemory")
+    states = lambda lookback: {r["state"] for r in monitoring.alert_rows(samples(spark, data), memory, lookback=lookback).collect()}
+    assert states(0) == {"pending"} and states(300) == {"pending", "firing"}
+
+
+FAMILIES = {n: getattr(monitoring, n) for n in ("RATIOS", "LEVELS", "RATES", "GROUPED_RATES", "RATE_RATIOS", "RATE_PER_COUNT", "TRENDS", "FORECASTS", "LONG_HOLDS", "WORKFLOWS", "ALERTS")}
+
+
+@pytest.mark.parametrize("family", list(FAMILIES))
+def test_one_scan_serves_a_family_of_alerts(spark, tmp_path, family):
+    labels = {"instance": "h", "device": "d"}
+    samples(spark, [("node_memory_MemTotal_bytes", labels, 0, 1)]).write.parquet(str(tmp_path / "s"))
+    plan = monitoring.all_alert_rows(spark.read.parquet(str(tmp_path / "s")), FAMILIES[family])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert "SortAggregate" not in plan and "SinglePartition" not in plan and "Join" not in plan
+
+
+def test_all_alerts_at_once_agree_with_each_alone(spark, rows):
+    data = []
+    for t in range(0, 150, 15):
+        for metric in sorted({s.metric for a in monitoring.ALERTS for s in a.inputs.values()}):
+            labels = {n: f"{n}{t % 2}" for n in ("instance", "device", "cpu", "dag_id", "task_name", "name")} | {"mountpoint": "/rootfs", "mode": "idle", "state": "failed"}
+            data.append((metric, labels, t, t * 7 % 90))
+        data.append(("node_uname_info", {"instance": f"instance{t % 2}", "nodename": f"n{t % 3}", "release": "5"}, t, 1))
+    source = samples(spark, data).cache()
+    together = rows(monitoring.all_alert_rows(source, monitoring.ALERTS))
+    assert together == sorted((r for a in monitoring.ALERTS for r in rows(monitoring.alert_rows(source, a))), key=repr)
+    assert len({r[0] for r in together}) > 12

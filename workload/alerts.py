@@ -112,14 +112,14 @@ def host_samples(spark, sf, metrics, defined=METRICS):
     return events.select("ts", F.inline(F.array(*each)))
 
 
-def samples_sql(metrics, defined=METRICS) -> str:
+def samples_sql(metrics, defined=METRICS, step=STEP) -> str:
     parts = []
     for metric in metrics:
         labels, value = defined[metric]
         columns = ", ".join(f"{LABELS[n] if n in labels else 'NULL'} AS \"{n}\"" for n in LABELS)
         parts.append(
             f"""SELECT '{metric}' AS metric, ts, cast({value} AS double) AS "value", cast(floor(epoch(ts)) AS bigint)
-            - cast(floor(epoch(ts)) AS bigint) % {STEP} AS tick, {columns} FROM events"""
+            - cast(floor(epoch(ts)) AS bigint) % {step} AS tick, {columns} FROM events"""
         )
     return "samples AS (" + " UNION ALL ".join(parts) + ")"
 
@@ -212,7 +212,22 @@ def _growth(kind: str, reach: int) -> str:
     return f"CASE WHEN count(s.v) > 1 THEN {grown}{per} END"
 
 
-def alert_sql(alert: Alert, number: int) -> str:
+def _with_gaps(steps: list[str], number: int, series, step: int, lookback: int) -> str:
+    """Every tick that has a sample of the series less than `lookback` seconds before."""
+    by, grid = _quoted(series), f"grid_{number}_{len(steps) - 1}"
+    return f"""SELECT {_quoted(series, "t.")}, t.tick, {grid}.* EXCLUDE ({by}, tick) FROM (SELECT DISTINCT {by}, tick + i * {step} AS tick
+        FROM {grid}, range(0, {-(-lookback // step)}) AS r(i)) t
+      LEFT JOIN {grid} ON {_same("t", grid, series)} AND {grid}.tick = t.tick"""
+
+
+def _carried(steps: list[str], number: int, series, inputs, lookback: int) -> str:
+    grid = f"grid_{number}_{len(steps) - 1}"
+    last = ", ".join(f'arg_max(s."{n}", s.tick) FILTER (WHERE s."{n}" IS NOT NULL) AS "{n}"' for n in inputs)
+    return f"""SELECT g.* EXCLUDE ({_quoted(inputs)}), {last} FROM {grid} g LEFT JOIN {grid} s
+      ON {_same("g", "s", series)} AND s.tick BETWEEN g.tick - {lookback} + 1 AND g.tick GROUP BY ALL"""
+
+
+def alert_sql(alert: Alert, number: int, step: int = STEP, stretch: int = STRETCH, lookback: int = 0) -> str:
     """Common table expressions ending in `rows_<number>`: the rows of one alert."""
     series = list(alert.series or alert.labels)
     inputs = ", ".join(
@@ -222,12 +237,14 @@ def alert_sql(alert: Alert, number: int) -> str:
     held = " OR ".join(f'"{n}" IS NOT NULL' for n in alert.inputs)
     steps = [f"""SELECT * FROM (SELECT {_quoted(series)}, tick, {inputs} FROM samples WHERE metric IN ({used})
         GROUP BY {_quoted(series)}, tick) WHERE {held}"""]
+    if lookback:
+        steps.append(f"({_with_gaps(steps, number, series, step, lookback)})")
 
     def add(out, source, reach, result):
-        steps.append(_ranged(f"grid_{number}_{len(steps) - 1}", series, out, source, reach * STRETCH, result))
+        steps.append(_ranged(f"grid_{number}_{len(steps) - 1}", series, out, source, reach * stretch, result))
 
     for out, (kind, source, reach) in alert.ranges.items():
-        add(out, source, reach, _growth(kind, reach * STRETCH))
+        add(out, source, reach, _growth(kind, reach * stretch))
     if alert.slope:
         out, source, reach = alert.slope
         add(out, source, reach, "CASE WHEN count(s.v) > 1 THEN regr_slope(s.v, s.tick - g.tick) END")
@@ -236,8 +253,10 @@ def alert_sql(alert: Alert, number: int) -> str:
         add(out, source, reach, "min(s.v)")
     if alert.forecast:
         out, source, reach, ahead = alert.forecast
-        line = f"regr_intercept(s.v, s.tick - g.tick) + regr_slope(s.v, s.tick - g.tick) * {ahead * STRETCH}"
+        line = f"regr_intercept(s.v, s.tick - g.tick) + regr_slope(s.v, s.tick - g.tick) * {ahead * stretch}"
         add(out, source, reach, f"CASE WHEN count(s.v) > 1 THEN {line} END")
+    if lookback:
+        steps.append(f"({_carried(steps, number, series, list(alert.inputs), lookback)})")
     ctes = [f"grid_{number}_{i} AS ({'' if i == 0 else 'SELECT * FROM '}{s})" for i, s in enumerate(steps)]
     value, when = CONDITIONS[alert.name]
     labels = list(alert.labels)
@@ -250,11 +269,11 @@ def alert_sql(alert: Alert, number: int) -> str:
           WHERE metric = 'node_uname_info') USING (instance, tick)"""
         labels.append("nodename")
     ctes.append(f"active_{number} AS ({active})")
-    ctes.append(_rows_sql(number, alert.name, alert.severity, labels, alert.hold * STRETCH))
+    ctes.append(_rows_sql(number, alert.name, alert.severity, labels, alert.hold * stretch, step))
     return ", ".join(ctes)
 
 
-def _rows_sql(number: int, name: str, severity: str, labels: list[str], hold: int) -> str:
+def _rows_sql(number: int, name: str, severity: str, labels: list[str], hold: int, step: int = STEP) -> str:
     by = f"PARTITION BY {_quoted(labels)}" if labels else ""
     runs = f"PARTITION BY {_quoted([*labels, 'run'])}"
     text = " || ',' || ".join(f"""'{n}=' || coalesce("{n}", '')""" for n in labels) or "''"
@@ -262,7 +281,7 @@ def _rows_sql(number: int, name: str, severity: str, labels: list[str], hold: in
       TIMESTAMP '1970-01-01' + to_seconds(tick) AS ts, {single_sql('"value"')} AS "value",
       TIMESTAMP '1970-01-01' + to_seconds(since) AS since,
       CASE WHEN tick - since >= {hold} THEN 'firing' ELSE 'pending' END AS state
-    FROM (SELECT *, min(tick) OVER ({runs}) AS since FROM (SELECT *, tick - {STEP} * row_number() OVER ({by}
+    FROM (SELECT *, min(tick) OVER ({runs}) AS since FROM (SELECT *, tick - {step} * row_number() OVER ({by}
       ORDER BY tick) AS run FROM active_{number})))"""
 
 
@@ -297,6 +316,24 @@ for _name, _alerts in {
 BUSY = {**METRICS, "node_memory_MemAvailable_bytes": (_HOST, "value * 500000")}
 query("alerts_long_holds", shape_sql(monitoring.LONG_HOLDS, BUSY))(_shape(monitoring.LONG_HOLDS, BUSY))
 
+# an hourly grid, on which most ticks of a series have no sample; each is good for a while
+HOURLY, FINE, LOOKBACK = 3600, 240, 6 * 3600
+LOOKED_BACK = [a for a in monitoring.ALERTS if a.name in ("HostSwapIsFillingUp", "HostConntrackLimit", "HostOutOfDiskSpace", "HostHighCpuLoad", "HostClockSkew")]
+
+
+@query(
+    "alerts_lookback",
+    "WITH "
+    + ", ".join([samples_sql(known_metrics(LOOKED_BACK), METRICS, HOURLY), *[alert_sql(a, i, HOURLY, FINE, LOOKBACK) for i, a in enumerate(LOOKED_BACK)]])
+    + " "
+    + " UNION ALL ".join(f"SELECT * FROM rows_{i}" for i in range(len(LOOKED_BACK))),
+)
+def alerts_lookback(spark, sf):
+    """Alerts over samples that come at odd times: at a tick without one, the last of six hours counts."""
+    samples = host_samples(spark, sf, known_metrics(LOOKED_BACK))
+    rows = monitoring.all_alert_rows(samples, LOOKED_BACK, HOURLY, FINE, LOOKBACK)
+    return rows.withColumn("value", single(F.col("value")))
+
 
 KERNELS = f"""{samples_sql(["node_uname_info"])}, active_0 AS (SELECT tick, cast(count(DISTINCT kernel) AS double) AS "value"
   FROM (SELECT tick, regexp_replace(release, '^(?:{monitoring.KERNEL_PATTERN})$', '\\1') AS kernel FROM samples
