@@ -157,39 +157,68 @@ def test_stream_of_notifications_agrees_with_the_batch(spark, tmp_path, rows):
         firing.where((minute >= low) & (minute < high)).coalesce(1).write.mode("append").parquet(source)
         arriving = topics.replay_topics(spark, source, firing.schema, "parquet")
         notify.land_notifications(arriving, ["job"], 60, 150, out, str(tmp_path / "cp"), wait=30)
+    end = notify.heartbeat(spark, firing.schema, firing.agg(F.max("ts")).first()[0], 60, 0)
+    end.write.mode("append").parquet(source)
+    notify.land_notifications(topics.replay_topics(spark, source, firing.schema, "parquet"), ["job"], 60, 150, out, str(tmp_path / "cp"), wait=30)
     assert rows(spark.read.parquet(f"{out}/sent"), "job", "since", "sent_at", "n_alerts") == expected
     assert len(expected) == 10
 
 
-def test_intervals_may_come_in_pieces(spark, rows, tmp_path):
-    """An interval that is cut by batches and comes out of order is counted once, in full."""
-    out, base = str(tmp_path / "notify"), 1704067200
-    parts = [["00:00:05", "00:02:10", "00:00:50"], ["00:02:55", "00:03:10", "00:02:01"], ["00:04:00"]]
+def replay(spark, out, parts, columns, lateness, **settings):
+    """Alerts as (columns, time of day) in several runs of the stream; returns all that came."""
+    made = []
     for part in parts:
-        firing = spark.createDataFrame([("a", f"2024-01-01 {t}") for t in part], "job string, t string")
-        firing = firing.select("job", F.col("t").cast("timestamp_ntz").alias("ts"))
+        firing = spark.createDataFrame([(*r[:-1], f"2024-01-01 {r[-1]}") for r in part], f"{columns}, t string")
+        firing = firing.withColumn("ts", F.col("t").cast("timestamp_ntz")).drop("t")
+        made.append(firing)
         firing.coalesce(1).write.mode("append").parquet(f"{out}/arriving")
         arriving = topics.replay_topics(spark, f"{out}/arriving", firing.schema, "parquet")
-        notify.land_notifications(arriving, ["job"], 60, 180, out, f"{out}/checkpoint", lateness="30 seconds")
-    sent = spark.read.parquet(f"{out}/sent")
-    assert rows(sent, "since", "sent_at", "n_alerts") == [(base, base, 2), (base + 120, base + 120, 3)]
+        notify.land_notifications(arriving, ["job"], 60, settings.get("repeat", 120), out, f"{out}/checkpoint", lateness=lateness, identity=settings.get("identity", ()))
+    return spark.read.schema(made[0].schema).parquet(f"{out}/arriving").where("job is not null")
+
 
+BASE = 1704067200
 
-def test_open_intervals_are_settled_at_the_end(spark, tmp_path, rows):
-    """Also those of a run that began before, and alerts that came late but within the lateness."""
-    out = str(tmp_path / "notify")
+
+def test_intervals_may_come_in_pieces(spark, rows, tmp_path):
+    """An interval that is cut by batches and comes out of order is counted once, in full."""
+    parts = [[("a", "00:00:05"), ("a", "00:02:10"), ("a", "00:00:50")], [("a", "00:02:55"), ("a", "00:03:10"), ("a", "00:02:01")], [("a", "00:04:00")]]
+    replay(spark, str(tmp_path), parts, "job string", "30 seconds", repeat=180)
+    sent = spark.read.parquet(f"{tmp_path}/sent")
+    assert rows(sent, "since", "sent_at", "n_alerts") == [(BASE, BASE, 2), (BASE + 120, BASE + 120, 3)]
+
+
+def test_a_heartbeat_closes_what_is_open(spark, tmp_path, rows):
+    """Also intervals of a run that began before, and alerts that came late but within the lateness."""
     parts = [[("a", "00:00:05"), ("b", "00:00:10"), ("a", "00:01:05"), ("a", "00:02:10")], [("a", "00:01:50"), ("a", "00:03:10"), ("b", "00:03:20"), ("a", "00:04:00")]]
-    for part in parts:
-        firing = spark.createDataFrame([(g, f"2024-01-01 {t}") for g, t in part], "job string, t string")
-        firing = firing.select("job", F.col("t").cast("timestamp_ntz").alias("ts"))
-        firing.coalesce(1).write.mode("append").parquet(f"{out}/arriving")
-        arriving = topics.replay_topics(spark, f"{out}/arriving", firing.schema, "parquet")
-        notify.land_notifications(arriving, ["job"], 60, 120, out, f"{out}/checkpoint", lateness="60 seconds")
-    every = spark.read.schema(firing.schema).parquet(f"{out}/arriving")
-    left = notify.open_notifications(every, ["job"], 60, 120, out)
-    sent = spark.read.parquet(f"{out}/sent").drop("batch_id")
+    every = replay(spark, str(tmp_path), parts, "job string", "60 seconds")
+    schema = every.schema
+    end = notify.heartbeat(spark, schema, every.agg(F.max("ts")).first()[0], 60, 60)
+    end.write.mode("append").parquet(f"{tmp_path}/arriving")
+    arriving = topics.replay_topics(spark, f"{tmp_path}/arriving", schema, "parquet")
+    notify.land_notifications(arriving, ["job"], 60, 120, str(tmp_path), f"{tmp_path}/checkpoint", lateness="60 seconds")
     expected = rows(ts.notifications(every.select("job", ts.seconds(F.col("ts")).alias("tick")), ["job"], 60, 120))
-    assert rows(sent.unionByName(left)) == expected and rows(left) and len(expected) == 5
+    assert rows(spark.read.parquet(f"{tmp_path}/sent").drop("reason")) == expected and len(expected) == 5
+
+
+def test_a_group_is_sent_when_its_alerts_change(spark, rows, tmp_path):
+    """Apart from the repetition, which counts from what was sent last; copies of an alert are one."""
+    minutes = [("h1",), ("h1", "h1"), ("h1", "h2"), ("h2", "h1"), ("h1", "h2"), ("h2",), (), ("h2",), ()]
+    parts = [[("a", h, f"00:{m:02d}:{s + 1:02d}") for m, hosts in enumerate(minutes) for s, h in enumerate(hosts)], [(None, None, "00:30:00")]]
+    replay(spark, str(tmp_path), parts, "job string, host string", "0 seconds", identity=["host"])
+    sent = spark.read.parquet(f"{tmp_path}/sent")
+    assert rows(sent.select("job", ((F.col("sent_at") - BASE) / 60).cast("int"), "n_alerts", "reason")) == sorted(
+        [("a", 0, 1, "new"), ("a", 2, 2, "changed"), ("a", 4, 2, "repeat"), ("a", 5, 1, "changed"), ("a", 7, 1, "new")], key=repr
+    )
+
+
+def test_state_ends_with_the_run(spark, tmp_path):
+    """Groups that are long over leave no state behind."""
+    parts = [[(f"g{i}", "00:00:05") for i in range(30)], [("a", "00:10:00")], [("a", "00:20:00")], [(None, "00:40:00")], [(None, "00:50:00")]]
+    replay(spark, str(tmp_path), parts, "job string", "0 seconds")
+    left = spark.read.format("statestore").load(f"{tmp_path}/checkpoint/sent")
+    assert left.where("value.groupState is not null").count() <= 1
+    assert spark.read.parquet(f"{tmp_path}/sent").count() == 32
 
 
 def test_jdbc_append_options(spark, monkeypatch):

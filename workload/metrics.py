@@ -11,7 +11,7 @@ from tallymill.operators.timeseries import Match, Selector
 from tallymill.plans import metric_names
 from tallymill.session import work_path
 from tallymill.sources import topics
-from tallymill.streaming.notify import land_notifications, open_notifications
+from tallymill.streaming import notify
 from workload.inputs import table
 from workload.registry import query, single, single_sql
 
@@ -276,19 +276,43 @@ def stream_repeat_suppress(spark, sf):
 
     At the second cut every other type's last 20 minutes come a run late, within the lateness stated.
     """
+    sent = _replayed(spark, sf, table(spark, sf, "events").where(F.col("value") > 150).select("event_type", "ts"))
+    return sent.select("event_type", "since", "sent_at", "n_alerts")
+
+
+def _replayed(spark, sf, high, identity=()):
+    """Alerts in three runs of the streams, and a heartbeat that closes what is left open."""
     out = work_path(spark, "notify")
-    high = table(spark, sf, "events").where(F.col("value") > 150).select("event_type", "ts")
     cuts = [F.lit(f"2024-01-{d}").cast("timestamp_ntz") for d in ("11 00:03:20", "21 12:34:56")]
     ts_col = F.col("ts")
     late = (ts_col >= cuts[1] - F.expr("INTERVAL 20 MINUTES")) & (F.pmod(F.crc32("event_type"), F.lit(2)) == 0)
     second = (ts_col >= cuts[0]) & (ts_col < cuts[1])
-    for part in (ts_col < cuts[0], second & ~late, (second & late) | (ts_col >= cuts[1])):
-        high.where(part).write.mode("append").parquet(f"{out}/arriving")
+    end = notify.heartbeat(spark, high.schema, high.agg(F.max("ts")).first()[0], 600, 1800)
+    parts = [high.where(part) for part in (ts_col < cuts[0], second & ~late, (second & late) | (ts_col >= cuts[1]))]
+    for part in [*parts, end]:
+        part.write.mode("append").parquet(f"{out}/arriving")
         arriving = topics.replay_topics(spark, f"{out}/arriving", high.schema, "parquet")
-        land_notifications(arriving, ["event_type"], 600, 1800, out, f"{out}/checkpoint", wait=30, lateness="30 minutes")
-    arrived = spark.read.schema(high.schema).parquet(f"{out}/arriving")
-    left = open_notifications(arrived, ["event_type"], 600, 1800, out, wait=30)
-    return spark.read.parquet(f"{out}/sent").drop("batch_id").unionByName(left)
+        notify.land_notifications(arriving, ["event_type"], 600, 1800, out, f"{out}/checkpoint", 30, "30 minutes", identity)
+    return spark.read.parquet(f"{out}/sent")
+
+
+@query(
+    "stream_group_changes",
+    """WITH groups AS (SELECT event_type, cast(floor(epoch(ts)) AS bigint) - cast(floor(epoch(ts)) AS bigint) % 600 AS tick,
+      count(DISTINCT user_id % 2) AS n_alerts, string_agg(DISTINCT user_id % 2, ',' ORDER BY user_id % 2) AS hosts
+      FROM events WHERE "value" > 150 GROUP BY 1, 2),
+    before AS (SELECT *, lag(tick) OVER w AS prev, lag(hosts) OVER w AS prev_hosts FROM groups
+      WINDOW w AS (PARTITION BY event_type ORDER BY tick)),
+    marked AS (SELECT *, CASE WHEN prev IS NULL OR prev < tick - 600 THEN 'new' WHEN prev_hosts <> hosts THEN 'changed' END AS kind FROM before),
+    anchored AS (SELECT *, max(tick) FILTER (WHERE kind = 'new') OVER w AS since, max(tick) FILTER (WHERE kind IS NOT NULL) OVER w AS anchor
+      FROM marked WINDOW w AS (PARTITION BY event_type ORDER BY tick))
+    SELECT event_type, since, tick + 30 AS sent_at, n_alerts, coalesce(kind, 'repeat') AS reason FROM anchored
+    WHERE (tick - anchor) % 1800 = 0""",
+)
+def stream_group_changes(spark, sf):
+    """The same alerts, each of one of two hosts: a group is sent at once when its set of hosts changes."""
+    high = table(spark, sf, "events").where(F.col("value") > 150).select("event_type", (F.col("user_id") % 2).alias("host"), "ts")
+    return _replayed(spark, sf, high, ["host"])
 
 
 # ---- flat metric names
