@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from tallymill.functions.times import spark_pattern
@@ -108,10 +108,10 @@ def violation(check: Check) -> Column:
     return F.coalesce(build(F.col(check.column), check), F.lit(False))
 
 
-def read_json(path: str) -> Any:
-    """A small JSON file on the driver, such as a suite config."""
-    with open(path, encoding="utf-8") as handle:
-        return json.load(handle)
+def read_json(path: str, spark: SparkSession | None = None) -> Any:
+    """A small JSON file, such as a suite config, read where Spark reads its files."""
+    spark = spark or SparkSession.active()
+    return json.loads(spark.read.text(path, wholetext=True).first()["value"])
 
 
 def checks_from_config(config: dict[str, Any]) -> list[Check]:
@@ -130,5 +130,5 @@ def checks_from_config(config: dict[str, Any]) -> list[Check]:
     return found
 
 
-def load_checks(path: str) -> list[Check]:
-    return checks_from_config(read_json(path))
+def load_checks(path: str, spark: SparkSession | None = None) -> list[Check]:
+    return checks_from_config(read_json(path, spark))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from tallymill.functions.keys import surrogate_key
 from tallymill.operators.checks import UNIQUE, Check, rule_of, violation
 from tallymill.operators.rows import evaluate_once, union_all
 from tallymill.operators.skew import attach_counts
+from tallymill.session import work_path
 
 FAILED = "failed_checks"
 
@@ -150,13 +152,35 @@ def violations(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return quarantine(df, checks).withColumn("check_name", F.explode(FAILED)).drop(FAILED)
 
 
+BITS = 62  # checks per word
+
+
+def _bits(checks: Sequence[Check]) -> list[Column]:
+    """Which checks a row fails, one bit each, in words of `BITS`."""
+    words = []
+    for start in range(0, len(checks), BITS):
+        bits = [F.when(F.array_contains(FAILED, c.name), 1 << i).otherwise(0) for i, c in enumerate(checks[start : start + BITS])]
+        words.append(reduce(lambda a, b: a.bitwiseOR(b), bits).cast("bigint").alias(f"_bits{start // BITS}"))
+    return words
+
+
 def violating_all(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Rows that violate every check that fails anywhere; none when every check passes."""
-    failing = (
-        suite_counts(df, checks).where(~F.col("success")).agg(F.collect_list("check_name").alias("names")).scalar()
-    )
-    fails_all = (F.size(failing) > 0) & (F.size(F.array_except(failing, F.col(FAILED))) == 0)
-    return quarantine(df, checks).where(fails_all).drop(FAILED)
+    """Rows that violate every check that fails anywhere; none when every check passes.
+
+    The rows that fail something are stored in the one pass over `df`, with their failed checks as
+    bits; the bits of all of them, or-ed together, are the checks that fail anywhere.
+    """
+    spark, path = df.sparkSession, work_path(df.sparkSession, "violating")
+    held = quarantine(df, checks)
+    words = _bits(checks)
+    marked = held.select(*_own(df), *words)
+    marked.write.parquet(path)
+    stored = spark.read.schema(marked.schema).parquet(path)
+    names = [f"_bits{i}" for i in range(len(words))]
+    total = stored.agg(*[F.coalesce(F.bit_or(n), F.lit(0)).alias(n) for n in names]).first()
+    for n in names:
+        stored = stored.where(F.col(n) == total[n])
+    return stored.drop(*names)
 
 
 def samples(df: DataFrame, checks: Sequence[Check], k: int = 20) -> DataFrame:

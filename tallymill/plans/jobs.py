@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,11 +11,12 @@ from tallymill.functions.times import parse_date, parse_time_of_day, parse_times
 from tallymill.operators.contract import require_contract
 from tallymill.operators.rows import distinct_rows, lower_names, open_range
 from tallymill.plans import marts, staging
-from tallymill.session import work_path
-from tallymill.sources.files import read_counts
+from tallymill.sources.files import is_complete, read_counts
+from tallymill.sources.manifest import FetchLog, mark_fetched, to_fetch
 from tallymill.sources.tables import Models, overwrite_and_read
 from tallymill.sources.topics import as_messages, parse_payload, replay_topics
-from tallymill.streaming.land import land
+from tallymill.sources.versions import VersionedTable
+from tallymill.streaming.land import land_once
 
 
 def clean_counts(raw: DataFrame) -> DataFrame:
@@ -64,24 +65,20 @@ def reload_trips(raw: DataFrame, drop: list[str], stamp: str, low: str, high: st
 
 
 def validate_and_load(raw: DataFrame, schema: T.StructType, out: str) -> DataFrame:
-    """Replace the stored table; a row that breaks the contract fails the write and nothing is replaced.
+    """Replace the versioned table at `out`; a row that breaks the contract fails the write and nothing is replaced.
 
-    The rows go to a path of this run first, since overwriting deletes the old files before the new
-    ones are known to be good.
+    Rows are checked as they are written, once, to the folder of a version that only the commit
+    after the last row makes visible.
     """
-    staged = work_path(raw.sparkSession, "incoming")
-    checked = overwrite_and_read(require_contract(raw, schema), staged)
-    return overwrite_and_read(checked, out)
+    return VersionedTable(raw.sparkSession, out).replace(require_contract(raw, schema))
 
 
-def warehouse(spark: SparkSession, raw_by_source: DataFrame, locations: DataFrame) -> Models:
-    """Staging view, location and fact tables, and the three marts, as named models."""
-    models = Models(spark)
-    models.add("stg_counts", lambda s: staging.stage(raw_by_source, source="source"))
-    models.add("dim_locations", lambda s: marts.dim_locations(locations), "table")
-    models.add(
-        "fact_counts", lambda s: marts.fact(s.table("stg_counts").drop("source"), s.table("dim_locations")), "table"
-    )
+def warehouse(spark: SparkSession, raw_by_source: DataFrame, locations: DataFrame, root: str | None = None) -> Models:
+    """Staging view, location and fact tables, and the three marts, as named models.
+
+    The order in which they are added does not matter; `build_all` builds each after what it reads.
+    """
+    models = Models(spark, root)
 
     def from_fact(*keys):
         return lambda s: s.table("fact_counts").groupBy(*keys).agg(F.sum("count").alias("total_count"))
@@ -93,21 +90,48 @@ def warehouse(spark: SparkSession, raw_by_source: DataFrame, locations: DataFram
         from_fact(wave_year(F.col("year")).alias("year"), wave_quarter(F.col("year")).alias("quarter")),
         "table",
     )
+    models.add(
+        "fact_counts", lambda s: marts.fact(s.table("stg_counts").drop("source"), s.table("dim_locations")), "table"
+    )
+    models.add("dim_locations", lambda s: marts.dim_locations(locations), "table")
+    models.add("stg_counts", lambda s: staging.stage(raw_by_source, source="source"))
     return models
 
 
 def ingest(
-    picked: DataFrame, rows: DataFrame, fields: list[str], schema: T.StructType, topic: str, out: str
-) -> DataFrame:
-    """Rows of the picked files go to a topic as JSON messages, and from there to a landing table.
-
-    `rows` carries `file_name`. The topic is a folder of messages here; with a broker, publish to it
-    and read it with `read_topics` instead.
+    listed: DataFrame,
+    rows: DataFrame,
+    log: FetchLog,
+    version: str,
+    at: Column,
+    fields: list[str],
+    schema: T.StructType,
+    topic: str,
+    out: str,
+) -> int:
+    """Fetch what is new: pick files, publish their rows, land them from the topic, and log the fetch.
+
+    `listed` has `name` and `version`; `rows` carries `file_name`. Files that the log does not know in
+    their version are picked, and logged at the end with `at` as the time of the fetch. Returns the
+    number of files fetched. Whichever step a run breaks in, the next one takes up the same fetch:
+    a topic folder that is complete is kept, a batch that was landed is not landed again, and a
+    fetch is logged once. The topic is a folder of messages here; with a broker, publish to it and
+    read it with `read_topics` instead.
     """
-    spark = rows.sparkSession
-    wanted = rows.join(picked.select(F.col("name").alias("file_name")), "file_name", "left_semi")
-    as_messages(wanted, F.lit(topic), fields).write.mode("overwrite").parquet(f"{out}/topic")
-    message = T.StructType([T.StructField("topic", T.StringType()), T.StructField("value", T.StringType())])
-    arriving = replay_topics(spark, f"{out}/topic", message, "parquet")
-    land(parse_payload(arriving, schema), f"{out}/landed", f"{out}/checkpoint")
-    return spark.read.schema(schema).parquet(f"{out}/landed")
+    spark, fetch = rows.sparkSession, log.fetches()
+    # the pick is kept, so that a run that takes up a broken fetch works on the same files
+    picks = VersionedTable(spark, f"{out}/picked")
+    fresh = to_fetch(listed, log.latest(), version).select("name", version, F.lit(fetch).cast("bigint").alias("fetch"))
+    picks.append(fresh, "fetch", fetch)
+    picked = picks.read().where(F.col("fetch") == fetch).drop("fetch")
+    count = picked.count()
+    if count:
+        folder = f"{out}/topic/{fetch:08d}"
+        message = T.StructType([T.StructField("topic", T.StringType()), T.StructField("value", T.StringType())])
+        if not is_complete(spark, folder):
+            wanted = rows.join(picked.select(F.col("name").alias("file_name")), "file_name", "left_semi")
+            as_messages(wanted, F.lit(topic), fields).write.mode("overwrite").parquet(folder)
+        arriving = replay_topics(spark, f"{out}/topic/*", message, "parquet")
+        land_once(parse_payload(arriving, schema), f"{out}/landed", "ingest", f"{out}/checkpoint")
+    log.write(mark_fetched(picked.withColumn("update_timestamp", at)), fetch)
+    return count

@@ -17,6 +17,7 @@ def string_schema(fields: list[str]) -> T.StructType:
 RAW_STREAM = string_schema(STREAM_FIELDS)
 RAW_BATCH = string_schema(BATCH_FIELDS)
 
+# Columns of a message, as the connector names them.
 MESSAGE = T.StructType(
     [
         T.StructField("topic", T.StringType()),
@@ -27,6 +28,7 @@ MESSAGE = T.StructType(
     ]
 )
 
+# Columns of the published table of locations.
 LOCATION = T.StructType(
     [
         T.StructField("site_id", T.StringType()),

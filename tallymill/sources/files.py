@@ -52,3 +52,9 @@ def read_counts(spark: SparkSession, root: str, schema: T.StructType) -> DataFra
     return with_file_dims(
         spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).csv(root)
     )
+
+
+def is_complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a write to `folder` has come to its end, by the mark that Spark leaves last."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)

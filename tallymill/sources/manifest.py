@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymill.functions.text import contains_ci
+from tallymill.sources.versions import VersionedTable
 
 CELLS = ["name", "last_modified", "size", "type", "description"]
 
@@ -71,3 +73,38 @@ def to_fetch(manifest: DataFrame, fetched: DataFrame, version: str, place: str |
 def mark_fetched(files: DataFrame) -> DataFrame:
     """State rows after a fetch: the create timestamp catches up with the update timestamp."""
     return files.withColumn("create_timestamp", F.col("update_timestamp"))
+
+
+class FetchLog:
+    """What was fetched, as rows that are only ever added; the last one of a name counts.
+
+    `columns` are the columns of a row besides `name`. Every write is one commit of a versioned
+    table, numbered by the fetch, so a fetch that is repeated after a failure is written once.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, columns: str):
+        self.table = VersionedTable(spark, path)
+        self.schema = T.StructType.fromDDL(f"name string, {columns}, fetch bigint")
+
+    def fetches(self) -> int:
+        """The number of fetches that were written."""
+        return self.table.state().batches.get("fetch", -1) + 1
+
+    def write(self, files: DataFrame, fetch: int) -> bool:
+        """Add the rows of a fetch (`fetches()` before it); False if they are there."""
+        rows = files.withColumn("fetch", F.lit(fetch).cast("bigint"))
+        return self.table.append(rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema]), "fetch", fetch)
+
+    def latest(self) -> DataFrame:
+        """One row per name, as last written; of rows of one fetch the largest."""
+        if not self.table.version():
+            return self.table.spark.createDataFrame([], self.schema)
+        rest = [f.name for f in self.schema if f.name != "name"]
+        newest = self.table.read().groupBy("name").agg(F.max(F.struct("fetch", *[c for c in rest if c != "fetch"])).alias("_row"))
+        return newest.select("name", *[F.col(f"_row.{c}").alias(c) for c in rest])
+
+    def compact(self) -> None:
+        """Keep the last row of each name only. A fetch written meanwhile is a conflict, and nothing is lost."""
+        at = self.table.version()
+        if at:
+            self.table.replace(self.latest().select(*self.schema.fieldNames()), expect=at)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymill.sources.topics import parse_or_reject
+from tallymill.sources.topics import parse_or_reject, replay_topics
 from tallymill.streaming.land import each_batch, write_batch
 
 # Retry headers and their defaults.
@@ -99,3 +101,45 @@ def retry(dead: DataFrame) -> DataFrame:
 
 def exhausted(dead: DataFrame) -> DataFrame:
     return dead.where(F.col("headers")[RETRY].cast("int") >= F.col("headers")[RETRY_MAX].cast("int"))
+
+
+def as_connector(messages: DataFrame) -> DataFrame:
+    """Messages with their headers as a topic delivers them: an array of key and binary value."""
+    entries = F.map_entries("headers")
+    shaped = F.transform(entries, lambda e: F.struct(e["key"].alias("key"), e["value"].cast("binary").alias("value")))
+    return messages.withColumn("headers", shaped)
+
+
+def land_with_retries(
+    messages: DataFrame, schema: T.StructType, out: str, checkpoint: str, mend: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
+    """Stream: every message ends in `out/good` or, when its tries are spent, in `out/exhausted`.
+
+    Dead letters with tries left are messages again, with the retry header raised, on a topic of
+    their own, `out/again`, which the stream reads beside the messages; so the tries of one message
+    lie in different batches, and a restart goes on where the stream stood. `mend` is applied to the
+    messages that come back. Runs until nothing comes back any more.
+    """
+    spark = messages.sparkSession
+    headers = T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.BinaryType())]))
+    if "headers" not in messages.columns:
+        messages = messages.withColumn("headers", F.lit(None).cast(headers))
+    columns = ["topic", "partition", "offset", "timestamp", "value", "headers"]
+    messages = messages.select(*columns).withColumn("value", F.col("value").cast("string"))
+    spark.createDataFrame([], messages.schema).write.mode("overwrite").parquet(f"{out}/again/start")
+    back = replay_topics(spark, f"{out}/again/*", messages.schema, "parquet")
+    arriving = messages.unionByName(mend(back) if mend else back)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_or_reject(batch, schema).persist()
+        try:
+            write_batch(accepted(parsed, schema), f"{out}/good", batch_id, by=["topic"])
+            dead = rejected(parsed)
+            write_batch(exhausted(dead), f"{out}/exhausted", batch_id)
+            # no later batch has read this folder yet, so a batch that runs again may replace it
+            as_connector(retry(dead)).select(*columns).write.mode("overwrite").parquet(f"{out}/again/{batch_id:08d}")
+        finally:
+            parsed.unpersist()
+
+    while any(p["numInputRows"] for p in each_batch(arriving, handle, checkpoint).recentProgress):
+        pass

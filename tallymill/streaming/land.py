@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tallymill.sources.tables import append_jdbc, save
+from tallymill.sources.versions import VersionedTable
 
 
 def run_available(writer: DataStreamWriter) -> StreamingQuery:
@@ -63,11 +64,48 @@ def land_batches(df: DataFrame, path: str, checkpoint: str, by: Sequence[str] =
     return each_batch(df, lambda batch, batch_id: write_batch(batch, path, batch_id, by) and None, checkpoint)
 
 
-def land_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str], checkpoint: str) -> StreamingQuery:
-    return each_batch(df, lambda batch, _: append_jdbc(batch, url, table, properties), checkpoint)
+def land_once(df: DataFrame, path: str, query: str, checkpoint: str) -> StreamingQuery:
+    """Append a stream to the versioned table at `path`; a batch that runs again is not added again.
+
+    `query` names the stream in the table's ledger: give a stream that starts over with a new
+    checkpoint a new name, since its batches are counted from 0 again.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        VersionedTable(batch.sparkSession, path).append(batch, query, batch_id)
+
+    return each_batch(df, handle, checkpoint)
+
+
+def _logged(handle: Callable[[DataFrame], None], ledger: str | None, query: str) -> Callable[[DataFrame, int], None]:
+    """`handle` for batches that the ledger does not know yet; a batch is entered when it was handled."""
+
+    def once(batch: DataFrame, batch_id: int) -> None:
+        book = VersionedTable(batch.sparkSession, ledger) if ledger else None
+        if book and book.done(query, batch_id):
+            return
+        handle(batch)
+        if book:
+            entry = batch.sparkSession.createDataFrame([(query, batch_id)], "query string, batch_id bigint")
+            book.append(entry, query, batch_id)
+
+    return once
+
+
+def land_jdbc(
+    df: DataFrame, url: str, table: str, properties: Mapping[str, str], checkpoint: str, ledger: str | None = None
+) -> StreamingQuery:
+    """Append a stream over JDBC. With `ledger`, a folder, batches that are entered there are skipped.
+
+    The store is not part of the ledger's commit: a batch that breaks after its append and before
+    its entry is appended again.
+    """
+    handle = lambda batch: append_jdbc(batch, url, table, properties)
+    return each_batch(df, _logged(handle, ledger, table), checkpoint)
 
 
 def land_connector(
-    df: DataFrame, fmt: str, options: Mapping[str, str], checkpoint: str, mode: str = "append"
+    df: DataFrame, fmt: str, options: Mapping[str, str], checkpoint: str, mode: str = "append", ledger: str | None = None
 ) -> StreamingQuery:
-    return each_batch(df, lambda batch, _: save(batch, fmt, mode, options), checkpoint)
+    """Write a stream through a connector, batch by batch; `ledger` as in `land_jdbc`."""
+    return each_batch(df, _logged(lambda batch: save(batch, fmt, mode, options), ledger, fmt), checkpoint)

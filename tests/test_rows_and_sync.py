@@ -8,6 +8,7 @@ from tallymill.functions.times import parse_timestamp
 from tallymill.operators import distribution, rows as ops, upsert
 from tallymill.plans import jobs, marts, staging
 from tallymill.schemas import BATCH_FIELDS, RAW_BATCH, RAW_STREAM, to_batch_names, to_stream_names
+from tallymill.sources.versions import Conflict, VersionedTable
 from tallymill.sources import files, manifest, tables
 
 
@@ -250,12 +251,102 @@ def test_replace_partitions_twice_changes_nothing(spark, rows, tmp_path):
     assert rows(spark.read.parquet(path), "n", "p") == [(2, "b"), (9, "a")]
 
 
-def test_failed_validation_keeps_the_old_table(spark, rows, tmp_path):
+def test_failed_validation_keeps_the_old_table(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "loaded")
     jobs.validate_and_load(counts(spark, {}), RAW_BATCH, path)
     with pytest.raises(Exception, match="field Path is missing"):
         jobs.validate_and_load(counts(spark, {}, {"Path": None}), RAW_BATCH, path)
-    assert spark.read.parquet(path).count() == 1
+    assert VersionedTable(spark, path).read().count() == 1
+    with monkeypatch.context() as broken:  # the rows are written, the commit is not
+        broken.setattr(VersionedTable, "_commit", lambda *a, **k: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            jobs.validate_and_load(counts(spark, {}, {}), RAW_BATCH, path)
+    table = VersionedTable(spark, path)
+    assert table.version() == 1 and table.read().count() == 1
+    assert jobs.validate_and_load(counts(spark, {}, {}), RAW_BATCH, path).count() == 2
+    assert table.read(1).count() == 1
+
+
+def test_versions_and_ledger(spark, rows, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="nothing was committed"):
+        table.read()
+    for batch in range(25):  # more commits than one whole listing apart
+        assert table.append(spark.range(batch, batch + 1), "a", batch)
+        assert not table.append(spark.range(batch, batch + 1), "a", batch)
+    assert table.append(spark.range(100, 101), "b", 0) and not table.append(spark.range(5), "a", 3)
+    assert rows(table.read()) == sorted([(i,) for i in [*range(25), 100]], key=repr)
+    assert rows(table.read(3)) == [(0,), (1,), (2,)]
+    with pytest.raises(ValueError, match="do not fit"):
+        table.append(spark.range(1).toDF("other"), "a", 99)
+    at = table.version()
+    other = VersionedTable(spark, str(tmp_path / "t"))
+    other.append(spark.range(200, 201), "b", 1)
+    with pytest.raises(Conflict):
+        table.replace(spark.range(1), expect=at)
+    assert rows(table.replace(spark.range(7, 8))) == [(7,)]
+    assert not table.append(spark.range(1), "b", 1)  # the ledger outlives the rows
+    assert table.replace(spark.range(0)).count() == 0
+
+
+def test_two_writers_of_one_version(spark, rows, tmp_path, monkeypatch):
+    """The second finds its version taken, and adds its rows to what the first has committed."""
+    table, state = VersionedTable(spark, str(tmp_path / "t")), VersionedTable.state
+    other, raced = VersionedTable(spark, str(tmp_path / "t")), []
+
+    def late(self, version=None):
+        found = state(self, version)
+        if self is table and len(raced) == 1:  # between reading the state and the commit
+            raced.append(other.append(spark.range(5, 6), "other", 0))
+        elif self is table:
+            raced.append(None)
+        return found
+
+    monkeypatch.setattr(VersionedTable, "state", late)
+    assert table.append(spark.range(1), "mine", 0) and raced[1] is True
+    assert rows(table.read()) == [(0,), (5,)] and table.version() == 2
+
+
+def test_models_are_built_after_what_they_read(spark, rows, tmp_path):
+    models = tables.Models(spark, str(tmp_path / "models"))
+    models.add("top", lambda s: s.sql("WITH x AS (SELECT n FROM middle) SELECT sum(x.n) AS total FROM x JOIN `low` USING (n)"), "table")
+    models.add("middle", lambda s: s.table("low").where("n > 1"), "table")
+    models.add("low", lambda s: s.range(4).toDF("n"))
+    assert models.build_all() == ["low", "middle", "top"]
+    assert rows(spark.table("top")) == [(5,)] and models.reads == {"low": [], "middle": ["low"], "top": ["middle", "low"]}
+    models.add("low", lambda s: s.range(3).toDF("n"))
+    assert models.build_all() and rows(spark.table("top")) == [(2,)]
+    assert VersionedTable(spark, str(tmp_path / "models" / "top")).version() == 2
+    models.add("low", lambda s: s.table("top"))
+    with pytest.raises(ValueError, match="top -> middle -> low -> top"):
+        models.build_all()
+
+
+def test_ingest_goes_on_where_it_broke(spark, rows, tmp_path, monkeypatch):
+    fields, out = ["n"], str(tmp_path / "out")
+    schema = spark.createDataFrame([], "n string").schema
+    listed = lambda *files: spark.createDataFrame([(f, e) for f, e in files], "name string, etag string")
+    data = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "3"), ("c", "4")], "file_name string, n string")
+    log = manifest.FetchLog(spark, f"{out}/log", "etag string, update_timestamp timestamp_ntz, create_timestamp timestamp_ntz")
+    run = lambda *files: jobs.ingest(listed(*files), data, log, "etag", F.lit("2024-01-01").cast("timestamp_ntz"), fields, schema, "t", out)
+    landed = lambda: rows(VersionedTable(spark, f"{out}/landed").read())
+    assert run(("a", "x")) == 1 and landed() == [("1",), ("2",)]
+    assert run(("a", "x")) == 0 and landed() == [("1",), ("2",)]
+    for step in ("as_messages", "land_once", "mark_fetched"):
+        with monkeypatch.context() as broken:
+            broken.setattr(jobs, step, lambda *a, **k: (_ for _ in ()).throw(OSError(step)))
+            with pytest.raises(OSError, match=step):
+                run(("a", "x"), ("b", "y"))
+            # what is listed meanwhile waits for the next fetch
+            if step != "mark_fetched":
+                assert landed() == [("1",), ("2",)]
+    assert run(("a", "x"), ("b", "y"), ("c", "z")) == 1 and landed() == [("1",), ("2",), ("3",)]
+    assert run(("a", "x"), ("b", "y"), ("c", "z")) == 1 and landed() == [("1",), ("2",), ("3",), ("4",)]
+    log.compact()
+    assert run(("a", "x"), ("b", "y"), ("c", "z")) == 0
+    assert rows(log.latest(), "name", "etag") == [("a", "x"), ("b", "y"), ("c", "z")]
+    assert log.latest().where("create_timestamp = update_timestamp").count() == 3
+    assert run(("a", "new")) == 1 and log.table.read().count() == 4 and rows(log.latest().where("name = 'a'"), "etag") == [("new",)]
 
 
 def test_sync_keeps_keys_unique_and_new_columns(spark, rows):

@@ -9,6 +9,7 @@ from tallymill.operators import timeseries as ts
 from tallymill.plans.count_checks import COUNT_CHECKS
 from tallymill.schemas import MESSAGE, RAW_STREAM, STREAM_FIELDS
 from tallymill.sources import tables, topics
+from tallymill.sources.versions import VersionedTable
 from tallymill.streaming import dead_letters, land, notify, quality
 
 GOOD = dict(zip(STREAM_FIELDS, ["2018 Q1 (Jan-Mar)", "ML0001", "01/02/2018", "Dry", "07:15:00", "Weekday", "A",
@@ -221,6 +222,58 @@ def test_state_ends_with_the_run(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/sent").count() == 32
 
 
+def test_a_batch_is_appended_once(spark, rows, tmp_path, monkeypatch):
+    """Whether it breaks before its commit or after, and also when the stream starts over."""
+    source, path, cp = str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "cp")
+    spark.range(3).coalesce(1).write.parquet(source)
+    arriving = lambda: topics.replay_topics(spark, source, spark.range(1).schema, "parquet")
+    commit = VersionedTable._commit
+    for after in (False, True):
+        with monkeypatch.context() as broken:
+
+            def fail(self, state, whole, after=after):
+                if after:
+                    commit(self, state, whole)
+                raise RuntimeError("killed")
+
+            broken.setattr(VersionedTable, "_commit", fail)
+            with pytest.raises(Exception, match="killed"):
+                land.land_once(arriving(), path, "q", cp)
+    land.land_once(arriving(), path, "q", cp)
+    spark.range(3, 5).coalesce(1).write.mode("append").parquet(source)
+    land.land_once(arriving(), path, "q", cp)
+    table = VersionedTable(spark, path)
+    assert rows(table.read()) == [(0,), (1,), (2,), (3,), (4,)] and table.version() == 2
+    land.land_once(arriving(), path, "q", str(tmp_path / "other"))
+    assert table.version() == 2
+
+
+def test_a_ledger_keeps_batches_from_a_connector(spark, tmp_path):
+    source, out, ledger = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ledger")
+    spark.range(3).coalesce(1).write.parquet(source)
+    for checkpoint in ("a", "b"):
+        arriving = topics.replay_topics(spark, source, spark.range(1).schema, "parquet")
+        land.land_connector(arriving, "parquet", {"path": out}, str(tmp_path / checkpoint), ledger=ledger)
+    assert spark.read.parquet(out).count() == 3
+
+
+def test_messages_come_back_until_their_tries_are_spent(spark, tmp_path):
+    """Headers as a connector gives them; what is mended on its way back lands."""
+    broken = lambda tries: [{"key": "dlq_retry_max", "value": str(tries).encode()}, {"key": "who", "value": b"x"}]
+    rows = [("t", 0, 1, None, json.dumps(GOOD), None), ("t", 0, 2, None, "{", broken(1)), ("t", 0, 3, None, "{", None), ("u", 0, 4, None, "mend me", None), ("t", 0, 5, None, None, broken(0))]
+    schema = "topic string, partition int, offset long, timestamp timestamp, value string, headers array<struct<key:string,value:binary>>"
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(source)
+    arriving = topics.replay_topics(spark, source, spark.createDataFrame([], schema).schema, "parquet")
+    mend = lambda df: df.withColumn("value", F.when(F.col("value") == "mend me", json.dumps(GOOD)).otherwise(F.col("value")))
+    dead_letters.land_with_retries(arriving, RAW_STREAM, out, f"{out}/checkpoint", mend)
+    assert sorted(r["topic"] for r in spark.read.parquet(f"{out}/good").collect()) == ["t", "u"]
+    spent = {r["offset"]: r["headers"] for r in spark.read.parquet(f"{out}/exhausted").collect()}
+    assert {o: h["dlq_retry"] for o, h in spent.items()} == {2: "1", 3: "3", 5: "0"} and spent[2]["who"] == "x"
+    back = dead_letters.with_headers(spark.read.option("recursiveFileLookup", True).parquet(f"{out}/again")).collect()
+    assert sorted((r["offset"], r["headers"]["dlq_retry"]) for r in back) == [(2, "1"), (3, "1"), (3, "2"), (3, "3"), (4, "1")]
+
+
 def test_jdbc_append_options(spark, monkeypatch):
     from pyspark.sql import DataFrameWriter
 

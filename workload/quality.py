@@ -11,6 +11,29 @@ from tallymill.schemas import RAW_STREAM
 from workload.inputs import LOCATIONS, RAW, STREAM_COLUMNS, locations, raw_counts, raw_stream, table
 from workload.registry import query
 
+# Faults for the checks that the count records pass, or fail on one kind only, at fixed orders and lines.
+FAULTS = {
+    "Wave": ("CASE WHEN l_orderkey % 101 = 0 THEN NULL WHEN l_orderkey % 103 = 0 THEN substr(`Wave`, 1, 7) ELSE `Wave` END"),
+    "SiteID": ("CASE WHEN l_orderkey % 107 = 0 THEN 'site ' || `SiteID` ELSE `SiteID` END"),
+    "Date": ("CASE WHEN l_orderkey % 109 = 0 THEN NULL ELSE `Date` END"),
+    "Time": ("CASE WHEN l_orderkey % 113 = 0 THEN NULL WHEN l_orderkey % 127 = 0 THEN '25:61:00' WHEN l_orderkey % 131 = 0 THEN 'noon' ELSE `Time` END"),
+    "Day": ("CASE WHEN l_orderkey % 137 = 0 THEN 'Holiday' ELSE `Day` END"),
+    "Count": ("CASE WHEN l_orderkey % 139 = 0 THEN NULL ELSE `Count` END"),
+}
+FAULTY = (
+    RAW.replace("raw AS (", "sound AS (", 1)
+    + ", raw AS (SELECT * REPLACE ("
+    + ", ".join(f'{sql.replace("`", chr(34))} AS "{column}"' for column, sql in FAULTS.items())
+    + ") FROM sound)"
+)
+
+
+def faulty(spark, sf, *keep):
+    """Count records with faults for all checks of the suite, in stream names, and `keep`."""
+    raw = raw_stream(table(spark, sf, "lineitem"), "l_orderkey", *[k for k in keep if k != "l_orderkey"])
+    return raw.withColumns({c: F.expr(sql) for c, sql in FAULTS.items()}).select(*RAW_STREAM.fieldNames(), *keep)
+
+
 # The SQL condition of each check in COUNT_CHECKS, in the same order.
 CONDITIONS = [
     '"Wave" IS NULL',
@@ -31,7 +54,7 @@ CONDITIONS = [
 
 NAMES = [c.name for c in COUNT_CHECKS]
 
-FLAGGED = f"""{RAW}, flagged AS (SELECT *, list_filter([{
+FLAGGED = f"""{FAULTY}, flagged AS (SELECT *, list_filter([{
     ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in zip(NAMES, CONDITIONS))
 }], lambda x: x IS NOT NULL) AS failed FROM raw)"""
 
@@ -72,7 +95,7 @@ def one_check(index):
 
     def run(spark, sf):
         check = COUNT_CHECKS[index]
-        raw = raw_stream(table(spark, sf, "lineitem"), "l_orderkey", "l_linenumber")
+        raw = faulty(spark, sf, "l_orderkey", "l_linenumber")
         return suite.quarantine(raw, [check]).select(
             "l_orderkey", "l_linenumber", F.col(check.column).alias("value")
         )
@@ -85,7 +108,7 @@ for key, index in [
 ]:
     query(
         key,
-        f"""WITH {RAW} SELECT l_orderkey, l_linenumber, "{COUNT_CHECKS[index].column}" AS "value" FROM raw
+        f"""WITH {FAULTY} SELECT l_orderkey, l_linenumber, "{COUNT_CHECKS[index].column}" AS "value" FROM raw
         WHERE {CONDITIONS[index]}""",
     )(one_check(index))
 
@@ -146,53 +169,64 @@ def dq_unique_report(spark, sf):
 
 @query(
     "dq_suite",
-    f"WITH {RAW}, {COUNTS} SELECT check_name, unexpected_count, element_count, unexpected_count = 0 AS success FROM counts",
+    f"WITH {FAULTY}, {COUNTS} SELECT check_name, unexpected_count, element_count, unexpected_count = 0 AS success FROM counts",
 )
 def dq_suite(spark, sf):
-    return suite.suite_counts(raw_counts(spark, sf), COUNT_CHECKS)
+    return suite.suite_counts(faulty(spark, sf), COUNT_CHECKS)
 
 
-@query("dq_report", f"WITH {RAW}, {COUNTS} {REPORT}")
+@query("dq_report", f"WITH {FAULTY}, {COUNTS} {REPORT}")
 def dq_report(spark, sf):
-    return suite.report(raw_counts(spark, sf), COUNT_CHECKS)
+    return suite.report(faulty(spark, sf), COUNT_CHECKS)
 
 
 @query(
     "dq_run_log",
-    f"WITH {RAW}, {COUNTS} SELECT *, cast(7 AS bigint) AS batch_id, TIMESTAMP '2024-12-01 00:00:00' AS run_time FROM ({REPORT})",
+    f"WITH {FAULTY}, {COUNTS} SELECT *, cast(7 AS bigint) AS batch_id, TIMESTAMP '2024-12-01 00:00:00' AS run_time FROM ({REPORT})",
 )
 def dq_run_log(spark, sf):
-    return suite.run_log(suite.report(raw_counts(spark, sf), COUNT_CHECKS), 7, "2024-12-01 00:00:00")
+    return suite.run_log(suite.report(faulty(spark, sf), COUNT_CHECKS), 7, "2024-12-01 00:00:00")
 
 
 @query(
     "dq_by_dimension",
-    f"""WITH {RAW}, {COUNTS}, report AS ({REPORT}) SELECT dimension, count(*) AS n_checks,
+    f"""WITH {FAULTY}, {COUNTS}, report AS ({REPORT}) SELECT dimension, count(*) AS n_checks,
       count(*) FILTER (WHERE status = 'FAILED') AS n_failed, round(avg(percent), 9) AS avg_percent,
       min(percent) AS min_percent FROM report GROUP BY dimension""",
 )
 def dq_by_dimension(spark, sf):
-    rolled = suite.by_dimension(suite.report(raw_counts(spark, sf), COUNT_CHECKS))
+    rolled = suite.by_dimension(suite.report(faulty(spark, sf), COUNT_CHECKS))
     return rolled.withColumn("avg_percent", F.round("avg_percent", 9))
 
 
 @query("dq_violations", f"WITH {FLAGGED} SELECT {STREAM_COLUMNS}, unnest(failed) AS check_name FROM flagged")
 def dq_violations(spark, sf):
-    return suite.violations(raw_counts(spark, sf), COUNT_CHECKS)
+    return suite.violations(faulty(spark, sf), COUNT_CHECKS)
 
 
 @query(
     "dq_violations_all",
-    f"""WITH {FLAGGED}, failing AS (SELECT count(DISTINCT name) AS n FROM (SELECT unnest(failed) AS name FROM flagged))
+    f"""WITH {FLAGGED.replace(FAULTY, RAW)}, failing AS (SELECT count(DISTINCT name) AS n FROM (SELECT unnest(failed) AS name FROM flagged))
     SELECT {STREAM_COLUMNS} FROM flagged WHERE len(failed) = (SELECT n FROM failing) AND len(failed) > 0""",
 )
 def dq_violations_all(spark, sf):
     return suite.violating_all(raw_counts(spark, sf), COUNT_CHECKS)
 
 
+EACH_COLUMN = [6, 11, 12]  # checks that one row may fail together
+_EACH = " AND ".join(f"({CONDITIONS[i]})" for i in EACH_COLUMN)
+
+
+@query("dq_violations_all_columns", f"WITH {FAULTY} SELECT {STREAM_COLUMNS} FROM raw WHERE {_EACH}")
+def dq_violations_all_columns(spark, sf):
+    """Counts without weather, path and count: what three checks of three columns have in common."""
+    lines = faulty(spark, sf, "l_orderkey")
+    return suite.violating_all(lines, [COUNT_CHECKS[i] for i in EACH_COLUMN]).drop("l_orderkey")
+
+
 @query("dq_clean", f"WITH {FLAGGED} SELECT {STREAM_COLUMNS} FROM flagged WHERE len(failed) = 0")
 def dq_clean(spark, sf):
-    return suite.clean(raw_counts(spark, sf), COUNT_CHECKS)
+    return suite.clean(faulty(spark, sf), COUNT_CHECKS)
 
 
 @query(
@@ -201,7 +235,7 @@ def dq_clean(spark, sf):
     WHERE len(failed) > 0""",
 )
 def dq_quarantine(spark, sf):
-    held = suite.quarantine(raw_counts(spark, sf), COUNT_CHECKS)
+    held = suite.quarantine(faulty(spark, sf), COUNT_CHECKS)
     return held.withColumn(suite.FAILED, F.concat_ws(",", suite.FAILED))
 
 
@@ -217,7 +251,7 @@ KEY_TEXT = " || '-' || ".join(
     WHERE len(failed) > 0 GROUP BY ALL""",
 )
 def dq_audit(spark, sf):
-    held = suite.quarantine(raw_counts(spark, sf), COUNT_CHECKS)
+    held = suite.quarantine(faulty(spark, sf), COUNT_CHECKS)
     return suite.audit_rows(held.withColumn("topic", F.lit("Central")), 1)
 
 
@@ -232,7 +266,7 @@ VALUE_CASE = "CASE check_name " + " ".join(f"""WHEN '{c.name}' THEN "{c.column}"
       ORDER BY n_rows DESC, "value" ASC NULLS FIRST) AS rn FROM per_value) WHERE rn <= 20""",
 )
 def dq_samples(spark, sf):
-    return suite.samples(raw_counts(spark, sf), COUNT_CHECKS)
+    return suite.samples(faulty(spark, sf), COUNT_CHECKS)
 
 
 @query(
@@ -266,13 +300,13 @@ CATALOGUE_SQL = "catalogue AS (SELECT * FROM (VALUES " + ", ".join(
 
 @query(
     "dq_rule_actions",
-    f"""WITH {RAW}, {COUNTS}, {CATALOGUE_SQL} SELECT check_name, rule_key, risk_level, action, unexpected_count,
+    f"""WITH {FAULTY}, {COUNTS}, {CATALOGUE_SQL} SELECT check_name, rule_key, risk_level, action, unexpected_count,
       CASE WHEN unexpected_count = 0 THEN 'none' WHEN action = 'R' THEN 'quarantine_rows'
         WHEN action = 'F' THEN 'fail_batch' ELSE 'accept_and_log' END AS outcome
     FROM counts JOIN catalogue ON check_name = rule_name""",
 )
 def dq_rule_actions(spark, sf):
-    return suite.route_actions(raw_counts(spark, sf), COUNT_CHECKS, catalogue(spark))
+    return suite.route_actions(faulty(spark, sf), COUNT_CHECKS, catalogue(spark))
 
 
 def _listed(action: str) -> str:
@@ -287,5 +321,5 @@ def _listed(action: str) -> str:
 )
 def dq_routed(spark, sf):
     actions = {rule: action for _, rule, _, _, action in CATALOGUE}
-    routed = suite.routed(raw_counts(spark, sf), COUNT_CHECKS, actions)
+    routed = suite.routed(faulty(spark, sf), COUNT_CHECKS, actions)
     return routed.withColumn(suite.FAILED, F.concat_ws(",", suite.FAILED))

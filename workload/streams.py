@@ -10,6 +10,7 @@ from tallymill.plans.count_checks import CATALOGUE, COUNT_CHECKS, IN_LIST
 from tallymill.schemas import RAW_STREAM
 from tallymill.session import work_path
 from tallymill.sources import topics
+from tallymill.sources.versions import VersionedTable
 from tallymill.streaming import dead_letters, land, quality
 from workload.inputs import MESSAGES, RAW, STREAM_COLUMNS, messages, raw_stream, stream_table, table
 from workload.quality import CONDITIONS, KEY_TEXT, NAMES, REPORT_COLUMNS, counts_sql
@@ -109,6 +110,34 @@ def dlq_retry(spark, sf):
     return _headers(dead)
 
 
+@query(
+    "stream_retry_loop",
+    f"""WITH {MESSAGES} SELECT topic, CASE WHEN broken THEN 'exhausted' ELSE 'good' END AS ended, CASE WHEN broken THEN 3 ELSE 0 END AS tries,
+      count(*) AS n_messages FROM messages GROUP BY ALL
+    UNION ALL SELECT topic, 'back' AS ended, t AS tries, count(*) FROM messages, range(1, 4) AS r(t) WHERE broken GROUP BY ALL""",
+)
+def stream_retry_loop(spark, sf):
+    """Every message ends as a row or with its tries spent; dead letters come back on a topic of their own."""
+    out = work_path(spark, "retries")
+    dead_letters.land_with_retries(messages(stream_table(spark, sf, "lineitem")), RAW_STREAM, out, f"{out}/checkpoint")
+    good = quality.stored(spark, out, "good").select("topic", F.lit("good").alias("ended"), F.lit(0).cast("bigint").alias("tries"))
+    tries = F.col("headers")[dead_letters.RETRY].cast("bigint").alias("tries")
+    spent = quality.stored(spark, out, "exhausted").select("topic", F.lit("exhausted").alias("ended"), tries)
+    back = spark.read.option("recursiveFileLookup", True).parquet(f"{out}/again")
+    back = dead_letters.with_headers(back).select("topic", F.lit("back").alias("ended"), tries)
+    return good.unionByName(spent).unionByName(back).groupBy("topic", "ended", "tries").agg(F.count("*").alias("n_messages"))
+
+
+@query("stream_append_once", f"WITH {RAW} SELECT {STREAM_COLUMNS} FROM raw")
+def stream_append_once(spark, sf):
+    """A stream into a versioned table, started over with an empty checkpoint: its batch is known and not added again."""
+    out = work_path(spark, "once")
+    for checkpoint in ("first", "second"):
+        arriving = raw_stream(stream_table(spark, sf, "lineitem")).drop("source")
+        land.land_once(arriving, f"{out}/rows", "counts", f"{out}/{checkpoint}")
+    return VersionedTable(spark, f"{out}/rows").read()
+
+
 # what the stream sees: the parsed messages, all null where the payload is broken
 PARSED = f"{MESSAGES}, parsed AS (SELECT topic, {KEPT} FROM messages)"
 

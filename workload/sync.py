@@ -9,6 +9,7 @@ from tallymill.operators import upsert
 from tallymill.plans import jobs
 from tallymill.schemas import RAW_STREAM, STREAM_FIELDS
 from tallymill.session import work_path
+from tallymill.sources.versions import VersionedTable
 from tallymill.sources import manifest
 from workload.inputs import RAW, STREAM_COLUMNS, raw_stream, table
 from workload.registry import query
@@ -226,7 +227,20 @@ def incremental_files_place(spark, sf):
     WHERE {NAME_SQL.format("l_orderkey")} IN (SELECT "name" FROM picked)""",
 )
 def job_ingest(spark, sf):
-    """New and changed files picked up, their rows published as messages, and landed from the topic."""
-    rows = raw_stream(table(spark, sf, "lineitem"), "l_orderkey").withColumn("file_name", file_of("l_orderkey"))
+    """New and changed files picked up, their rows published as messages, and landed from the topic.
+
+    The log holds what was fetched up to June 2000. A second run finds nothing new, also after the
+    log was compacted, and lands nothing.
+    """
+    lines = table(spark, sf, "lineitem")
+    rows = raw_stream(lines, "l_orderkey").withColumn("file_name", file_of("l_orderkey"))
     out = work_path(spark, "ingest")
-    return jobs.ingest(pickup(spark, sf), rows, STREAM_FIELDS, RAW_STREAM, "Central", out)
+    log = manifest.FetchLog(spark, f"{out}/log", "etag string, update_timestamp timestamp_ntz, create_timestamp timestamp_ntz")
+    day = F.lit("2000-06-01").cast("timestamp_ntz")
+    before = versions(lines.where(F.col("l_shipdate") < day))
+    log.write(manifest.mark_fetched(before.withColumn("update_timestamp", day)), log.fetches())
+    now = F.lit("2024-12-01").cast("timestamp_ntz")
+    for _ in range(2):
+        jobs.ingest(versions(lines), rows, log, "etag", now, STREAM_FIELDS, RAW_STREAM, "Central", out)
+        log.compact()
+    return VersionedTable(spark, f"{out}/landed").read()
