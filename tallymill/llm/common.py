@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable
 
 import numpy as np
@@ -27,11 +28,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet to the folder that all executors share, and read it back.
 
     The written table cuts the lineage: executors lost later cost the tasks that read it, not the
-    steps that made it.
+    steps that made it. `discard` removes it once nothing that is still to run reads it.
     """
     path = work_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    made.stored_at = path
+    return made
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of `stored` whose last reader is done, and the shuffle files of what is no longer referred to.
+
+    Spark's cleaner drops shuffle files when the driver's memory is collected, which otherwise
+    happens by memory needed there, not by disk used on the executors.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession._jvm.System.gc()
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -1,14 +1,18 @@
 """Documents whose word n-gram sets are similar, as connected components, by a token-group matrix.
 
-Sets that can be similar are first brought together by exact signatures: tokens are dealt into
-buckets by their hash, and two sets whose difference is too small to touch every bucket agree in all
-tokens of one of them. So similar sets share a signature; none is lost, and sets that only share a
-passage seldom do.
-
-Sets of a signature are compared with its leader, the smallest id, never with each other. What this
-links are groups of similar documents. The matrix holds each group's token union. A document left in
-a signature with another group is a query to that group: its overlap with the union bounds that with
-every member, and only groups whose bound qualifies are opened and their members compared.
+Similar documents are partitioned into groups first. Tokens have one order, by hash; two linked sets
+agree in so many of their first tokens (`prefix`, `least_shared`), so only documents that share
+enough of those with others go on, and each joins the group of the document, its leader, that it
+shares most of them with. A group holds its leader and a bounded number of members, so a leader that
+a third of all documents follow has many groups, which its own set connects.
+
+The matrix holds the token union of each group. A document that queries a group is bounded by its
+overlap with the union: no member can share more. Only a group whose bound qualifies is opened, and
+the query is compared with its members, one class of connected members after the other. Documents
+query their own group as they join it. Then those that still share enough first tokens with
+documents of another component are queries to the groups of these.
+
+Equal sets are one set with a digest of 128 bits; the others are linked by comparing them.
 """
 
 from __future__ import annotations
@@ -22,10 +26,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import in_mask, mask, mask_place, stored
+from tallymill.llm.common import discard, in_mask, mask, mask_place, stored
 
-BLOCK = 4000  # documents whose signatures are combined before they are shuffled
-GROWTH = 1.4  # ratio of the size classes
+BLOCK = 4000  # documents whose first tokens are combined before they are shuffled
+SHARE = 24  # linked sets agree in a first token for each so many tokens that they have in common at least
+GROUP = 64  # members of a group of the matrix
 
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -112,59 +117,24 @@ def _overlap(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum())
 
 
-def _classes(largest: int) -> list[int]:
-    """Where size classes begin."""
-    starts = [1]
-    while starts[-1] <= largest:
-        starts.append(max(starts[-1] + 1, int(starts[-1] * GROWTH)))
-    return starts
-
-
-_STARTS = _classes(1 << 40)
+def _common(n: int, percent: int) -> int:
+    """The fewest tokens that a set of n shares with any that it is linked with."""
+    return -(-n * percent // 100)
 
 
-def differ_most(a: int, b: int, percent: int) -> int:
-    """The most tokens that two linked sets of these sizes do not share."""
-    return (a + b) * (100 - percent) // (100 + percent)
+def least_shared(n: int, percent: int) -> int:
+    """How many of its first tokens a set of n shares at least with the first ones of any set that it is linked with."""
+    return max(1, _common(n, percent) // SHARE)
 
 
-def _dealt(tokens: np.ndarray, percent: int) -> Iterator[tuple[int, int, int, np.ndarray]]:
-    """For each size class that a set is signed in: the class, its buckets, the buckets that must agree
-    with those of any linked set of the class, and the token's buckets.
+def prefix(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """The first tokens of a set, in the order of their hashes.
 
-    A set is signed in its own class, and in the next one if a linked set can be that large.
+    Linked sets x and y share `_common` tokens or more. The first k of those, in order, are followed
+    by all the others in both sets, so they stand among the first n - common + k of each.
     """
     n = len(tokens)
-    largest = n * 100 // percent
-    own = int(np.searchsorted(_STARTS, n, "right")) - 1
-    for c in range(own, int(np.searchsorted(_STARTS, largest, "right"))):
-        top = _STARTS[c + 1] - 1
-        most = differ_most(top, top, percent)
-        buckets = most + most // 12 + 2
-        yield c, buckets, buckets - differ_most(n, min(largest, top), percent), (_mix(tokens, 3 * c + 1) >> np.uint64(11)) % np.uint64(buckets)
-
-
-def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """Hashes such that linked sets share one at least.
-
-    With more buckets than tokens that may differ, one bucket agrees; the spare buckets make up for
-    empty ones, which are signed only where they do not.
-    """
-    made = [np.zeros(0, np.uint64)]
-    for c, buckets, agree, mine in _dealt(tokens, percent) if len(tokens) else ():
-        order = np.argsort(mine, kind="stable")
-        mine, mixed = mine[order], _mix(tokens, 3 * c + 2)[order]
-        first = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]])
-        made.append(_mix(np.add.reduceat(mixed, first) + _mix(mine[first], 3 * c + 3), c + 1))
-        if agree <= buckets - len(first):
-            empty = np.setdiff1d(np.arange(buckets, dtype=np.uint64), mine[first])
-            made.append(_mix(_mix(empty, 3 * c + 3), c + 1))
-    return np.concatenate(made)
-
-
-def shared_least(tokens: np.ndarray, percent: int) -> int:
-    """The fewest signatures that a set shares with any set it is linked with."""
-    return max(1, min(agree - (buckets - len(np.unique(mine))) for _, buckets, agree, mine in _dealt(tokens, percent)))
+    return tokens[: n - _common(n, percent) + max(1, n // SHARE)]
 
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int | None, np.ndarray]]:
@@ -183,10 +153,10 @@ def _facts(width: int):
     return run
 
 
-def _signed(width: int, percent: int):
-    """(sig, node, leader, shared) for blocks of documents.
+def _placed(width: int, percent: int):
+    """(sig, node, leader, shared) for blocks of documents; `sig` is one of the node's first tokens.
 
-    A signature's other nodes stand under their leader of the block, whose own row says so by `shared`.
+    A token's other nodes stand under their leader of the block, whose own row says so by `shared`.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +184,7 @@ def _signed(width: int, percent: int):
                 if node is None or not len(tokens) or seen.get(data, node + 1) <= node:
                     continue  # an equal set of a smaller id is signed; the two are linked by their digest
                 seen[data] = node
-                sigs.append(signatures(tokens, percent))
+                sigs.append(prefix(tokens, percent))
                 nodes.append(node)
                 if len(nodes) >= BLOCK:
                     yield flush()
@@ -225,9 +195,9 @@ def _signed(width: int, percent: int):
 
 
 def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of signatures that several nodes share, under the smallest node; input sorted by signature and node.
+    """Rows of tokens that several nodes share, under the smallest node; input sorted by token and node.
 
-    A signature's rows may go through many batches: only its leader is held, and whether it has gone out.
+    A token's rows may go through many batches: only its leader is held, and whether it has gone out.
     """
     names = ["sig", "node", "leader"]
     sig = leader = None
@@ -280,17 +250,62 @@ def _lists(column: pa.Array) -> list[np.ndarray]:
     return [values[a:z].view(np.uint64) for a, z in zip(at[:-1], at[1:], strict=True)]
 
 
-def _verify(percent: int):
-    """Pairs (a, b, their sets) that are linked."""
+def _group_links(percent: int, most: int):
+    """Links (a, b) within the groups of a leader; input sorted by leader, salt, and the leader's own row first.
+
+    Each document queries the group that it joins: unless its overlap with the group's union bounds
+    it out, it is compared with the members, of each class until one is linked. A full group is left
+    for a fresh one that begins with the leader again.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, union = None, np.zeros(0, np.uint64)
+        leaders: list[tuple[int, np.ndarray]] = []
+        classes: list[list[tuple[int, np.ndarray]]] = []
         for batch in batches:
-            ok = [linked(x, y, percent) for x, y in zip(_lists(batch.column(2)), _lists(batch.column(3)), strict=True)]
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+            found: list[tuple[int, int]] = []
+            for leader, salt, node, tokens in zip(*[batch.column(c).to_pylist() for c in range(3)], _lists(batch.column(3)), strict=True):
+                tokens = tokens.copy()  # not a view that keeps the batch
+                if (leader, salt) != key:
+                    key, leaders, classes = (leader, salt), [], []
+                if node == leader:
+                    leaders.append((node, tokens))
+                    continue
+                if not classes or sum(map(len, classes)) > most:
+                    classes = [list(leaders)] if leaders else []  # one that shares too little with all has no set here
+                    union = np.unique(np.concatenate([np.zeros(0, np.uint64), *[t for _, t in leaders]]))
+                mine = [(node, tokens)]
+                if 100 * _overlap(tokens, union) >= percent * len(tokens):
+                    apart = []
+                    for own in classes:
+                        other = next((n for n, t in own if linked(tokens, t, percent)), None)
+                        if other is None:
+                            apart.append(own)
+                        else:
+                            found.append((node, other))
+                            mine = own + mine
+                    classes = [*apart, mine]
+                else:
+                    classes.append(mine)
+                union = np.union1d(union, tokens)
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
     return run
 
 
+def _within_groups(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of documents with the members of the group that they join. `met`: sig, node, leader."""
+    shared = met.where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("n"))
+    best = F.max(F.struct("n", (-F.col("leader")).alias("minus")))["minus"]
+    chosen = stored(shared.groupBy("node").agg((-best).alias("leader")), "chosen")
+    sizes = chosen.groupBy("leader").agg(F.ceil(F.count("*") / (4 * GROUP)).cast("long").alias("salts"))
+    member = chosen.join(sizes, "leader").select("leader", F.pmod(F.xxhash64("node"), "salts").alias("salt"), "node")
+    heads = sizes.select("leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.col("leader").alias("node"))
+    rows = member.unionByName(heads).join(sets, "node").select("leader", "salt", "node", "tokens")
+    order = ["leader", "salt", F.col("node") != F.col("leader"), "node"]
+    return rows.repartition("leader", "salt").sortWithinPartitions(*order).mapInArrow(_group_links(percent, GROUP), "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of `edges` (a, b): the label is the smallest node that it reaches.
 
@@ -305,14 +320,13 @@ def components(edges: DataFrame) -> DataFrame:
         spread = stored(spread, "spread")
         at = spread.select(F.col("node").alias("label"), F.col("label").alias("next"))
         after = stored(spread.join(at, "label", "left").select("node", "old", F.coalesce("next", "label").alias("label")), "labels")
-        labels = after.select("node", "label")
+        discard(labels, spread)
+        labels = after
         if after.where("old <> label").isEmpty():
+            discard(both)
             return labels
 
 
-GROUP = 64  # members of a group of the matrix
-
-
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Groups of at most GROUP neighbours in order: their prefixes' unions, members and sets."""
     names = ["node", "label", "tokens", "asked", "offered"]
@@ -371,17 +385,8 @@ def _batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def _needs(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            least = [shared_least(t, percent) for t in _lists(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(least, pa.int64())], ["node", "least"])
-
-    return run
-
-
 def _still_mixed(named: DataFrame) -> DataFrame:
-    """Rows of signatures with several labels, of nodes that have enough of those for a link."""
+    """Rows of first tokens with several labels, of nodes that have enough of those for a link."""
     mixed = named.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("sig")
     rows = named.join(mixed, "sig", "left_semi")
     enough = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("least").alias("least")).where("n >= least").select("node")
@@ -433,29 +438,33 @@ def components_of(docs: DataFrame, width: int = 5, percent: int = 80, id_col: st
     alike = facts.where("n_shingles > 0 and node is not null").groupBy("digest").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1")
     same = stored(facts.join(alike, "digest").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct(), "same")
 
-    signed = texts.mapInArrow(_signed(width, percent), "sig long, node long, leader long, shared boolean")
+    placed = texts.mapInArrow(_placed(width, percent), "sig long, node long, leader long, shared boolean")
     key = F.when(F.col("node") == F.col("leader"), F.col("sig")).otherwise(F.xxhash64("sig", "node"))
-    dealt = signed.repartition(key).sortWithinPartitions("sig", "node")
-    met = stored(dealt.mapInArrow(_together, "sig long, node long, leader long"), "signatures")
-    nodes = stored(met.select("node").distinct(), "nodes")
-    sets = stored(_sets_of(texts, nodes, width), "sets")
-    pairs = met.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    one = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
-    two = one.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y")
+    dealt = placed.repartition(key).sortWithinPartitions("sig", "node")
+    every = stored(dealt.mapInArrow(_together, "sig long, node long, leader long"), "shared")
+    size = F.ceil(F.col("n_shingles") * percent / 100)
+    least = F.greatest(F.lit(1), F.floor(size / SHARE)).cast("long")  # as in `least_shared`
+    needs = facts.where("n_shingles > 0").groupBy("node").agg(F.min(least).alias("least"))
+    enough = every.groupBy("node").agg(F.count("*").alias("n")).join(needs, "node").where("n >= least").select("node", "least")
+    nodes = stored(enough, "nodes")
+    met = stored(every.join(nodes, "node"), "met")
+    discard(every)
+    sets = stored(_sets_of(texts, nodes.select("node"), width), "sets")
     with _batches_of(docs.sparkSession, 500):
-        links = stored(two.mapInArrow(_verify(percent), "a long, b long").unionByName(same), "links")
+        links = stored(_within_groups(met, sets, percent).unionByName(same), "links")
     labels = components(links)
 
     label = F.coalesce("label", "node").alias("label")
-    needs = stored(sets.mapInArrow(_needs(percent), "node long, least long").groupBy("node").agg(F.min("least").alias("least")), "needs")
-    named = met.join(labels, "node", "left").join(needs, "node").select("sig", "node", label, "least")
-    for _ in range(2):  # each round leaves fewer; any number of them is right
-        named = stored(_still_mixed(named), "mixed")
+    named = met.join(labels, "node", "left").select("sig", "node", label, "least")
+    first = stored(_still_mixed(named), "mixed")  # each round leaves fewer; any number of them is right
+    named = stored(_still_mixed(first), "mixed-again")
+    discard(met, first)
     left = named.select("node", "label").distinct()
     if not left.isEmpty():
         with _batches_of(docs.sparkSession, 32):
             more = stored(_left_over(left.join(sets, "node"), percent), "more-links")
         if not more.isEmpty():
             labels = components(links.unionByName(more))
+    discard(named, sets, nodes)
     found = facts.join(labels, "node", "left")
     return found.select(F.col("node").alias(id_col), "n_shingles", F.coalesce("label", "node").alias("component_id"))

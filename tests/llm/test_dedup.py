@@ -82,16 +82,45 @@ def test_components_of_nothing(documents):
     assert jaccard.components_of(documents([])).count() == 0
 
 
-def test_linked_sets_share_enough_signatures():
+def test_linked_sets_share_enough_first_tokens():
     draw = np.random.default_rng(1)
     for percent in (80, 85):
-        for n in (1, 5, 6, 7, 11, 40, 300):
+        for n in (1, 5, 6, 7, 11, 40, 300, 900):
             for _ in range(40):
                 x = np.unique(draw.integers(0, 1 << 63, n, np.uint64))
                 y = np.unique(np.r_[x[draw.random(n) > 0.1], draw.integers(0, 1 << 63, int(n * draw.random() * 0.12), np.uint64)])
                 if len(y) and jaccard.linked(x, y, percent):
-                    shared = len(np.intersect1d(jaccard.signatures(x, percent), jaccard.signatures(y, percent)))
-                    assert shared >= max(jaccard.shared_least(x, percent), jaccard.shared_least(y, percent)) >= 1
+                    shared = len(np.intersect1d(jaccard.prefix(x, percent), jaccard.prefix(y, percent)))
+                    assert shared >= max(jaccard.least_shared(len(x), percent), jaccard.least_shared(len(y), percent)) >= 1
+
+
+def test_links_come_from_the_matrix(documents, monkeypatch):
+    """Near copies of which no two are equal: nothing is linked once the groups are kept shut."""
+    base = [rnd.choices(WORDS, k=60) for _ in range(6)]
+    rows = [(10 * i + j, " ".join([*words[: 50 + j], *rnd.choices(WORDS, k=2)])) for i, words in enumerate(base) for j in range(8)]
+    label = brute_components(rows, 4, 85)
+    assert len(set(label.values())) < len(rows) / 4
+    found = {r.doc_id: r.component_id for r in jaccard.components_of(documents(rows), 4, 85).collect()}
+    assert found == label
+    monkeypatch.setattr(jaccard, "_overlap", lambda x, y: 0)
+    shut = {r.doc_id: r.component_id for r in jaccard.components_of(documents(rows), 4, 85).collect()}
+    assert all(i == c for i, c in shut.items())
+
+
+@pytest.mark.parametrize("group", [2, 5])
+def test_families_larger_than_a_group(documents, monkeypatch, group):
+    """A chain of near copies, and copies of one text with an edit each, in many small groups."""
+    monkeypatch.setattr(jaccard, "GROUP", group)
+    words = rnd.choices(WORDS, k=400)
+    rows = [(i, " ".join(words[3 * i : 3 * i + 100])) for i in range(60)]
+    for i in range(60, 130):
+        text = list(words[300:380])
+        text[rnd.randrange(80)] = f"edit{i}"
+        rows.append((i, " ".join(text)))
+    label = brute_components(rows, 4, 85)
+    got = jaccard.components_of(documents(rows, "a long, b long, node long, tokens string, label long"), 4, 85)
+    assert got.columns == ["doc_id", "n_shingles", "component_id"]
+    assert {r.doc_id: r.component_id for r in got.collect()} == label
 
 
 def test_groups_settle_over_batches():
