@@ -18,6 +18,7 @@ Equal sets are one set with a digest of 128 bits; the others are linked by compa
 from __future__ import annotations
 
 import contextlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from tallymill.llm.common import discard, in_mask, mask, mask_place, stored
 
 BLOCK = 4000  # documents whose first tokens are combined before they are shuffled
-SHARE = 24  # linked sets agree in a first token for each so many tokens that they have in common at least
+SHARES = (4, 48, 24)  # see `_spare`
 GROUP = 64  # members of a group of the matrix
 
 
@@ -122,9 +123,18 @@ def _common(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
+def _spare(n: int) -> int:
+    """First tokens beyond those that find a link at all, so that more than one has to agree.
+
+    A quarter for short sets, of which one common line is a large part, then fewer; never falls with n.
+    """
+    few, most, many = SHARES
+    return max(1, min(n // few, most), n // many)
+
+
 def least_shared(n: int, percent: int) -> int:
     """How many of its first tokens a set of n shares at least with the first ones of any set that it is linked with."""
-    return max(1, _common(n, percent) // SHARE)
+    return _spare(_common(n, percent))
 
 
 def prefix(tokens: np.ndarray, percent: int) -> np.ndarray:
@@ -134,7 +144,7 @@ def prefix(tokens: np.ndarray, percent: int) -> np.ndarray:
     by all the others in both sets, so they stand among the first n - common + k of each.
     """
     n = len(tokens)
-    return tokens[: n - _common(n, percent) + max(1, n // SHARE)]
+    return tokens[: n - _common(n, percent) + _spare(n)]
 
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int | None, np.ndarray]]:
@@ -293,11 +303,15 @@ def _group_links(percent: int, most: int):
     return run
 
 
-def _within_groups(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links of documents with the members of the group that they join. `met`: sig, node, leader."""
+def _chosen(met: DataFrame) -> DataFrame:
+    """(node, leader): the leader of most of the node's first tokens. `met`: sig, node, leader."""
     shared = met.where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("n"))
     best = F.max(F.struct("n", (-F.col("leader")).alias("minus")))["minus"]
-    chosen = stored(shared.groupBy("node").agg((-best).alias("leader")), "chosen")
+    return shared.groupBy("node").agg((-best).alias("leader"))
+
+
+def _within_groups(chosen: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of documents with the members of the group that they join."""
     sizes = chosen.groupBy("leader").agg(F.ceil(F.count("*") / (4 * GROUP)).cast("long").alias("salts"))
     member = chosen.join(sizes, "leader").select("leader", F.pmod(F.xxhash64("node"), "salts").alias("salt"), "node")
     heads = sizes.select("leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.col("leader").alias("node"))
@@ -327,52 +341,77 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Groups of at most GROUP neighbours in order: their prefixes' unions, members and sets."""
-    names = ["node", "label", "tokens", "asked", "offered"]
-    held: list[tuple] = []
+BUCKETS = 256  # of a sketch
 
-    def group() -> pa.RecordBatch:
-        node, label, tokens, asked, offered = zip(*held, strict=True)
-        held.clear()
-        numbers, lists = pa.list_(pa.int64()), pa.list_(pa.binary())
-        union = lambda sets: np.unique(np.concatenate(sets)).view(np.int64)
-        row = [(node[0], pa.int64()), (union(asked), numbers), (union(offered), numbers), (node, numbers), (label, numbers), ([t.tobytes() for t in tokens], lists)]
-        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in row], ["grp", "asked", "offered", "nodes", "labels", "sets"])
 
+def _sketch(tokens: np.ndarray) -> bytes:
+    """How many tokens fall in each bucket of their hash; larger numbers count as the largest there is."""
+    return np.minimum(np.bincount((tokens >> np.uint64(20)).astype(np.int64) % BUCKETS, minlength=BUCKETS), 0xFFFF).astype("<u2").tobytes()
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        plain = [batch.column(c).to_pylist() for c in names[:2]]
-        for row in zip(*plain, *[_lists(batch.column(c)) for c in names[2:]], strict=True):
-            held.append(row)
-            if len(held) == GROUP:
-                yield group()
-    if held:
-        yield group()
+        sets = _lists(batch.column(1))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(_sketch, sets)), pa.binary())], ["node", "size", "sketch"])
+
 
+def _open(percent: int, best: bool):
+    """Pairs (a, b) of a query and a member of another label whose sketches do not rule out a link.
 
-def _open(percent: int):
-    """Links between the members of two groups, for queries whose bound qualifies."""
+    With `best`, only the nearest member of each label.
+
+    Input sorted by group, members first, so that a group is held once, whatever queries it. The
+    union's sketch, the largest number of each bucket, bounds a query: what it has more in a bucket
+    no member shares. Likewise for a pair: sets differ in the difference of their numbers at least.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key: list | None = None
+        nodes: list[int] = []
+        labels: list[int] = []
+        sizes: list[int] = []
+        sketches: list[np.ndarray] = []
+        union = np.zeros(BUCKETS, np.int32)
         for batch in batches:
-            found = []
-            for row in batch.to_pylist():
-                sets = [np.frombuffer(t, np.uint64) for t in row["sets"]]
-                union = np.unique(np.concatenate(sets))
-                for node, label, tokens in zip(row["q_nodes"], row["q_labels"], row["q_sets"], strict=True):
-                    x = np.frombuffer(tokens, np.uint64)
-                    if 100 * _overlap(x, union) < percent * len(x):
-                        continue  # no member can share enough with this query
-                    met = {label}
-                    for other, other_label, y in zip(row["nodes"], row["labels"], sets, strict=True):
-                        if other_label not in met and linked(x, y, percent):
-                            found.append((node, other))
-                            met.add(other_label)
+            found: list[tuple[int, int]] = []
+            columns = [batch.column(c).to_pylist() for c in ("leader", "kind", "salt", "asks", "node", "label", "size", "sketch")]
+            for *group, asks, node, label, size, sketch in zip(*columns, strict=True):
+                if group != key:
+                    key, nodes, labels, sizes, sketches, union = group, [], [], [], [], np.zeros(BUCKETS, np.int32)
+                counts = np.frombuffer(sketch, "<u2").astype(np.int32)
+                if not asks:
+                    nodes.append(node)
+                    labels.append(label)
+                    sizes.append(size)
+                    sketches.append(counts)
+                    union = np.maximum(union, counts)
+                    continue
+                if not nodes or np.maximum(counts - union, 0).sum() > size - _common(size, percent):
+                    continue
+                apart = np.abs(np.stack(sketches) - counts).sum(axis=1)
+                total = np.array(sizes) + size
+                close = (apart <= total * (100 - percent) // (100 + percent)) & (np.array(labels) != label)
+                at = np.flatnonzero(close)
+                if best:  # of each label the first in the order of difference
+                    at = at[np.argsort(apart[at], kind="stable")]
+                    at = at[np.unique(np.array(labels)[at], return_index=True)[1]]
+                found += [(node, nodes[i]) for i in at]
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
     return run
 
 
+def _verify(percent: int):
+    """Pairs (a, b, their sets) that are linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = [linked(x, y, percent) for x, y in zip(_lists(batch.column(2)), _lists(batch.column(3)), strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+
+    return run
+
+
 @contextlib.contextmanager
 def _batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
     """Fewer rows in the batches that go to Python, for wide rows."""
@@ -393,35 +432,54 @@ def _still_mixed(named: DataFrame) -> DataFrame:
     return rows.join(enough, "node", "left_semi")
 
 
-def _left_over(left: DataFrame, percent: int) -> DataFrame:
-    """Links between documents of different labels. `left`: node, label, tokens.
+def _across_groups(named: DataFrame, chosen: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Labels (a, b) whose documents are linked. `named`: sig, node, label, least, the first tokens that several labels hold.
 
-    Tokens are ordered by the number of these documents that hold them, rarest first. The smaller of
-    two linked sets holds a token of both among its first ones (`asked`), the larger among somewhat
-    more (`offered`); tokens of one document alone lead nowhere, and most documents have enough of
-    those to need no group at all.
+    Documents that share tokens with another label form groups with those that chose the same leader.
+    The matrix has a row for each token of a group's union. Linked documents share `least` tokens or
+    more, so of the tokens in the order of their frequency a query needs all but the last `least - 1`
+    to meet a group that it could be linked with.
     """
-    each = left.select("node", F.explode("tokens").alias("token"))
-    shared = each.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    ordered = each.join(shared, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("shared"))
-    size = F.size("tokens")
-    alone = size - F.size("shared")
-    # overlap >= p/100 x size for the larger, and >= 2p/(100+p) x size for the smaller of two linked sets
-    offered = size - F.ceil(size * F.lit(percent) / 100).cast("int") + 1 - alone
-    asked = size - F.ceil(size * F.lit(2 * percent) / (100 + percent)).cast("int") + 1 - alone
-    first = lambda n: F.transform(F.slice("shared", 1, F.greatest(n, F.lit(0))), lambda s: s["token"])
-    # sets of a family have their commonest token in common, so that it brings similar ones together
-    family = F.element_at("shared", -1)["token"].alias("family")
-    ready = left.join(ordered, "node").select("node", "label", "tokens", first(asked).alias("asked"), first(offered).alias("offered"), family)
-    ready = stored(ready.where(F.size("offered") > 0), "ready").repartitionByRange("family", "node").sortWithinPartitions("family", "node").drop("family")
-    kind = "array<long>"
-    groups = stored(ready.mapInArrow(_pack, f"grp long, asked {kind}, offered {kind}, nodes {kind}, labels {kind}, sets array<binary>"), "groups")
-    queries = groups.select(F.col("grp").alias("q"), F.explode("asked").alias("token"))
-    matrix = groups.select("grp", F.explode("offered").alias("token"))
-    opened = stored(queries.join(matrix, "token").select("q", "grp").distinct(), "opened")
-    asking = groups.select(F.col("grp").alias("q"), F.col("nodes").alias("q_nodes"), F.col("labels").alias("q_labels"), F.col("sets").alias("q_sets"))
-    pairs = opened.join(groups.select("grp", "nodes", "labels", "sets"), "grp").join(asking, "q")
-    return pairs.mapInArrow(_open(percent), "a long, b long")
+    held = named.select("node", "label").distinct()
+    sketches = sets.join(held.select("node"), "node", "left_semi").mapInArrow(_sketched, "node long, size long, sketch binary")
+    # sizes of linked sets are at most a class apart
+    kind = F.floor(F.log(F.col("size").cast("double")) / (1.000001 * math.log(100 / percent))).cast("int")
+    own = held.join(chosen, "node", "left").withColumn("leader", F.coalesce("leader", "node")).join(sketches, "node").withColumn("kind", kind)
+    sizes = own.groupBy("leader", "kind").agg(F.ceil(F.count("*") / GROUP).cast("long").alias("salts"))
+    own = own.join(sizes, ["leader", "kind"]).withColumn("salt", F.pmod(F.xxhash64("node"), "salts")).drop("salts")
+    own = stored(own.select("node", "label", "leader", "kind", "salt", "size", "sketch"), "members")
+    counts = named.groupBy("sig").agg(F.count("*").alias("n"))
+    ordered = named.join(counts, "sig").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "sig"))).alias("sigs"), F.max("least").alias("least"))
+    first = F.slice("sigs", 1, F.greatest(F.lit(1), F.size("sigs") - F.col("least").cast("int") + 1))
+    tokens = stored(ordered.select("node", F.explode(first).alias("s")).select("node", F.col("s.sig").alias("sig")), "asked")
+    places = own.select("node", "leader", "kind", "salt").distinct()
+    matrix = tokens.join(places, "node").select("sig", "leader", "kind", "salt").distinct()
+    near_kinds = F.explode(F.array(*[F.col("kind") + i for i in (-1, 0, 1)])).alias("kind")
+    asked = tokens.join(own.select("node", near_kinds).distinct(), "node")
+    opened = stored(asked.join(matrix, ["sig", "kind"]).select("node", "leader", "kind", "salt").distinct(), "opened")
+
+    # one link joins two labels, so the likeliest are tried first, and all that these leave apart then
+    label_of = stored(own.select("node", F.col("label").alias("now")).distinct(), "label-of")
+    edges = None
+    for best in (True, False):
+        mine = own.drop("label").join(label_of, "node").withColumnRenamed("now", "label")
+        asking = opened.join(mine.select("node", "label", "size", "sketch"), "node").withColumn("asks", F.lit(True))
+        rows = mine.withColumn("asks", F.lit(False)).unionByName(asking)
+        order = ["leader", "kind", "salt", "asks", "node"]
+        near = rows.repartition("leader", "kind", "salt").sortWithinPartitions(*order).mapInArrow(_open(percent, best), "a long, b long")
+        near = stored(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near")
+        one = near.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
+        two = one.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y")
+        found = two.mapInArrow(_verify(percent), "a long, b long")
+        found = found.join(label_of.select(F.col("node").alias("a"), F.col("now").alias("one")), "a")
+        found = found.join(label_of.select(F.col("node").alias("b"), F.col("now").alias("two")), "b")
+        found = stored(found.select(F.col("one").alias("a"), F.col("two").alias("b")).distinct(), "joined")
+        edges = found if edges is None else edges.unionByName(found)
+        if best and not found.isEmpty():
+            merged = components(found).select(F.col("node").alias("now"), F.col("label").alias("lower"))
+            label_of = stored(label_of.join(merged, "now", "left").select("node", F.coalesce("lower", "now").alias("now")), "label-of")
+    discard(own, tokens, opened)
+    return edges
 
 
 def components_of(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -442,16 +500,17 @@ def components_of(docs: DataFrame, width: int = 5, percent: int = 80, id_col: st
     key = F.when(F.col("node") == F.col("leader"), F.col("sig")).otherwise(F.xxhash64("sig", "node"))
     dealt = placed.repartition(key).sortWithinPartitions("sig", "node")
     every = stored(dealt.mapInArrow(_together, "sig long, node long, leader long"), "shared")
-    size = F.ceil(F.col("n_shingles") * percent / 100)
-    least = F.greatest(F.lit(1), F.floor(size / SHARE)).cast("long")  # as in `least_shared`
+    common, (few, most, many) = F.ceil(F.col("n_shingles") * percent / 100), SHARES
+    least = F.greatest(F.lit(1), F.least(F.floor(common / few), F.lit(most)), F.floor(common / many)).cast("long")  # as in `least_shared`
     needs = facts.where("n_shingles > 0").groupBy("node").agg(F.min(least).alias("least"))
     enough = every.groupBy("node").agg(F.count("*").alias("n")).join(needs, "node").where("n >= least").select("node", "least")
     nodes = stored(enough, "nodes")
     met = stored(every.join(nodes, "node"), "met")
     discard(every)
     sets = stored(_sets_of(texts, nodes.select("node"), width), "sets")
+    chosen = stored(_chosen(met), "chosen")
     with _batches_of(docs.sparkSession, 500):
-        links = stored(_within_groups(met, sets, percent).unionByName(same), "links")
+        links = stored(_within_groups(chosen, sets, percent).unionByName(same), "links")
     labels = components(links)
 
     label = F.coalesce("label", "node").alias("label")
@@ -459,12 +518,12 @@ def components_of(docs: DataFrame, width: int = 5, percent: int = 80, id_col: st
     first = stored(_still_mixed(named), "mixed")  # each round leaves fewer; any number of them is right
     named = stored(_still_mixed(first), "mixed-again")
     discard(met, first)
-    left = named.select("node", "label").distinct()
-    if not left.isEmpty():
-        with _batches_of(docs.sparkSession, 32):
-            more = stored(_left_over(left.join(sets, "node"), percent), "more-links")
-        if not more.isEmpty():
-            labels = components(links.unionByName(more))
+    if not named.isEmpty():
+        with _batches_of(docs.sparkSession, 500):
+            across = _across_groups(named, chosen, sets, percent)
+        merged = components(across).select(F.col("node").alias("label"), F.col("label").alias("lower"))
+        alone = merged.join(labels, merged["label"] == labels["node"], "left_anti").select(F.col("label").alias("node"), F.col("lower").alias("label"))
+        labels = labels.join(merged, "label", "left").select("node", F.coalesce("lower", "label").alias("label")).unionByName(alone)
     discard(named, sets, nodes)
     found = facts.join(labels, "node", "left")
     return found.select(F.col("node").alias(id_col), "n_shingles", F.coalesce("label", "node").alias("component_id"))
