@@ -254,6 +254,17 @@ def _sets_of(texts: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return placed.mapInArrow(run, "node long, tokens array<long>").join(ids, "node", "left_semi")
 
 
+def _only(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """The sets of `ids`, and of few others: what a mask leaves, for joins that are exact without it."""
+    bits = sets.sparkSession.sparkContext.broadcast(mask(ids, "node"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select([0, 1]).filter(pa.array(in_mask(bits.value, batch.column(2).to_numpy())))
+
+    return sets.select("node", "tokens", mask_place(F.col("node")).alias("place")).mapInArrow(run, "node long, tokens array<long>")
+
+
 def _lists(column: pa.Array) -> list[np.ndarray]:
     """Sets of a list column, as unsigned numbers in order."""
     values, at = column.values.to_numpy(), column.offsets.to_numpy()
@@ -303,9 +314,9 @@ def _group_links(percent: int, most: int):
     return run
 
 
-def _chosen(met: DataFrame) -> DataFrame:
-    """(node, leader): the leader of most of the node's first tokens. `met`: sig, node, leader."""
-    shared = met.where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("n"))
+def _chosen(every: DataFrame) -> DataFrame:
+    """(node, leader): the leader of most of the node's first tokens. `every`: sig, node, leader."""
+    shared = every.where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("n"))
     best = F.max(F.struct("n", (-F.col("leader")).alias("minus")))["minus"]
     return shared.groupBy("node").agg((-best).alias("leader"))
 
@@ -468,13 +479,15 @@ def _across_groups(named: DataFrame, chosen: DataFrame, sets: DataFrame, percent
         order = ["leader", "kind", "salt", "asks", "node"]
         near = rows.repartition("leader", "kind", "salt").sortWithinPartitions(*order).mapInArrow(_open(percent, best), "a long, b long")
         near = stored(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near")
-        one = near.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
-        two = one.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y")
+        some = stored(_only(sets, near.select(F.explode(F.array("a", "b")).alias("node"))), "some-sets")
+        one = near.join(some.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
+        two = one.join(some.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y")
         found = two.mapInArrow(_verify(percent), "a long, b long")
         found = found.join(label_of.select(F.col("node").alias("a"), F.col("now").alias("one")), "a")
         found = found.join(label_of.select(F.col("node").alias("b"), F.col("now").alias("two")), "b")
         found = stored(found.select(F.col("one").alias("a"), F.col("two").alias("b")).distinct(), "joined")
         edges = found if edges is None else edges.unionByName(found)
+        discard(near, some)
         if best and not found.isEmpty():
             merged = components(found).select(F.col("node").alias("now"), F.col("label").alias("lower"))
             label_of = stored(label_of.join(merged, "now", "left").select("node", F.coalesce("lower", "now").alias("now")), "label-of")
@@ -505,19 +518,15 @@ def components_of(docs: DataFrame, width: int = 5, percent: int = 80, id_col: st
     needs = facts.where("n_shingles > 0").groupBy("node").agg(F.min(least).alias("least"))
     enough = every.groupBy("node").agg(F.count("*").alias("n")).join(needs, "node").where("n >= least").select("node", "least")
     nodes = stored(enough, "nodes")
-    met = stored(every.join(nodes, "node"), "met")
-    discard(every)
     sets = stored(_sets_of(texts, nodes.select("node"), width), "sets")
-    chosen = stored(_chosen(met), "chosen")
+    chosen = stored(_chosen(every).join(nodes.select("node"), "node"), "chosen")
     with _batches_of(docs.sparkSession, 500):
         links = stored(_within_groups(chosen, sets, percent).unionByName(same), "links")
     labels = components(links)
 
-    label = F.coalesce("label", "node").alias("label")
-    named = met.join(labels, "node", "left").select("sig", "node", label, "least")
-    first = stored(_still_mixed(named), "mixed")  # each round leaves fewer; any number of them is right
-    named = stored(_still_mixed(first), "mixed-again")
-    discard(met, first)
+    known = nodes.join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
+    named = stored(_still_mixed(every.select("sig", "node").join(known, "node")), "mixed")
+    discard(every)
     if not named.isEmpty():
         with _batches_of(docs.sparkSession, 500):
             across = _across_groups(named, chosen, sets, percent)
