@@ -22,7 +22,7 @@ from tallymill.llm.common import without
 
 # The usual splitting rule of byte-level BPE vocabularies (fixed value).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-REMEMBERED = 200_000  # pieces per task process
+REMEMBERED = 250_000  # pieces per task process and generation, of which there are two
 LONGEST = 64  # characters of a piece that is remembered
 
 
@@ -55,26 +55,32 @@ class Bpe:
     def merge(self, data: bytes) -> list[int]:
         """Ids of one piece."""
         n = len(data)
-        ids = [self.byte_ids[b] for b in data]
+        byte_ids, ranks, pairs = self.byte_ids, self.ranks, self.pairs
+        ids = [byte_ids[b] for b in data]
+        found = ranks.get
+        queue = [(r, i) for i, pair in enumerate(zip(ids, ids[1:])) if (r := found(pair)) is not None]
+        if not queue:
+            return ids
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        ranks, pairs = self.ranks, self.pairs
-        queue = [(r, i) for i in range(n - 1) if (r := ranks.get((ids[i], ids[i + 1]))) is not None]
         heapq.heapify(queue)
+        pop, push = heapq.heappop, heapq.heappush
         while queue:
-            rank, i = heapq.heappop(queue)
+            rank, i = pop(queue)
             left, right, made = pairs[rank]
-            j = after[i]
-            if ids[i] != left or j >= n or ids[j] != right:
+            if ids[i] != left:
                 continue  # stale: one of the two has merged since
+            j = after[i]
+            if j >= n or ids[j] != right:
+                continue
             k = after[j]
             ids[i], ids[j], after[i] = made, -1, k
             if k < n:
                 before[k] = i
-                if (r := ranks.get((made, ids[k]))) is not None:
-                    heapq.heappush(queue, (r, i))
+                if (r := found((made, ids[k]))) is not None:
+                    push(queue, (r, i))
             h = before[i]
-            if h >= 0 and (r := ranks.get((ids[h], made))) is not None:
-                heapq.heappush(queue, (r, h))
+            if h >= 0 and (r := found((ids[h], made))) is not None:
+                push(queue, (r, h))
         return [x for x in ids if x >= 0]
 
     def parts(self, text: str) -> list[str]:
@@ -102,19 +108,25 @@ class Bpe:
 
 
 class _Memory:
-    """Ids and bytes of pieces seen before, as what a document's results are joined from."""
+    """Ids and bytes of pieces seen before, as what a document's results are joined from.
+
+    When a generation is full it becomes the old one: what is met again moves to the new one, and
+    what is not is gone with the next change.
+    """
 
     def __init__(self, bpe: Bpe) -> None:
         self.bpe, self.ids, self.bytes = bpe, {}, {}
+        self.old_ids: dict[str, str] = {}
+        self.old_bytes: dict[str, bytes] = {}
 
     def of(self, text: str) -> tuple[list[str], list[bytes]]:
         parts = self.bpe.parts(text)
         if len(self.ids) > REMEMBERED:
-            self.ids.clear()
-            self.bytes.clear()
+            self.old_ids, self.old_bytes, self.ids, self.bytes = self.ids, self.bytes, {}, {}
         ids, data, own = self.ids, self.bytes, {}
-        for part in set(parts):
-            if part in ids:
+        for part in set(parts).difference(ids):
+            if part in self.old_ids:
+                ids[part], data[part] = self.old_ids[part], self.old_bytes[part]
                 continue
             found = self.bpe.piece(part)
             kept = (",".join(map(str, found)), self.bpe.decode_bytes(found))

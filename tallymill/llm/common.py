@@ -70,15 +70,28 @@ def mask_place(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(1 << MASK_BITS))
 
 
+def mask_table(keys: DataFrame, name: str) -> DataFrame:
+    """`mask` as a table (word, bits) of at most 2^17 rows, small enough to broadcast whatever the keys."""
+    place = mask_place(F.col(name))
+    return keys.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64({name}), 64) as int))")).alias("bits"))
+
+
+def masked(rows: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame:
+    """`rows` with `in_mask`: true for every row whose `key` is among `keys`, and for few others."""
+    words = mask_table(keys, name).withColumnsRenamed({"word": "__word", "bits": "__bits"})
+    place = mask_place(F.col(key))
+    joined = rows.join(F.broadcast(words), F.shiftright(place, 6) == F.col("__word"), "left")
+    hit = F.coalesce(F.getbit("__bits", F.pmod(place, F.lit(64)).cast("int")) == 1, F.lit(False))
+    return joined.select(*[F.col(f"`{c}`") for c in rows.columns], hit.alias("in_mask"))
+
+
 def mask(keys: DataFrame, name: str) -> np.ndarray:
     """One bit set for each key, 2^23 bits whatever the number of keys.
 
     It keeps most rows without a partner out of a join that is exact without it. It is a megabyte on
     the driver and in each executor, and with very many keys it merely lets more rows through.
     """
-    place = mask_place(F.col(name))
-    words = keys.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64({name}), 64) as int))")).alias("bits"))
-    found = words.toPandas()  # 131,072 rows at most
+    found = mask_table(keys, name).toPandas()  # 131,072 rows at most
     bits = np.zeros(1 << (MASK_BITS - 6), np.int64)
     bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
     return bits

@@ -36,4 +36,8 @@ PAGES = [
     (f'<body><footer>{_MID}</footer></body>', "-"),
     (f'<body><p><a href="/next">Next</a></p></body>', "-"),
     (f'<article><p>Words</p><p>{_SHORT}</p><p>end</p></article>', "+++"),
+    (f'<body><nav>{_LINKS}</nav><div class="wrap right-sidebar"><h1>Low tide</h1><p>{_LONG}</p><p>{_SHORT}</p><p>{_MID}</p><p>{_LONG}</p></div></body>', "----+++++"),
+    (f'<body><div class="page menu-left"><div class="text"><p>{_LONG}</p><p>{_LONG}</p><p>{_MID}</p></div></div><div class="promo"><p>{_LONG}</p></div></body>', "+++-"),
+    (f'<body><div id="search-page"><p>{_MID}</p><p>{_LONG}</p><p>{_SHORT}</p></div><footer>{_MID}</footer></body>', "+++-"),
+    (f'<body><div class="footer"><p>{_MID}</p><p>{_LONG}</p></div><div class="post"><p>{_LONG}</p><p>{_LONG}</p><p>{_LONG}</p></div></body>', "--+++"),
 ]

@@ -24,27 +24,35 @@ from tallymill.llm.html_labels import PAGES
 
 RAW = "script|style|title|textarea"  # these run to the end of the page if nothing ends them
 SKIPPED = set("noscript template select option button iframe svg object".split())
+# a quote opens a value only after =
+_ATTRS = r"(?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+)?)*+"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<skip>{RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=skip)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|</?[a-zA-Z!?][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
+    rf"<!--.*?(?:-->|\Z)|<(?P<skip>{RAW})(?=[\s/>]){_ATTRS}>.*?(?:</(?P=skip)\s*>|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>{_ATTRS})(?:>|\Z)|</?[a-zA-Z!?][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
 _ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in SKIPPED}
+_NESTED = {tag: re.compile(rf"<(/?){tag}(?=[\s/>])({_ATTRS})>", re.I) for tag in SKIPPED}
 _ENDS["option"] = re.compile(r"</option(?=[\s/>])[^>]*>|(?=</?(?:option|optgroup|select|datalist)[\s/>])", re.I)  # its end tag may be left out
 _EMPTY = re.compile(r"(?<!=)(?:^|[\s\"'])/\s*\Z|(?:^|\s)[^\s=\"']+/\s*\Z")
-_ATTR = re.compile(r"(class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+_HIDDEN = re.compile(r"(?:^|[\s\"'])hidden(?=[\s=/]|\Z)", re.I)
+_ATTR = re.compile(r"(?<![\w-])(class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 SIDE_TAGS = {"nav", "footer", "aside", "form", "menu", "dialog", "fieldset"}
 MAIN_TAGS = {"article", "main"}
+# Names of parts that hold other people's text or other pages', whatever stands in them.
+OTHER_NAMES = set("comment comments reply replies respond disqus discussion related recommended navigation nav navbar breadcrumb breadcrumbs".split())
 SIDE_NAMES = set(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice "
-    "notices notification alert sidebar menu menus nav navbar navigation breadcrumb breadcrumbs footer comment comments reply replies "
-    "disqus discussion share sharing social related recommended newsletter subscribe subscription signup login popup modal overlay "
-    "widget search legal copyright disclaimer pagination pager toolbar masthead topbar skip toc byline respond feedback".split()
+    "notices notification alert sidebar menu menus footer share sharing social newsletter subscribe subscription signup login popup modal "
+    "overlay widget search legal copyright disclaimer pagination pager toolbar masthead topbar skip toc byline feedback".split()
 )
+# First and last words of names that say how a page is laid out, not what an element is.
+ABOUT_FIRST = set("has have with without no not is".split())
+ABOUT_LAST = set("open opened closed free on off enabled disabled".split())
 MAIN_NAMES = set("article articlebody content main story post entry maincontent".split())
 # The elements on top of the stack that a start tag ends, whose end tags may be left out.
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "tr": {"tr", "td", "th", "p"}}
@@ -56,31 +64,69 @@ class Block:
     text: str = ""
     words: int = 0
     linked: int = 0
-    side: bool = False
+    side: int = 0  # 1: in a part that its name makes a side part, 2: by its tag or a name of others' text
+    root: int = 0  # the outermost such part
     main: bool = False
     heading: bool = False
     parts: list[str] = field(default_factory=list)
 
 
-def _place(tag: str, attrs: str, side: bool, main: bool) -> tuple[bool, bool]:
-    """Whether an element, and so all in it, is a side part or the main part of the page."""
-    names = {w.lower() for _, value in _ATTR.findall(attrs) for w in _WORD.findall(value)} if attrs else set()
-    if tag in SIDE_TAGS or (tag == "header" and not main) or names & SIDE_NAMES:
-        side = True
-    if tag in MAIN_TAGS or names & MAIN_NAMES:
-        main = True
-    return side, main
+@dataclass(frozen=True)
+class _Open:
+    """An open element, and what it inherits to all in it."""
+
+    tag: str = ""
+    side: int = 0
+    root: int = 0
+    main: bool = False
+
+
+def _names(attrs: str) -> list[list[str]]:
+    """The names of an element, each as its words, without those that tell of the page's layout."""
+    tokens = [t for _, value in _ATTR.findall(attrs) for t in value.strip("\"'").split()]
+    words = [[w.lower() for w in _WORD.findall(t)] for t in tokens]
+    return [w for w in words if w and not (len(w) > 1 and (w[0] in ABOUT_FIRST or w[-1] in ABOUT_LAST))]
+
+
+def _place(tag: str, attrs: str, above: _Open, number: int) -> _Open:
+    """An element in its place: a side part, the main part, or like the element that it stands in.
+
+    The names of html and body tell of the whole page and do not count; neither do those of an
+    article or main element, which ends a side part around it unless that holds others' text.
+    """
+    names = [] if not attrs or tag in ("html", "body") else _names(attrs)
+    side, main = above.side, above.main or tag in MAIN_TAGS or any(w in MAIN_NAMES for n in names for w in n)
+    if tag in MAIN_TAGS:
+        side = side if side == 2 else 0
+    elif any(w in SIDE_NAMES for n in names for w in n):
+        side = max(side, 1)
+    others = any(w in OTHER_NAMES for n in names for w in n)
+    if others or tag in SIDE_TAGS or (tag == "header" and not main) or (attrs and _HIDDEN.search(attrs)):
+        side = 2
+    return _Open(tag, side, (above.root if above.side else number) if side else 0, main)
 
 
 def _past(page: str, tag: str, attrs: str, at: int, endless: set[str]) -> int:
-    """Where the element that is not read ends; without an end only its tag is passed over.
+    """Where the element that is not read ends, with all of its kind inside; without an end only its tag is passed over.
 
     `endless` has the tags that nothing ends further on, so that a page is searched once for each.
     """
     if tag in endless or (tag == "svg" and _EMPTY.search(attrs)):
         return at
-    if m := _ENDS[tag].search(page, at):
-        return m.end()
+    if tag == "option":
+        if m := _ENDS[tag].search(page, at):
+            return m.end()
+    else:
+        depth, last = 1, None
+        for m in _NESTED[tag].finditer(page, at):
+            if m[1]:
+                depth, last = depth - 1, m.end()
+                if not depth:
+                    return last
+            elif not _EMPTY.search(m[2]):
+                depth += 1
+        if last is not None:  # more are opened than ended
+            return last
     endless.add(tag)
     return at
 
@@ -88,7 +134,7 @@ def _past(page: str, tag: str, attrs: str, at: int, endless: set[str]) -> int:
 def blocks(page: str | None) -> list[Block]:
     """The text blocks of a page in order, without script, style, comments and markup."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]
+    stack: list[_Open] = [_Open()]
     opened: Counter[str] = Counter()  # open elements by tag
     now, links, heading = Block(), 0, False
 
@@ -97,7 +143,7 @@ def blocks(page: str | None) -> list[Block]:
         text = " ".join(html.unescape("".join(now.parts)).split())
         if text:
             now.text, now.words = text, len(text.split())
-            _, now.side, now.main = stack[-1]
+            now.side, now.root, now.main = stack[-1].side, stack[-1].root, stack[-1].main
             now.heading = heading
             found.append(now)
         now = Block()
@@ -126,31 +172,38 @@ def blocks(page: str | None) -> list[Block]:
                 if tag in HEADINGS:
                     heading = False
                 if opened[tag]:  # an end tag without a start is ignored
-                    while stack[-1][0] != tag:
-                        opened[stack.pop()[0]] -= 1
-                    opened[stack.pop()[0]] -= 1
+                    while stack[-1].tag != tag:
+                        opened[stack.pop().tag] -= 1
+                    opened[stack.pop().tag] -= 1
             elif tag not in VOID and tag != "head":  # what a head may hold is skipped or void; all else is of the body
                 if tag in HEADINGS:
                     heading = True
-                while stack[-1][0] in CLOSES.get(tag, ()):
-                    opened[stack.pop()[0]] -= 1
-                _, side, main = stack[-1]
+                while stack[-1].tag in CLOSES.get(tag, ()):
+                    opened[stack.pop().tag] -= 1
                 if tag not in HEADINGS and not (tag == "p" and not m["attrs"]):
-                    stack.append((tag, *_place(tag, m["attrs"], side, main)))
+                    stack.append(_place(tag, m["attrs"], stack[-1], m.end()))
                     opened[tag] += 1
     close()
     return found
 
 
-FEATURES = ["words", "density", "words_before", "density_before", "words_after", "density_after", "side", "main", "heading", "ends_sentence"]
+FEATURES = ["words", "density", "words_before", "density_before", "words_after", "density_after", "side", "side_share", "main", "heading", "ends_sentence"]
 
 
 def features(found: list[Block]) -> np.ndarray:
-    """One row of `FEATURES` per block; a missing neighbour has no words and no links."""
+    """One row of `FEATURES` per block; a missing neighbour has no words and no links.
+
+    `side_share` is the part of the page's words that stands in the same side part: what is called a
+    side part and holds almost all of them is named after its layout.
+    """
     n = len(found)
     words = np.array([0, *[b.words for b in found], 0], float)
     density = np.array([0, *[min(1.0, b.linked / b.words) for b in found], 0], float)
-    own = np.array([[b.side, b.main, b.heading, b.text[-1] in ".!?…:;\"”»"] for b in found], float).reshape(n, 4)
+    inside: Counter[int] = Counter()
+    for b in found:
+        inside[b.root] += b.words
+    total = max(1, sum(inside.values()))
+    own = np.array([[b.side, inside[b.root] / total if b.side else 0, b.main, b.heading, b.text[-1] in ".!?…:;\"”»"] for b in found], float).reshape(n, 5)
     around = [words[1:-1], density[1:-1], words[:-2], density[:-2], words[2:], density[2:]]
     return np.column_stack([*around, own]) if n else np.zeros((0, len(FEATURES)))
 

@@ -3,101 +3,77 @@
 The key of a document is its byte length followed by its normalised bytes. A round splits every
 open group by the next bytes of the key; a group of one is settled, and so is a group whose texts
 have ended, because its members then agree in every byte. No digest decides equality. The first
-round needs the length and 24 bytes of each document and settles almost all of them; only the rest
-are looked at again, and each later digit is wider, so copies of any length settle in a few rounds.
+round needs the length and 24 bytes of each document and settles almost all of them, which go
+straight to the result; a mask that the groups still open leave keeps them out of all later steps.
+Each later digit is wider, so copies of any length settle in a few rounds.
 
 Counts per digit are combined before they are shuffled and are joined back to the rows, so a group
-that holds a third of the table is one row of the small side, and Spark can split the large side.
+that holds a third of the table is one row of the joins' small side, and Spark can split the large side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tallymill.llm.common import ascii_lower, stored, whole, without
+from tallymill.llm.common import ascii_lower, discard, masked, stored, whole, without
 
+OUT = ["keep_id", "group_size", "kept"]
 
-def _row_key(id_col: str, text_col: str) -> Column:
-    """Tells rows apart when ids repeat. Never used to say that texts are equal."""
-    text = whole(F.col(text_col))
-    return F.struct(
-        F.col(id_col).alias("id"), F.octet_length(text).alias("bytes"), F.xxhash64(text).alias("h")
-    )
 
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widths: tuple[int, int] = (24, 1024), growth: int = 64) -> DataFrame:
+    """All rows of `docs` with `keep_id`, `group_size` and `kept`.
 
-def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widths: tuple[int, int] = (24, 1024), growth: int = 64) -> DataFrame:
-    """`row` (the row's key), `keep_id`, `group_size`, one row for each key in a group of two or more.
+    Texts are equal when they agree after lower-casing A-Z. The row with the largest id of a group
+    stays. Null text counts as empty; a null id is smaller than any other. Rows that repeat both id
+    and text are copies like any other: exactly one of them is kept. An empty table gives an empty
+    one. Input columns named like the three new ones are replaced.
 
     `widths`: bytes of the first two digits; each later digit is `growth` times as wide.
     """
-    text = whole(F.col(text_col))
-    first = ascii_lower(F.substring(text, 1, widths[0])).cast("binary")
-    keyed = docs.select(_row_key(id_col, text_col).alias("row"), F.substring(first, 1, widths[0]).alias("digit"))
-    keyed = keyed.withColumn("grp", F.col("row.bytes"))
-    counts = _split(keyed).where("n > 1")
-    open_rows = stored(
-        keyed.join(counts, ["grp", "digit"]).groupBy("row", F.col("top").alias("grp")).agg(F.count("*").alias("copies")),
-        "radix-open",
-    )
-    texts = docs.select(
-        _row_key(id_col, text_col).alias("row"), ascii_lower(text).cast("binary").alias("bytes")
-    )
-    # one row for each key: rows that agree in id and text are counted, not carried twice
-    state = stored(
-        texts.join(open_rows, texts["row"].eqNullSafe(open_rows["row"]))
-        .select(open_rows["row"], "grp", "copies", "bytes")
-        .dropDuplicates(["row"]),
-        "radix-state",
-    )
-    offset, width, settled = widths[0], widths[1], None
-    while True:
-        digit = F.substring(F.col("bytes"), offset + 1, width)
-        keyed = state.withColumn("digit", digit)
-        counts = _split(keyed, F.sum("copies"))
-        step = stored(
-            keyed.join(counts, ["grp", "digit"])
-            .withColumn("ended", (F.col("n") == 1) | (F.octet_length("digit") < width))
-            .select("row", F.col("top").alias("grp"), "copies", "n", "ended", F.when(~F.col("ended"), F.col("bytes")).alias("bytes")),
-            "radix-round",
-        )
-        done = step.where("ended and n > 1").select("row", F.col("grp.id").alias("keep_id"), F.col("n").alias("group_size"), "copies")
-        settled = done if settled is None else settled.unionByName(done)
-        state = step.where("not ended").select("row", "grp", "copies", "bytes")
-        if state.isEmpty():
-            return settled
+    docs = without(docs, OUT)
+    text = whole(F.col(f"`{text_col}`"))
+    size = F.octet_length(text).cast("long")
+    head = F.substring(ascii_lower(F.substring(text, 1, widths[0])).cast("binary"), 1, widths[0])
+    heads = docs.select(size.alias("grp"), head.alias("digit"))
+    opened = heads.groupBy("grp", "digit").agg(F.count("*").alias("n")).where("n > 1").select(F.xxhash64("grp", "digit").alias("key"))
+    packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = masked(docs.select(packed, size.alias("grp"), F.xxhash64(size, head).alias("key")), "key", opened, "key")
+    one = F.col("row").getField(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")
+    done = [rows.where("not in_mask").select("row", *one)]
+
+    state = stored(rows.where("in_mask").select("row", "grp", F.monotonically_increasing_id().alias("number")), "radix-open")
+    offset, width = 0, widths[1]
+    while not state.isEmpty():
+        step = _round(state, id_col, text_col, offset, width)
+        done.append(step.where("settled").select("row", "keep_id", "group_size", "kept"))
+        state = step.where("not settled").select("row", F.col("next").alias("grp"), "number")
         offset, width = offset + width, width * growth
+    found = done[0]
+    for part in done[1:]:
+        found = found.unionByName(part)
+    return found.select("row.*", *OUT)
 
 
-def _split(keyed: DataFrame, n: Column | None = None) -> DataFrame:
-    """Rows and largest key of each group's digit."""
-    return keyed.groupBy("grp", "digit").agg(
-        (F.count("*") if n is None else n).alias("n"), F.max("row").alias("top")
+def _round(state: DataFrame, id_col: str, text_col: str, offset: int, width: int) -> DataFrame:
+    """Rows of `row`, `grp`, `number`, split by the digit at `offset`: `settled` ones with their decision, others with their `next` group."""
+    bytes_ = ascii_lower(whole(F.col("row").getField(text_col))).cast("binary")
+    keyed = state.withColumn("digit", F.substring(bytes_, offset + 1, width)).withColumn("id", F.col("row").getField(id_col))
+    counts = keyed.groupBy("grp", "digit").agg(
+        F.count("*").alias("n"), F.max("id").alias("top"), F.coalesce(F.max_by("number", "id"), F.max("number")).alias("pick")
     )
-
-
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows of `docs` with `keep_id`, `group_size` and `kept`.
-
-    Texts are equal when they agree after lower-casing A-Z. The row with the largest id of a group
-    stays. Null text counts as empty; a null id is smaller than any other. Rows that repeat both id
-    and text are copies like any other: exactly one of them is kept. An empty table gives an empty
-    one. Input columns named like the three new ones are replaced.
-    """
-    docs = without(docs, ["keep_id", "group_size", "kept"])
-    found = decisions(docs, id_col, text_col)
-    rows = docs.withColumn("__key", _row_key(id_col, text_col))
-    joined = rows.join(found, rows["__key"].eqNullSafe(found["row"]), "left")
-    mine = F.col(id_col).eqNullSafe(F.col("keep_id"))
-    kept = F.col("group_size").isNull() | mine
-    if not found.where("copies > 1").isEmpty():  # rows that repeat an id: one of them stays
-        order = Window.partitionBy("__key").orderBy(F.col(id_col))
-        kept = F.col("group_size").isNull() & (F.lit(True)) | mine & (F.row_number().over(order) == 1)
-    keep_id = F.when(F.col("group_size").isNull(), F.col(id_col)).otherwise(F.col("keep_id"))
-    return joined.select(
-        *docs.columns,
-        keep_id.alias("__keep"),
-        F.coalesce("group_size", F.lit(1)).cast("long").alias("__size"),
-        kept.alias("__kept"),
-    ).withColumnsRenamed({"__keep": "keep_id", "__size": "group_size", "__kept": "kept"})
+    counts = stored(counts.where("n > 1").withColumn("next", F.monotonically_increasing_id()), "radix-counts")
+    joined = keyed.join(counts, ["grp", "digit"], "left")
+    alone = F.col("n").isNull()
+    step = joined.select(
+        "row",
+        "number",
+        "next",
+        (alone | (F.octet_length("digit") < width)).alias("settled"),
+        F.when(alone, F.col("id")).otherwise(F.col("top")).alias("keep_id"),
+        F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
+        (alone | (F.col("number") == F.col("pick"))).alias("kept"),
+    )
+    step = stored(step, "radix-round")
+    discard(counts)
+    return step

@@ -1,7 +1,8 @@
 """WARC archives as a Python data source: `spark.read.format("warc")` and `df.write.format("warc")`.
 
-Reading plans one partition per byte range of a file. A partition walks record headers and jumps
-over payloads by their length, so a record that no predicate wants costs its header only. Equality
+Reading plans one partition per byte range of a file. A partition starts at the last place before its
+range that the index beside the file has (at the file's start for files of others, which have none),
+walks record headers and jumps over payloads by their length, so a record that no predicate wants costs its header only. Equality
 and IN predicates on the record type and on header columns are pushed into the walk; the payload is
 read and decoded only for records that pass, and only if the payload column is asked for. Files are
 opened with pyarrow's file systems, so any store that those and Spark both reach will do.
@@ -18,6 +19,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +38,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from tallymill.llm.common import whole
+from tallymill.llm.common import masked, whole
 from tallymill.session import work_path
 
 VERSION = b"WARC/1.1"
@@ -54,6 +56,8 @@ HEADERS = {
 SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in HEADERS] + [T.StructField("content_length", T.LongType()), T.StructField("payload", T.BinaryType())])
 RANGE = 64 << 20  # bytes of a plain file per partition
 MOST_HEADERS = 1 << 20  # bytes of a header value; what is longer goes on in lines of its own, which the reader joins
+INDEX = ".idx"  # after the name of a plain file: where records begin, about one for each `EVERY` bytes
+EVERY = 1 << 20
 MORE = "X-More-"  # before the name of the header that goes on
 
 
@@ -169,7 +173,8 @@ class WarcReader(DataSourceReader):
         packed = partition.path.endswith(".gz")
         with fs.open_input_stream(partition.path, compression=None) if packed else fs.open_input_file(partition.path) as raw:
             file = gzip.GzipFile(fileobj=raw) if packed else io.BufferedReader(raw, 1 << 20)
-            at = 0
+            at = 0 if packed else _indexed(fs, partition)
+            file.seek(at)
             while packed or at < partition.end:
                 found = read_headers(file)
                 if found is None:
@@ -197,6 +202,16 @@ class WarcReader(DataSourceReader):
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), arrow, strict=True)], schema=arrow)
 
 
+def _indexed(fs: pafs.FileSystem, partition: _Range) -> int:
+    """Where the last record begins that the index beside the file has before the range; 0 without an index."""
+    if not partition.start or fs.get_file_info(f"{partition.path}{INDEX}").type != pafs.FileType.File:
+        return 0
+    with fs.open_input_file(f"{partition.path}{INDEX}") as file:
+        places = np.frombuffer(file.read(), "<i8")
+    found = int(np.searchsorted(places, partition.start, "right"))
+    return int(places[found - 1]) if found else 0
+
+
 def _skip(file, size: int) -> None:
     """Pass over a payload of a compressed file in pieces; it is inflated but not kept."""
     while size > 0:
@@ -220,6 +235,7 @@ class WarcWriter(DataSourceArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         fs, at = _open(self.path)
         name, n = f"{at}/part-{uuid.uuid4().hex}.warc{'.gz' * self.packed}", 0
+        size, places = 0, [0]  # every `EVERY` bytes the place where a record begins
         with fs.open_output_stream(f"{name}.tmp", compression=None) as out:
             for batch in iterator:
                 columns = {c: batch.column(i) for i, c in enumerate(self.names)}
@@ -229,6 +245,12 @@ class WarcWriter(DataSourceArrowWriter):
                     data = record(headers, payload or b"")
                     out.write(gzip.compress(data, 6, mtime=0) if self.packed else data)
                     n += 1
+                    if size - places[-1] >= EVERY:
+                        places.append(size)
+                    size += len(data)
+        if n and not self.packed:
+            with fs.open_output_stream(f"{name}{INDEX}", compression=None) as out:
+                out.write(np.array(places, "<i8").tobytes())
         return _Written(name, n)
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
@@ -242,8 +264,9 @@ class WarcWriter(DataSourceArrowWriter):
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
         fs, _ = _open(self.path)
         for m in messages:
-            if m is not None and fs.get_file_info(f"{m.path}.tmp").type == pafs.FileType.File:
-                fs.delete_file(f"{m.path}.tmp")
+            for made in (f"{m.path}.tmp", f"{m.path}{INDEX}") if m is not None else ():
+                if fs.get_file_info(made).type == pafs.FileType.File:
+                    fs.delete_file(made)
 
 
 class WarcSource(DataSource):
@@ -273,8 +296,8 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """A record per page, with `page` (its id) beside the columns of the source.
 
     Of payloads that agree and have `least` bytes, the page with the smallest id is the response and
-    the others revisit it, without a payload of their own. Null html is an empty payload. The join
-    on the digest has one row per repeated payload on its small side. Pages that share an id and a
+    the others revisit it, without a payload of their own. Null html is an empty payload. Only
+    payloads whose digest repeats are shuffled; the join has one row per digest on its small side. Pages that share an id and a
     payload are both responses.
     """
     payload = whole(F.col(html_col)).cast("binary")
@@ -283,7 +306,11 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         F.octet_length(payload).cast("long").alias("size"), F.sha2(payload, 256).alias("digest"),
     )
     firsts = rows.where(F.col("size") >= least).groupBy("digest").agg(F.min("page").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    joined = rows.join(firsts, "digest", "left")
+    # payloads that nothing repeats go straight to the writer
+    marked = masked(rows, "digest", firsts, "digest")
+    first_type = marked.schema["page"].dataType
+    lone = marked.where("not in_mask").withColumn("first", F.lit(None).cast(first_type))
+    joined = lone.unionByName(marked.where("in_mask").join(firsts, "digest", "left"))
     again = F.col("first").isNotNull() & ~F.col("page").eqNullSafe(F.col("first"))
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
     return joined.select(

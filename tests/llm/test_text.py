@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,6 +58,77 @@ def test_side_parts_of_any_length_end():
     assert [(b.text, b.side) for b in nested] == [("a", True), ("b", True), ("c", True), ("d", True), ("e", False)]
 
 
+ARTICLE = "<h1>One</h1><p>All of the article, with some more words in it.</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<body class="single-post right-sidebar"><article>%s</article></body>',
+        '<div class="site-content has-sidebar"><article>%s</article></div>',
+        '<article class="post comments-open">%s</article>',
+        '<article class="legal">%s</article>',
+        '<body class="no-search ad-free"><article>%s</article></body>',
+        '<div class="layout sidebar-right"><main>%s</main><div class="sidebar"><p>Something else that is not of the article.</p></div></div>',
+        "<p title=it's></p><article>%s</article><p id='x'></p>",
+        '<a href=/?a="b href="/c"></a><article data-class="ad">%s</article>',
+        "<template><template>a</template><p>no</p></template><article>%s</article>",
+        "<object><object>a</object>no</object><article>%s</article><object>",
+        "<div hidden><p>Nothing to be seen here, by anybody at all.</p></div><article>%s</article>",
+        '<article>%s</article><section id="comments"><article class="comment-body"><p>A reader wrote something long here, again and again.</p></article></section>',
+    ],
+)
+def test_names_that_tell_of_the_layout(page):
+    assert html_text.main_text(page % ARTICLE, html_text.train()) == "One\nAll of the article, with some more words in it."
+
+
+class Walk(HTMLParser):
+    """The blocks of a well-formed page by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.now, self.shut = [], [], 0
+
+    def end_block(self):
+        self.out.append(" ".join("".join(self.now).split()))
+        self.now = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in html_text.SKIPPED or tag in ("script", "style", "title", "textarea"):
+            self.shut += tag not in ("option",)
+        elif tag == "br":
+            self.now.append(" ")
+        elif tag not in html_text.INLINE:
+            self.end_block()
+
+    def handle_endtag(self, tag):
+        if tag in html_text.SKIPPED or tag in ("script", "style", "title", "textarea"):
+            self.shut -= tag not in ("option",)
+        elif tag not in html_text.INLINE:
+            self.end_block()
+
+    def handle_data(self, data):
+        if not self.shut:
+            self.now.append(data)
+
+
+def test_blocks_agree_with_an_independent_walk(spark):
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    for page in pages:
+        walk = Walk()
+        walk.feed(page)
+        walk.close()
+        walk.end_block()
+        assert [b.text for b in html_text.blocks(page)] == [t for t in walk.out if t], page[:200]
+
+
+def test_long_pages_and_repeated_rows(spark):
+    long = "<article>" + "<p>A paragraph of the article, which goes on for some words.</p>" * 30_000 + "</article>"
+    rows = [(1, long), (2, "<article>" + ARTICLE), (2, "<article>" + ARTICLE)]
+    found = html_text.extract(spark.createDataFrame(rows, "page_id long, html string")).collect()
+    assert sorted(len(r["text"].split("\n")) for r in found) == [2, 2, 30_000]
+
+
 def test_pages_with_odd_columns(spark):
     pages = spark.createDataFrame([(1, None, "old"), (2, "<article><p>Some words of an article.</p></article>", "old")], "page_id long, html string, text string")
     got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
@@ -255,3 +327,40 @@ def test_pipeline(spark, documents, tmp_path):
     assert 101 not in kept[2] and 6 in kept[2] and 102 in kept[2] and 102 not in kept[3]
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in out} == kept[-1] and all(len(r.ids) == r.n_tokens > 0 for r in out)
+
+
+def test_ranges_start_at_the_index(spark, tmp_path, monkeypatch):
+    """Each record is read by one range, and a range walks no headers but its own."""
+    monkeypatch.setattr(warc, "EVERY", 2000)
+    path = f"{tmp_path}/w"
+    pages = [(i, f"http://x/{i}", "z" * (i % 700) + str(i)) for i in range(400)]
+    made = warc.records(spark.createDataFrame(pages, "page_id long, url string, html string")).drop("page")
+    writer = warc.WarcWriter(path, made.schema, False, False)
+    writer.commit([writer.write(iter(made.toArrow().to_batches()))])
+    reader = warc.WarcReader(path, warc.SCHEMA, 10_000)
+    ranges, seen, walked = reader.partitions(), [], 0
+    read_headers = warc.read_headers
+
+    def counted(file):
+        nonlocal walked
+        walked += 1
+        return read_headers(file)
+
+    monkeypatch.setattr(warc, "read_headers", counted)
+    for part in ranges:
+        for batch in reader.read(part):
+            seen += batch.column("target_uri").to_pylist()
+    assert len(ranges) > 10 and sorted(seen) == sorted(u for _, u, _ in pages)
+    assert walked < 400 + 12 * len(ranges)
+    for index in (tmp_path / "w").glob("*.idx"):
+        index.unlink()
+    assert sorted(u for part in ranges for b in reader.read(part) for u in b.column("target_uri").to_pylist()) == sorted(seen)
+
+
+def test_archives_of_odd_pages(spark, rows):
+    """Very long payloads, repeated ids, extra columns with the names of the operator's own."""
+    long = "<p>" + "x" * 3_000_000
+    made = [(1, "u", long, "a", 1), (2, "v", long, "b", 2), (3, "w", long, None, 3), (3, "w", "y" * 200, None, 4), (3, "w", "y" * 200, None, 5), (4, None, None, "c", 6)]
+    pages = spark.createDataFrame(made, "page_id long, url string, html string, digest string, first int")
+    found = rows(warc.round_trip(pages), "page_id", "payload_bytes", "record_type", "refers_to")
+    assert found == sorted([(1, len(long), "response", None), (2, len(long), "revisit", 1), (3, len(long), "revisit", 1), (3, 200, "response", None), (3, 200, "response", None), (4, 0, "response", None)], key=repr)
