@@ -85,6 +85,15 @@ def masked(rows: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame:
     return joined.select(*[F.col(f"`{c}`") for c in rows.columns], hit.alias("in_mask"))
 
 
+def leave_out(rows: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame:
+    """`rows` whose `key` is not among `keys` (null is like null); only rows that the mask lets through are shuffled for it."""
+    keys = keys.select(F.col(name).cast(rows.schema[key].dataType).alias("__key")).distinct()
+    marked = masked(rows, key, keys, "__key")
+    left = marked.where("in_mask")
+    left = left.join(keys, left[key].eqNullSafe(keys["__key"]), "left_anti")
+    return marked.where("not in_mask").unionByName(left).drop("in_mask")
+
+
 def mask(keys: DataFrame, name: str) -> np.ndarray:
     """One bit set for each key, 2^23 bits whatever the number of keys.
 

@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import whole
+from tallymill.llm.common import whole, leave_out
 
 WINDOW = 8  # words
 LEAST_LITERAL = 4  # words of a window that are no placeholder
@@ -257,5 +257,4 @@ def _empty(docs: DataFrame, benchmark: DataFrame, id_col: str, item_col: str) ->
 
 def remove(docs: DataFrame, findings: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """`docs` without the documents of `findings`."""
-    found = findings.select(F.col("doc_id").alias("__found")).distinct()
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col("__found")), "left_anti")
+    return leave_out(docs, id_col, findings, "doc_id")
