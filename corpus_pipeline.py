@@ -2,6 +2,11 @@
 
 Each stage is a function of (spark, docs, sf_dir) that returns a DataFrame; it is written as Parquet
 and read again as the next stage's documents. All but the last return the columns of `documents`.
+
+A null text has no language and goes with the first stage, as does an empty one. Rows that repeat an
+id and a text are copies, of which one stays; rows of one id with other texts are documents that
+the later stages keep or drop together. A null id is kept unless its text goes. Of equal texts the
+row with the largest id stays, of similar ones that with the smallest. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymill.llm import bpe, jaccard, language, radix_dedup, templates
-from tallymill.llm.common import read, stored
+from tallymill.llm.common import leave_out, read, stored
 from tallymill.llm.queries import tokenizer_path
 
 
@@ -37,8 +42,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar texts (five-word shingles, 0.8), the document with the smallest id."""
     found = jaccard.components_of(docs.select("doc_id", "text"), width=5, percent=80)
-    dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped["__dropped"], "left_anti")
+    return leave_out(docs, "doc_id", found.where("doc_id <> component_id"), "doc_id")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
