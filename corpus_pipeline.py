@@ -19,6 +19,14 @@ from tallymill.llm.common import leave_out, read, stored
 from tallymill.llm.queries import tokenizer_path
 
 
+ROWS = 1000  # documents in a batch that goes to Python: Spark's own number is meant for narrow rows
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """For the stage and what is written of it: bounds what a task and its Python hold of texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
+
+
 def _packed(docs: DataFrame) -> DataFrame:
     """Id and text, and all else in one column, so that no name clashes with those of an operator."""
     return docs.select("doc_id", "text", F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("__row"))
@@ -30,28 +38,33 @@ def _unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with a trusted score; texts without a letter go, too."""
+    _small_batches(spark)
     model = language.train(language.sample(docs))
     return _unpacked(language.identify(_packed(docs), model).where("accepted"), docs)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the largest id."""
+    _small_batches(spark)
     return _unpacked(radix_dedup.dedup(_packed(docs)).where("kept"), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar texts (five-word shingles, 0.8), the document with the smallest id."""
+    _small_batches(spark)
     found = jaccard.components_of(docs.select("doc_id", "text"), width=5, percent=80)
     return leave_out(docs, "doc_id", found.where("doc_id <> component_id"), "doc_id")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that give away no benchmark item."""
+    _small_batches(spark)
     return templates.remove(docs, templates.find(docs.select("doc_id", "text"), read(spark, sf_dir, "benchmark")))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, and the digest of the text that they decode to."""
+    _small_batches(spark)
     found = bpe.encode(docs.select("doc_id", "lang", "source", "text"), tokenizer_path())
     return found.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
