@@ -22,7 +22,7 @@ from tallymill.llm.common import without
 
 # The usual splitting rule of byte-level BPE vocabularies (fixed value).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-REMEMBERED = 250_000  # pieces per task process and generation, of which there are two
+REMEMBERED = 100_000  # pieces per task process and generation, of which there are two; about 35 MB each
 LONGEST = 64  # characters of a piece that is remembered
 
 
