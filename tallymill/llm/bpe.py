@@ -18,7 +18,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tallymill.llm.common import without
+from tallymill.llm.common import REMEMBERED as REMEMBERED_BY
+from tallymill.llm.common import tidy, without
 
 # The usual splitting rule of byte-level BPE vocabularies (fixed value).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -139,16 +140,13 @@ class _Memory:
         return list(map(ids.__getitem__, parts)), list(map(data.__getitem__, parts))
 
 
-_MADE: dict[int, _Memory] = {}
-
-
 def _memory(source: str) -> _Memory:
     """One per process and vocabulary: tasks of a reused worker share it."""
-    key = hash(source)
-    if key not in _MADE:
-        _MADE.clear()
-        _MADE[key] = _Memory(Bpe(source))
-    return _MADE[key]
+    key, made = REMEMBERED_BY.get("bpe", (None, None))
+    if key != hash(source):
+        made = _Memory(Bpe(source))
+        REMEMBERED_BY["bpe"] = hash(source), made
+    return made
 
 
 def _texts(column: pa.ChunkedArray | pa.Array) -> Iterator[str]:
@@ -173,7 +171,7 @@ def _with(docs: DataFrame, path: str, added: list[T.StructField], of_text, text_
                 columns = [pa.array([m[i] for m in made], t.type) for i, t in enumerate(types)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *types.names])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run, "bpe"), schema)
 
 
 def _encoded(memory: _Memory, text: str) -> tuple[list[int], str]:

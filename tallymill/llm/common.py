@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,3 +112,32 @@ def mask(keys: DataFrame, name: str) -> np.ndarray:
 
 def in_mask(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
     return (bits[places >> 6] >> (places & 63)) & 1 == 1
+
+
+#: What operators remember in a Python worker from task to task, by operator.
+REMEMBERED: dict[str, Any] = {}
+
+
+def tidy(run: Callable[[Iterator[Any]], Iterator[Any]], owner: str = "") -> Callable[[Iterator[Any]], Iterator[Any]]:
+    """`run` for `mapInArrow`, in a worker that Spark goes on to use for other operators.
+
+    What another operator than `owner` remembers there is dropped first, and memory that is free is
+    given back at the end, or a worker would hold the most that any operator has ever needed.
+    """
+
+    def wrapped(batches: Iterator[Any]) -> Iterator[Any]:
+        from tallymill.llm import common  # the worker's own, not a copy that travels with the function
+
+        for name in [n for n in common.REMEMBERED if n != owner]:
+            del common.REMEMBERED[name]
+        yield from run(batches)
+        common.give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)

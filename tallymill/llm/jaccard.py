@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import discard, in_mask, mask, mask_place, stored
+from tallymill.llm.common import discard, in_mask, mask, mask_place, stored, tidy
 
 BLOCK = 4000  # documents whose first tokens are combined before they are shuffled
 SHARES = (4, 48, 24)  # see `_spare`
@@ -251,7 +251,7 @@ def _sets_of(texts: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(tokens, pa.list_(pa.int64()))], ["node", "tokens"])
 
     placed = texts.select("node", "text", mask_place(F.col("node")).alias("place"))
-    return placed.mapInArrow(run, "node long, tokens array<long>").join(ids, "node", "left_semi")
+    return placed.mapInArrow(tidy(run), "node long, tokens array<long>").join(ids, "node", "left_semi")
 
 
 def _only(sets: DataFrame, ids: DataFrame) -> DataFrame:
@@ -262,7 +262,7 @@ def _only(sets: DataFrame, ids: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.select([0, 1]).filter(pa.array(in_mask(bits.value, batch.column(2).to_numpy())))
 
-    return sets.select("node", "tokens", mask_place(F.col("node")).alias("place")).mapInArrow(run, "node long, tokens array<long>")
+    return sets.select("node", "tokens", mask_place(F.col("node")).alias("place")).mapInArrow(tidy(run), "node long, tokens array<long>")
 
 
 def _lists(column: pa.Array) -> list[np.ndarray]:
@@ -328,7 +328,7 @@ def _within_groups(chosen: DataFrame, sets: DataFrame, percent: int) -> DataFram
     heads = sizes.select("leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.col("leader").alias("node"))
     rows = member.unionByName(heads).join(sets, "node").select("leader", "salt", "node", "tokens")
     order = ["leader", "salt", F.col("node") != F.col("leader"), "node"]
-    return rows.repartition("leader", "salt").sortWithinPartitions(*order).mapInArrow(_group_links(percent, GROUP), "a long, b long")
+    return rows.repartition("leader", "salt").sortWithinPartitions(*order).mapInArrow(tidy(_group_links(percent, GROUP)), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -452,7 +452,7 @@ def _across_groups(named: DataFrame, chosen: DataFrame, sets: DataFrame, percent
     to meet a group that it could be linked with.
     """
     held = named.select("node", "label").distinct()
-    sketches = sets.join(held.select("node"), "node", "left_semi").mapInArrow(_sketched, "node long, size long, sketch binary")
+    sketches = sets.join(held.select("node"), "node", "left_semi").mapInArrow(tidy(_sketched), "node long, size long, sketch binary")
     # sizes of linked sets are at most a class apart
     kind = F.floor(F.log(F.col("size").cast("double")) / (1.000001 * math.log(100 / percent))).cast("int")
     own = held.join(chosen, "node", "left").withColumn("leader", F.coalesce("leader", "node")).join(sketches, "node").withColumn("kind", kind)
@@ -477,12 +477,12 @@ def _across_groups(named: DataFrame, chosen: DataFrame, sets: DataFrame, percent
         asking = opened.join(mine.select("node", "label", "size", "sketch"), "node").withColumn("asks", F.lit(True))
         rows = mine.withColumn("asks", F.lit(False)).unionByName(asking)
         order = ["leader", "kind", "salt", "asks", "node"]
-        near = rows.repartition("leader", "kind", "salt").sortWithinPartitions(*order).mapInArrow(_open(percent, best), "a long, b long")
+        near = rows.repartition("leader", "kind", "salt").sortWithinPartitions(*order).mapInArrow(tidy(_open(percent, best)), "a long, b long")
         near = stored(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near")
         some = stored(_only(sets, near.select(F.explode(F.array("a", "b")).alias("node"))), "some-sets")
         one = near.join(some.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
         two = one.join(some.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y")
-        found = two.mapInArrow(_verify(percent), "a long, b long")
+        found = two.mapInArrow(tidy(_verify(percent)), "a long, b long")
         found = found.join(label_of.select(F.col("node").alias("a"), F.col("now").alias("one")), "a")
         found = found.join(label_of.select(F.col("node").alias("b"), F.col("now").alias("two")), "b")
         found = stored(found.select(F.col("one").alias("a"), F.col("two").alias("b")).distinct(), "joined")
@@ -505,14 +505,14 @@ def components_of(docs: DataFrame, width: int = 5, percent: int = 80, id_col: st
     all count. A null id is linked with nothing, and its component is null.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    facts = stored(texts.mapInArrow(_facts(width), "node long, n_shingles long, digest binary"), "facts")
+    facts = stored(texts.mapInArrow(tidy(_facts(width)), "node long, n_shingles long, digest binary"), "facts")
     alike = facts.where("n_shingles > 0 and node is not null").groupBy("digest").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1")
     same = stored(facts.join(alike, "digest").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct(), "same")
 
-    placed = texts.mapInArrow(_placed(width, percent), "sig long, node long, leader long, shared boolean")
+    placed = texts.mapInArrow(tidy(_placed(width, percent)), "sig long, node long, leader long, shared boolean")
     key = F.when(F.col("node") == F.col("leader"), F.col("sig")).otherwise(F.xxhash64("sig", "node"))
     dealt = placed.repartition(key).sortWithinPartitions("sig", "node")
-    every = stored(dealt.mapInArrow(_together, "sig long, node long, leader long"), "shared")
+    every = stored(dealt.mapInArrow(tidy(_together), "sig long, node long, leader long"), "shared")
     common, (few, most, many) = F.ceil(F.col("n_shingles") * percent / 100), SHARES
     least = F.greatest(F.lit(1), F.least(F.floor(common / few), F.lit(most)), F.floor(common / many)).cast("long")  # as in `least_shared`
     needs = facts.where("n_shingles > 0").groupBy("node").agg(F.min(least).alias("least"))

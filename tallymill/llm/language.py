@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tallymill.llm.common import without
+from tallymill.llm.common import tidy, without
 
 SAMPLE = {"rows_per_label": 1200, "rows": 12000, "chars": 1500}  # bounds of the training sample
 BUCKETS, DIM = 1 << 15, 16
@@ -196,4 +196,4 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                 columns = [pa.array([m[i] for m in made], f.type) for i, f in enumerate(added)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *added.names])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)

@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import whole, leave_out
+from tallymill.llm.common import leave_out, whole
 
 WINDOW = 8  # words
 LEAST_LITERAL = 4  # words of a window that are no placeholder
