@@ -91,7 +91,7 @@ def masked(rows: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame:
 
 def leave_out(rows: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame:
     """`rows` whose `key` is not among `keys` (null is like null); only rows that the mask lets through are shuffled for it."""
-    keys = keys.select(F.col(name).cast(rows.schema[key].dataType).alias("__key")).distinct()
+    keys = stored(keys.select(F.col(name).cast(rows.schema[key].dataType).alias("__key")).distinct(), "left-out")  # read twice
     marked = masked(rows, key, keys, "__key")
     left = marked.where("in_mask")
     left = left.join(keys, left[key].eqNullSafe(keys["__key"]), "left_anti")
