@@ -94,6 +94,7 @@ def shard(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str = "
 
 
 def write_shards(docs: DataFrame, path: str, limit: int, **named) -> None:
-    """Write each shard as one Parquet folder `shard=<prefix>` below `path`."""
+    """Write each shard as one Parquet folder `shard=b<prefix>` below `path`; the letter keeps prefixes from being read as numbers."""
     placed = shard(docs, limit, **named).drop("depth", "shard_bytes", "shard_rows", "fits")
+    placed = placed.withColumn("shard", F.concat(F.lit("b"), "shard"))
     placed.repartition("shard").write.partitionBy("shard").parquet(path)

@@ -251,7 +251,9 @@ def test_shards(documents, spark, tmp_path):
     assert sharding.shard(documents([]), 500).count() == 0
     assert {r.shard for r in sharding.shard(documents(rows), 10**9).collect()} == {""}
     sharding.write_shards(documents(rows), str(tmp_path / "out"), 500)
-    assert spark.read.parquet(str(tmp_path / "out")).count() == len(rows)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == len(rows)
+    assert {r.shard for r in back.select("shard").distinct().collect()} == {f"b{n}" for n in names}
 
 
 def test_encoding_agrees_with_the_library(documents):
