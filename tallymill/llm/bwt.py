@@ -21,9 +21,9 @@ def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
         alive &= code != END
     known = PACKED
     while True:
-        order = np.argsort(key, kind="stable")
         if known >= depth:
-            return order
+            return np.argsort(key, kind="stable")
+        order = np.argsort(key)  # the order of equal keys does not matter yet
         sorted_key = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.concatenate(([False], sorted_key[1:] != sorted_key[:-1]))[:n])
