@@ -5,8 +5,11 @@ equals. Equal windows have equal anchors, so windows that do not share their anc
 place are settled by one small row per anchor. The bytes around an anchor whose windows it stands
 for are its segment. Segments that agree are told by a digest: all but the first are repeats in
 full, and within a block of documents they do not even leave the task. Only the first of each of
-several different segments of an anchor is cut out and sent to the interval expansion in `bwt`,
-which says which windows agree. Anchors with very many different segments are split by window.
+several different segments of an anchor is cut out. Its windows fall into pieces by where the anchor
+stands in them; windows of one piece share most of their bytes, and equal windows are in pieces that
+share them all. Pieces that share theirs with no other are dropped, the rest goes to the interval
+expansion in `bwt`, which says which windows agree. An anchor with more different segments than one
+transform takes is split into its pieces first, and those into smaller ones where that is not enough.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ GRAM = 24  # bytes of an anchor
 PIECE = 1 << 22  # windows of a text that are hashed at a time; an anchor's place takes 24 bits
 BLOCK = 1 << 25  # bytes of documents whose equal segments are combined before they are shuffled
 TEXT = 1 << 21  # bytes of segments in one transform
-MOST = 4096  # different segments of an anchor that go through one transform
+MOST = 4096  # different segments of an anchor that go through one transform; more are split into pieces
 BASE = 0x9E3779B97F4A7C15 | 1
 _TABLE = np.random.default_rng(11).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -167,10 +170,88 @@ def _cut(least: int):
     return run
 
 
+def _steps(least: int) -> list[int]:
+    """Places of an anchor that make a piece, from the widest pieces to single windows."""
+    wide = -(-(least - GRAM + 1) // 4)
+    return sorted({wide, -(-wide // 4), 1}, reverse=True)
+
+
+def _pieces(gram: np.ndarray, data: np.ndarray, lengths: np.ndarray, least: int, step: int) -> tuple[np.ndarray, ...]:
+    """(segment, first and last window, digest) of the windows with the anchor at `step` neighbouring places.
+
+    The digest is of the bytes that lie in all windows of such a piece. `data` holds the segments one
+    after the other, `gram` their anchors. Pieces of a segment come from its end to its start.
+    """
+    starts, more = np.cumsum(lengths) - lengths, lengths - least
+    up, down = _power(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_TABLE[data] * up[: len(data)], out=sums[1:])
+    sites = least - GRAM + 1 - more  # where a gram is in every window
+    owner = np.repeat(np.arange(len(lengths)), sites)
+    at = np.arange(len(owner)) - (np.cumsum(sites) - sites - starts - more)[owner]
+    hit = np.flatnonzero(_mix((sums[at + GRAM] - sums[at]) * down[at]) == gram[owner])
+    place = (at - starts[owner])[hit[np.r_[True, owner[hit[1:]] != owner[hit[:-1]]]]]  # the leftmost, as in `anchors`
+
+    lowest = (place - more) // step
+    count = place // step - lowest + 1
+    owner = np.repeat(np.arange(len(lengths)), count)
+    kind = np.arange(len(owner)) - (np.cumsum(count) - count - lowest)[owner]
+    near, far = place[owner] - kind * step, place[owner] - np.minimum((kind + 1) * step - 1, least - GRAM)
+    begin, end = starts[owner] + near, starts[owner] + far + least
+    digest = _mix(_mix((sums[end] - sums[begin]) * down[begin]) + kind.astype(np.uint64) * np.uint64(BASE))
+    return owner, np.maximum(far, 0), np.minimum(near, more[owner]), digest
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The strings of a column one after the other, and their lengths."""
+    strings = column.to_pylist()
+    return np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings], np.int64)
+
+
+def _split(least: int, step: int):
+    """(anchor, gram, doc, at, bytes) of the pieces of segments (gram, doc, at, bytes), each under its digest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole_batch in batches:
+            for start in range(0, whole_batch.num_rows, MOST):
+                batch = whole_batch.slice(start, MOST)
+                gram, doc, at = (batch.column(i).to_numpy() for i in range(3))
+                data, lengths = _bytes(batch.column(3))
+                owner, first, last, digest = _pieces(gram.view(np.uint64), data, lengths, least, step)
+                begin = (np.cumsum(lengths) - lengths)[owner]
+                text = data.tobytes()
+                cut = [text[a:b] for a, b in zip(begin + first, begin + last + least, strict=True)]
+                columns = [digest.view(np.int64), gram[owner], doc[owner], at[owner] + first]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(cut, pa.binary())], ["anchor", "gram", "doc", "at", "bytes"])
+
+    return run
+
+
+def _likely(batch: pa.RecordBatch, least: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(doc, at, bytes) of what is left of segments without the pieces that share their bytes with no other."""
+    gram, doc, at = (batch.column(i).to_numpy() for i in (1, 2, 3))
+    data, lengths = _bytes(batch.column(4))
+    owner, first, last, digest = _pieces(gram.view(np.uint64), data, lengths, least, _steps(least)[0])
+    order = np.argsort(digest)
+    same = np.r_[False, digest[order[1:]] == digest[order[:-1]], False]
+    shared = np.empty(len(order), bool)
+    shared[order] = same[:-1] | same[1:]
+    owner, first, last = owner[shared], first[shared], last[shared]
+    if not len(owner):
+        return doc[:0], at[:0], []
+    runs = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (last[1:] + 1 != first[:-1])])
+    first, last, owner = first[np.r_[runs[1:], len(first)] - 1], last[runs], owner[runs]
+    begin, text = (np.cumsum(lengths) - lengths)[owner], data.tobytes()
+    return doc[owner], at[owner] + first, [text[a:b] for a, b in zip(begin + first, begin + last + least, strict=True)]
+
+
 def _expand(least: int):
-    """Windows (doc, at, more) that an earlier segment has, by transforms of up to TEXT bytes; input sorted by anchor."""
+    """Windows (doc, at, more) that an earlier segment has, by transforms of up to TEXT bytes; input (anchor, gram,
+    doc, at, bytes) sorted by anchor."""
 
     def solve(doc: np.ndarray, at: np.ndarray, strings: list[bytes]) -> pa.RecordBatch:
+        if not strings:
+            return _record(["doc", "at", "more"], doc, at, np.zeros(0, np.int32))
         groups = window_groups(strings, least)
         sizes = [len(g) for g in groups]
         number = np.concatenate(groups)
@@ -187,11 +268,11 @@ def _expand(least: int):
         size = 0
 
         def done(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return _merged(solve(batch.column(1).to_numpy(), batch.column(2).to_numpy(), batch.column(3).to_pylist()))
+            return _merged(solve(*_likely(batch, least)))
 
         for batch in batches:
             while batch.num_rows:
-                ends = np.cumsum(pc.binary_length(batch.column(3)).to_numpy()) + size
+                ends = np.cumsum(pc.binary_length(batch.column(4)).to_numpy()) + size
                 over = int(np.searchsorted(ends, TEXT))
                 anchor = batch.column(0).to_numpy()
                 # past the size, the text goes on to the end of its anchor
@@ -232,23 +313,35 @@ def repeats(texts: DataFrame, least: int = LEAST) -> DataFrame:
     found = settled.where("whole").select("doc", "at", "more")
 
     several = settled.where("not whole")
-    many = several.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > MOST).select("anchor")
+    many = _many(several)
     by_doc = several.groupBy("doc").agg(F.collect_list(F.struct("anchor", "at", "more")).alias("cut"))
     likely = kept_by(mask(by_doc, "doc"), texts, "doc")
     cut = likely.join(by_doc, "doc").select("doc", "text", "cut").mapInArrow(_cut(least), "anchor long, doc long, at long, bytes binary")
-    cut = stored(cut, "cut")
-    few = cut.join(many, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
-    found = found.unionByName(few.mapInArrow(_expand(least), "doc long, at long, more int"))
-    return found.unionByName(_by_window(cut.join(many, "anchor", "left_semi"), least))
-
-
-def _by_window(cut: DataFrame, least: int) -> DataFrame:
-    """The same for anchors with very many different segments: their windows meet by their bytes."""
-    windows = cut.select("doc", "at", "bytes", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - least)).alias("i"))
-    windows = windows.select("doc", (F.col("at") + F.col("i")).alias("at"), F.expr(f"substring(bytes, i + 1, {least})").alias("w"))
-    first = windows.groupBy("w").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    again = windows.join(first, "w").where(F.struct("doc", "at") > F.col("first"))
-    return again.select("doc", "at", F.lit(0).alias("more"))
+    cut = stored(cut, "cut").select("anchor", F.col("anchor").alias("gram"), "doc", "at", "bytes")
+    windows = "doc long, at long, more int"
+    for step in _steps(least):
+        if many.isEmpty():
+            break
+        few, hot = cut.join(many, "anchor", "left_anti"), cut.join(many, "anchor", "left_semi")
+        found = found.unionByName(_dealt(few).mapInArrow(_expand(least), windows))
+        pieces = hot.select("gram", "doc", "at", "bytes").mapInArrow(_split(least, step), "anchor long, gram long, doc long, at long, bytes binary")
+        pieces = stored(pieces, "pieces")
+        first = pieces.groupBy("anchor", "gram", "bytes").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n"))
+        first = stored(first, "first-pieces")
+        again = pieces.join(first.where("n > 1"), ["anchor", "gram", "bytes"]).where(F.struct("doc", "at") > F.col("first"))
+        found = found.unionByName(again.select("doc", "at", (F.octet_length("bytes") - least).alias("more")))
+        cut = first.select("anchor", "gram", "first.doc", "first.at", "bytes")
+        many = _many(cut)
+    return found.unionByName(_dealt(cut).mapInArrow(_expand(least), windows))
+
+
+def _many(segments: DataFrame) -> DataFrame:
+    """Anchors with more different segments than one transform takes."""
+    return stored(segments.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > MOST).select("anchor"), "hot-anchors")
+
+
+def _dealt(segments: DataFrame) -> DataFrame:
+    return segments.repartition("anchor").sortWithinPartitions("anchor").select("anchor", "gram", "doc", "at", "bytes")
 
 
 def kept_by(bits: np.ndarray, df: DataFrame, name: str, wanted: bool = True) -> DataFrame:

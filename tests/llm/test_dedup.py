@@ -172,7 +172,7 @@ def texts_with_passages():
     return rows + [(60, rows[20][1]), (61, rows[20][1])]
 
 
-@pytest.mark.parametrize("most", [suffix_dedup.MOST, 1])
+@pytest.mark.parametrize("most", [suffix_dedup.MOST, 5, 1])
 def test_repeated_strings(documents, monkeypatch, most):
     monkeypatch.setattr(suffix_dedup, "MOST", most)
     rows = texts_with_passages()
@@ -182,6 +182,29 @@ def test_repeated_strings(documents, monkeypatch, most):
         assert sum(s.end - s.start for s in got[i].spans) == len((text or "").encode()) - len(kept)
 
 
+@pytest.mark.parametrize("step", suffix_dedup._steps(100))
+def test_pieces_of_segments(step):
+    """Each window of a segment is in one piece, and equal windows are in pieces of one digest."""
+    passage = bytes(rnd.choices(b"abcd", k=160))
+    digests = {}
+    for _ in range(40):
+        a, b = sorted((rnd.randint(0, 60), rnd.randint(100, 160)))
+        data = np.frombuffer(bytes(rnd.choices(b"xyz", k=90)) + passage[a:b] + bytes(rnd.choices(b"xyz", k=90)), np.uint8)
+        for anchor, _, at, more in suffix_dedup.anchors(data, 100):
+            lengths = more + 100
+            joined = np.concatenate([data[p : p + k] for p, k in zip(at, lengths, strict=True)])
+            owner, first, last, digest = suffix_dedup._pieces(anchor, joined, lengths, 100, step)
+            assert sorted(at[o] + i for o, f, t in zip(owner, first, last, strict=True) for i in range(f, t + 1)) == list(range(len(data) - 99))
+            for o, f, t, d in zip(owner, first, last, digest, strict=True):
+                assert t - f < step
+                for i in range(at[o] + f, at[o] + t + 1):
+                    assert digests.setdefault(data[i : i + 100].tobytes(), d) == d
+
+
+def test_no_documents_have_no_repeats(documents):
+    assert suffix_dedup.remove(documents([])).collect() == []
+
+
 def test_repeated_ids_are_documents_of_their_own(documents):
     text = "abcdefghij" * 11 + "klm"
     got = suffix_dedup.remove(documents([(1, text), (1, text), (None, text + "!")])).collect()
