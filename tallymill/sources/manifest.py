@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,29 +12,44 @@ from tallymill.sources.versions import VersionedTable
 CELLS = ["name", "last_modified", "size", "type", "description"]
 
 
+CHUNK = 1024  # row numbers whose levels are looked at together
+
+
 def listing_to_manifest(listing: DataFrame, by: str | None = None) -> DataFrame:
     """CSV files of the first folder in a listing table (row_no, data_level, five text cells).
 
     The block starts at the first level-2 row and ends before the first later row whose level is
-    neither 2 nor 3. Both ends are minima, found by aggregation and joined back, so the listing is
-    never sorted or gathered. `by` names a column that tells several listings apart.
+    neither 2 nor 3; rows without a level end nothing. Both ends come from one pass over the rows
+    that are no files, within chunks of row numbers first and over the chunks of a listing then, so
+    a listing is never sorted or gathered. `by` names a column that tells several listings apart.
     """
-    keys = [by] if by else []
-    level, row = F.col("data_level"), F.col("row_no")
+    keys = [by] if by else ["_all"]
     listing = listing if by else listing.withColumn("_all", F.lit(1))
-    keys = keys or ["_all"]
-    starts = listing.where(level == 2).groupBy(*keys).agg(F.min(row).alias("_start"))
-    inside = listing.join(F.broadcast(starts) if keys == ["_all"] else starts, keys).where(row > F.col("_start"))
-    ends = inside.where(~level.isin(2, 3)).groupBy(*keys).agg(F.min(row).alias("_end"))
-    block = inside.join(F.broadcast(ends) if keys == ["_all"] else ends, keys, "left").where(
-        F.col("_end").isNull() | (row < F.col("_end"))
-    )
+    level, row = F.col("data_level"), F.col("row_no")
+    bounds = _block(listing.where(level != 3).select(*keys, row, level), keys)
+    inside = listing.join(bounds if by else F.broadcast(bounds), keys)
+    inside = inside.where((row > F.col("_start")) & (F.col("_end").isNull() | (row < F.col("_end"))))
     cells = [F.trim(c).alias(c) for c in CELLS]
-    return block.where((level == 3) & (F.trim(F.col("type")) == "CSV file")).select(
+    return inside.where((level == 3) & (F.trim(F.col("type")) == "CSV file")).select(
         *([by] if by else []), "row_no", *cells
     )
 
 
+def _block(marks: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _start, _end): the first level-2 row, and the first row of another level after it, if any."""
+    level, row = F.col("data_level"), F.col("row_no")
+    chunks = marks.groupBy(*keys, F.floor(row / CHUNK).alias("_chunk")).agg(
+        F.min(F.when(level == 2, row)).alias("_folder"),
+        F.min(F.when(level != 2, row)).alias("_stop"),
+        F.collect_set(F.when(level != 2, row)).alias("_stops"),
+    )
+    later = F.array_min(F.filter("_stops", lambda r: r > F.col("_folder")))
+    everywhere = Window.partitionBy(*keys)
+    chunks = chunks.withColumn("_later", later).withColumn("_start", F.min("_folder").over(everywhere))
+    end = F.when(F.col("_folder") == F.col("_start"), F.col("_later")).when(F.col("_stop") > F.col("_start"), F.col("_stop"))
+    return chunks.where("_start is not null").groupBy(*keys).agg(F.min("_start").alias("_start"), F.min(end).alias("_end"))
+
+
 def classify(manifest: DataFrame, state: DataFrame) -> DataFrame:
     """Every known or listed file with its status: new, updated, unchanged or missing.
 

@@ -119,6 +119,34 @@ def test_listing_block(spark, rows):
     assert rows(manifest.listing_to_manifest(open_ended), "name") == [("a",), ("c",)]
 
 
+def test_listing_block_over_chunks(spark, rows, monkeypatch, tmp_path):
+    """Random listings against a walk in row order; nulls in any column; the listing is read twice."""
+    monkeypatch.setattr(manifest, "CHUNK", 7)
+    rng = random.Random(5)
+    data, expected = [], set()
+    for name in ("a", "b", "c", "d", "e", "f", None):
+        numbers = rng.sample(range(-20, 200), 90)
+        of_listing = [(name, n, rng.choice([3] * 30 + [2, 1, None]), f"file {n}", rng.choice(["CSV file ", "Folder", None])) for n in numbers]
+        of_listing.append((name, None, 3, "nowhere", "CSV file"))
+        data += of_listing
+        began = ended = False
+        for _, n, level, cell, kind in sorted((r for r in of_listing if r[1] is not None), key=lambda r: r[1]):
+            if began and level not in (2, 3, None):
+                ended = True
+            if began and not ended and level == 3 and kind == "CSV file " and name:
+                expected.add((name, cell))
+            began = began or level == 2
+    data.append(("no folder", 1, 3, "x", "CSV file"))
+    df = spark.createDataFrame(data, "listing string, row_no long, data_level int, name string, type string")
+    df = df.withColumns({c: F.lit("") for c in ("last_modified", "size", "description")})
+    df.write.parquet(str(tmp_path / "listing"))
+    found = manifest.listing_to_manifest(spark.read.parquet(str(tmp_path / "listing")), by="listing")
+    assert expected and {(r["listing"], r["name"]) for r in found.collect()} == expected and found.count() == len(expected)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 2
+    assert manifest.listing_to_manifest(df.where("false"), by="listing").count() == 0
+    assert manifest.listing_to_manifest(df.where("false").drop("listing")).count() == 0
+
+
 def test_manifest_is_matched_by_name(spark, rows):
     now = spark.createDataFrame([("new", 5), ("same", 3), ("changed", 9)], "name string, last_modified int")
     state = spark.createDataFrame(
