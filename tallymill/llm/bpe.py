@@ -24,6 +24,7 @@ from tallymill.llm.common import tidy, without
 # The usual splitting rule of byte-level BPE vocabularies (fixed value).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 REMEMBERED = 100_000  # pieces per task process and generation, of which there are two; about 35 MB each
+SHORT = 48  # bytes of a piece whose pairs are looked through for the next one to merge
 LONGEST = 64  # characters of a piece that is remembered
 
 
@@ -59,6 +60,19 @@ class Bpe:
         byte_ids, ranks, pairs = self.byte_ids, self.ranks, self.pairs
         ids = [byte_ids[b] for b in data]
         found = ranks.get
+        if n <= SHORT:
+            # the queue is a plain list, whose smallest entry is the leftmost pair of lowest rank
+            none = len(pairs)
+            queue = [found(pair, none) for pair in zip(ids, ids[1:])]
+            while queue and (rank := min(queue)) < none:
+                i = queue.index(rank)
+                ids[i] = made = pairs[rank][2]
+                del ids[i + 1], queue[i]
+                if i < len(queue):
+                    queue[i] = found((made, ids[i + 1]), none)
+                if i:
+                    queue[i - 1] = found((ids[i - 1], made), none)
+            return ids
         queue = [(r, i) for i, pair in enumerate(zip(ids, ids[1:])) if (r := found(pair)) is not None]
         if not queue:
             return ids

@@ -366,3 +366,14 @@ def test_archives_of_odd_pages(spark, rows):
     pages = spark.createDataFrame(made, "page_id long, url string, html string, digest string, first int")
     found = rows(warc.round_trip(pages), "page_id", "payload_bytes", "record_type", "refers_to")
     assert found == sorted([(1, len(long), "response", None), (2, len(long), "revisit", 1), (3, len(long), "revisit", 1), (3, 200, "response", None), (3, 200, "response", None), (4, 0, "response", None)], key=repr)
+
+
+def test_short_pieces_merge_without_a_heap_as_with_one(monkeypatch):
+    with open(queries.tokenizer_path(), encoding="utf-8") as file:
+        model = bpe.Bpe(file.read())
+    pieces = [p.encode() for p in (" internationalisation", "aaaaaaaaaaa", "ééé", "  \n\n", "x", "", "1234567890" * 4)]
+    monkeypatch.setattr(bpe, "SHORT", 0)
+    by_heap = [model.merge(p) for p in pieces]
+    monkeypatch.setattr(bpe, "SHORT", 48)
+    monkeypatch.setattr(bpe.heapq, "heapify", None)
+    assert [model.merge(p) for p in pieces] == by_heap
