@@ -71,9 +71,12 @@ def last_values(rows: DataFrame, by: Sequence[str], inputs: Sequence[str]) -> Da
     """(by, one column per input): the last value of each input, from rows of `by`, `input`, `ts`, `value`.
 
     Of samples with one time the largest counts, so that a repeated run gives the same. Rows meet
-    once, by group; both aggregations run there on hash tables.
+    once, by group; both aggregations run there on hash tables, which hold every time of a group. The
+    number of partitions is fixed: samples of a series are so alike that partitions joined up to
+    Spark's size of compressed bytes would hold millions of them.
     """
-    exact = rows.repartition(*by).groupBy(*by, "ts").agg(
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    exact = rows.repartition(parts, *by).groupBy(*by, "ts").agg(
         *[F.max(F.when(F.col("input") == n, F.col("value"))).alias(n) for n in inputs]
     )
     return exact.groupBy(*by).agg(*[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("ts"))).alias(n) for n in inputs])

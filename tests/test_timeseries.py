@@ -304,3 +304,10 @@ def test_all_alerts_at_once_agree_with_each_alone(spark, rows):
     together = rows(monitoring.all_alert_rows(source, monitoring.ALERTS))
     assert together == sorted((r for a in monitoring.ALERTS for r in rows(monitoring.alert_rows(source, a))), key=repr)
     assert len({r[0] for r in together}) > 12
+
+
+def test_last_values_are_spread_however_small_their_shuffle_is(spark):
+    df = spark.range(2000).selectExpr("id % 50 AS k", "'x' AS input", "id AS ts", "cast(id AS double) AS value")
+    found = ts.last_values(df, ["k"], ["x"])
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert {r["k"]: r["x"] for r in found.collect()} == {k: 1950.0 + k for k in range(50)}
