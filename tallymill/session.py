@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +29,35 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
     return builder.getOrCreate()
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """`value` for one setting of the session while the block runs."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def folders_side_by_side(spark: SparkSession) -> AbstractContextManager[None]:
+    """While the block runs, a task writes to up to 32 folders at once; only beyond that does it sort its rows by folder."""
+    return setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "32")
+
+
+def small_partitions(spark: SparkSession) -> None:
+    """Bounds what AQE joins to one partition, in this session from here on, unless it has a bound of its own.
+
+    Rows of texts that are much alike take ten to a hundred times their size in a shuffle when a
+    task holds them by key, so Spark's 64 MB can be gigabytes there.
+    """
+    if spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None) is None:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir`, as named by the cluster.
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,17 +75,38 @@ def split(messages: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFra
     return accepted(parsed, schema), rejected(parsed)
 
 
+@contextmanager
+def kept_parsed(messages: DataFrame, schema: T.StructType) -> Iterator[DataFrame]:
+    """`parse_or_reject`, kept for several writes while the block runs.
+
+    A task keeps all messages of its part of the source, so they are kept small: the fields in
+    columns of their own, which Spark compresses, and what only a dead letter needs of its message
+    (all but the topic) for dead letters only. A lost block is read from the source and parsed again.
+    """
+    parsed = parse_or_reject(messages, schema)
+    dead = F.col("error_message").isNotNull()
+    message = [c for c in messages.columns if c != "topic"]
+    fields = {f"_field{i}": f for i, f in enumerate(schema.fieldNames())}
+    flat = parsed.select(
+        "topic",
+        "error_message",
+        *[F.when(dead, F.col(f"`{c}`")).alias(c) for c in message],
+        *[F.col("d")[f].alias(n) for n, f in fields.items()],
+    ).persist()
+    try:
+        data = F.struct(*[F.col(n).alias(f) for n, f in fields.items()]).alias("d")
+        yield flat.select("topic", *[F.col(f"`{c}`") for c in message], data, "error_message")
+    finally:
+        flat.unpersist()
+
+
 def land_or_reject(messages: DataFrame, schema: T.StructType, good: str, dead: str, checkpoint: str):
     """Stream: good rows to `good`, the others to `dead`; one bad message costs only itself."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # kept parsed for the two writes; a lost block is read from the source and parsed again
-        parsed = parse_or_reject(batch, schema).persist()
-        try:
+        with kept_parsed(batch, schema) as parsed:
             write_batch(accepted(parsed, schema), good, batch_id, by=["topic"])
             write_batch(rejected(parsed), dead, batch_id)
-        finally:
-            parsed.unpersist()
 
     return each_batch(messages, handle, checkpoint)
 
@@ -131,15 +153,12 @@ def land_with_retries(
     arriving = messages.unionByName(mend(back) if mend else back)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_or_reject(batch, schema).persist()
-        try:
+        with kept_parsed(batch, schema) as parsed:
             write_batch(accepted(parsed, schema), f"{out}/good", batch_id, by=["topic"])
             dead = rejected(parsed)
             write_batch(exhausted(dead), f"{out}/exhausted", batch_id)
             # no later batch has read this folder yet, so a batch that runs again may replace it
             as_connector(retry(dead)).select(*columns).write.mode("overwrite").parquet(f"{out}/again/{batch_id:08d}")
-        finally:
-            parsed.unpersist()
 
     while any(p["numInputRows"] for p in each_batch(arriving, handle, checkpoint).recentProgress):
         pass

@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tallymill.session import folders_side_by_side
 from tallymill.sources.tables import append_jdbc, save
 from tallymill.sources.versions import VersionedTable
 
@@ -56,7 +57,8 @@ def write_batch(df: DataFrame, path: str, batch_id: int, by: Sequence[str] = ())
     """
     target = f"{path}/batch_id={batch_id}"
     writer = (df.hint("rebalance", *by) if by else df).write.mode("overwrite")
-    (writer.partitionBy(*by) if by else writer).parquet(target)
+    with folders_side_by_side(df.sparkSession):
+        (writer.partitionBy(*by) if by else writer).parquet(target)
     return target
 
 

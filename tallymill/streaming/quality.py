@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from tallymill.operators import suite
 from tallymill.operators.checks import Check
-from tallymill.sources.topics import parse_or_reject
 from tallymill.streaming import dead_letters
 from tallymill.streaming.land import each_batch, write_batch
 
@@ -86,14 +85,10 @@ def land_routed(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # kept parsed for the two writes; a lost block is read from the source and parsed again
-        parsed = parse_or_reject(batch, schema).persist()
-        try:
+        with dead_letters.kept_parsed(batch, schema) as parsed:
             write_batch(dead_letters.rejected(parsed), f"{out}/dead", batch_id)
             routed = suite.routed(dead_letters.accepted(parsed, schema), checks, dict(actions))
             stored_at = write_batch(routed, f"{out}/rows", batch_id, by=["topic", "route"])
-        finally:
-            parsed.unpersist()
         kept = spark.read.schema(routed.schema).parquet(stored_at)
         counts = counts_from_flags(kept, checks, ["topic"])
         write_batch(outcomes(counts, checks, actions), f"{out}/outcome", batch_id)

@@ -2,12 +2,13 @@ import json
 from collections import Counter
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tallymill.operators import suite
 from tallymill.operators import timeseries as ts
 from tallymill.plans.count_checks import COUNT_CHECKS
-from tallymill.schemas import MESSAGE, RAW_STREAM, STREAM_FIELDS
+from tallymill.schemas import MESSAGE, RAW_STREAM, STREAM_FIELDS, string_schema
 from tallymill.sources import tables, topics
 from tallymill.sources.versions import VersionedTable
 from tallymill.streaming import dead_letters, land, notify, quality
@@ -342,3 +343,29 @@ def test_one_file_per_folder_of_a_batch(spark, tmp_path):
     stored_at = land.write_batch(df, str(tmp_path), 0, by=["topic"])
     assert len(list((tmp_path / "batch_id=0").glob("topic=*/*.parquet"))) == 3
     assert spark.read.parquet(stored_at).count() == 1000
+
+
+def test_parsed_messages_are_kept_without_what_only_dead_letters_need(spark):
+    schema = string_schema(["a", "topic"])
+    rows = [("t", 1, 10, '{"a": "x", "topic": "own"}'), ("u", 2, 20, '{"a": "y'), (None, 3, 30, None)]
+    df = spark.createDataFrame(rows, 'topic string, partition int, offset bigint, value string')
+    with dead_letters.kept_parsed(df, schema) as parsed:
+        found = {r["topic"]: r for r in parsed.collect()}
+    assert found["t"]["d"].asDict() == {"a": "x", "topic": "own"} and found["t"]["error_message"] is None
+    assert [found["t"][c] for c in ("partition", "offset", "value")] == [None, None, None]
+    assert [found["u"][c] for c in ("partition", "offset", "value")] == [2, 20, '{"a": "y']
+    assert found[None]["error_message"] == "empty message" and found[None]["offset"] == 30
+
+
+def test_a_batch_is_written_by_topic_without_a_sort(spark, tmp_path, monkeypatch, rows):
+    key, seen, parquet = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+
+    def watched(self, *args, **kwargs):
+        seen.append(int(spark.conf.get(key)))
+        return parquet(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    df = spark.range(40).selectExpr("id", "concat('t', id % 40) AS topic")  # more folders than are written side by side
+    stored_at = land.write_batch(df, str(tmp_path), 0, by=["topic"])
+    assert seen == [32] and int(spark.conf.get(key)) == 0
+    assert rows(spark.read.parquet(stored_at), "id", "topic") == rows(df)
