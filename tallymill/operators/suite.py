@@ -12,7 +12,7 @@ from tallymill.functions.keys import surrogate_key
 from tallymill.operators.checks import UNIQUE, Check, rule_of, violation
 from tallymill.operators.rows import evaluate_once, union_all
 from tallymill.operators.skew import attach_counts
-from tallymill.session import work_path
+from tallymill.session import small_partitions, work_path
 
 FAILED = "failed_checks"
 
@@ -208,6 +208,7 @@ def audit_rows(quarantined: DataFrame, batch_id: int) -> DataFrame:
     Copies of one row are counted rather than numbered, so a large group of copies combines on the
     map side and none of them is lost.
     """
+    small_partitions(quarantined.sparkSession)
     data = [c for c in quarantined.columns if c not in (FAILED, "topic")]
     failed = F.concat_ws(",", FAILED).alias(FAILED)
     return (
