@@ -11,6 +11,7 @@ from tallymill.functions.times import parse_date, parse_time_of_day, parse_times
 from tallymill.operators.contract import require_contract
 from tallymill.operators.rows import distinct_rows, lower_names, open_range
 from tallymill.plans import marts, staging
+from tallymill.session import folders_side_by_side, setting, small_partitions
 from tallymill.sources.files import is_complete, read_counts
 from tallymill.sources.manifest import FetchLog, mark_fetched, to_fetch
 from tallymill.sources.tables import Models, overwrite_and_read
@@ -21,6 +22,7 @@ from tallymill.streaming.land import land_once
 
 def clean_counts(raw: DataFrame) -> DataFrame:
     """Distinct rows, unknown paths named, wave split into year and quarter, date and time parsed."""
+    small_partitions(raw.sparkSession)
     rows = distinct_rows(raw).na.fill("Unknown", ["Path"])
     return rows.withColumns(
         {
@@ -44,7 +46,8 @@ def clean_files(spark: SparkSession, root: str, out: str, schema: T.StructType)
     named = cleaned.withColumn("table_name", F.regexp_replace(table, r"\.csv$", ""))
     # rebalance: few files per folder, and a quarter that holds most rows is still split over tasks
     spread = named.hint("rebalance", "file_year", "Quarter")
-    spread.write.mode("overwrite").partitionBy("file_year", "Quarter").parquet(out)
+    with folders_side_by_side(spark):
+        spread.write.mode("overwrite").partitionBy("file_year", "Quarter").parquet(out)
     return spark.read.schema(named.schema).parquet(out)
 
 
@@ -118,6 +121,22 @@ def ingest(
     fetch is logged once. The topic is a folder of messages here; with a broker, publish to it and
     read it with `read_topics` instead.
     """
+    # names that fit are looked up in hash tables, so that the rows need no sort by name
+    with setting(rows.sparkSession, "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m"):
+        return _ingest(listed, rows, log, version, at, fields, schema, topic, out)
+
+
+def _ingest(
+    listed: DataFrame,
+    rows: DataFrame,
+    log: FetchLog,
+    version: str,
+    at: Column,
+    fields: list[str],
+    schema: T.StructType,
+    topic: str,
+    out: str,
+) -> int:
     spark, fetch = rows.sparkSession, log.fetches()
     # the pick is kept, so that a run that takes up a broken fetch works on the same files
     picks = VersionedTable(spark, f"{out}/picked")
