@@ -2,6 +2,7 @@
 
 A piece of text is a doubly linked list of symbols. All neighbouring pairs that can merge stand in
 a priority queue by rank, then by place; an entry whose symbols have changed since is skipped.
+Short pieces, which are nearly all, are merged on plain lists in the same order.
 The vocabulary file has a fixed size and is sent to the executors; pieces are remembered between
 documents up to a fixed number.
 """

@@ -16,7 +16,7 @@ def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
     key, alive = np.zeros(n, np.int64), np.ones(n, bool)
     for j in range(PACKED):
         code = np.zeros(n, np.int64)
-        code[: n - j] = codes[j:]
+        code[: max(n - j, 0)] = codes[j:]
         key = (key << 9) | np.where(alive, code, 0)  # what follows a string's end must not count
         alive &= code != END
     known = PACKED
