@@ -4,7 +4,7 @@ A piece of text is a doubly linked list of symbols. All neighbouring pairs that
 a priority queue by rank, then by place; an entry whose symbols have changed since is skipped.
 Short pieces, which are nearly all, are merged on plain lists in the same order.
 The vocabulary file has a fixed size and is sent to the executors; pieces are remembered between
-documents up to a fixed number.
+documents up to a fixed number, as packed ids.
 """
 
 from __future__ import annotations
@@ -12,8 +12,10 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -24,9 +26,10 @@ from tallymill.llm.common import tidy, without
 
 # The usual splitting rule of byte-level BPE vocabularies (fixed value).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-REMEMBERED = 100_000  # pieces per task process and generation, of which there are two; about 35 MB each
+REMEMBERED = 100_000  # pieces per task process and generation, of which there are two; about 17 MB each
 SHORT = 48  # bytes of a piece whose pairs are looked through for the next one to merge
 LONGEST = 64  # characters of a piece that is remembered
+BLOCK = 128  # documents whose ids and texts a task holds before they go on
 
 
 def _byte_letters() -> dict[int, str]:
@@ -47,10 +50,11 @@ class Bpe:
         self.byte_ids = [vocab[letters[b]] for b in range(256)]
         self.strings = {i: bytes(back[c] for c in t) for t, i in vocab.items() if all(c in back for c in t)}
         self.special = {t["content"]: t["id"] for t in model.get("added_tokens", [])}
+        self.decimals: dict[int, str] = {}
         self.strings |= {i: t.encode() for t, i in self.special.items()}
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"]]
-        self.pairs = [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs]
-        self.ranks = {(a, b): rank for rank, (a, b, _) in enumerate(self.pairs)}
+        self.made = [vocab[a + b] for a, b in pairs]
+        self.ranks = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(pairs)}
         self.pieces = regex.compile(PIECES)
         marks = sorted(self.special, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
@@ -58,16 +62,16 @@ class Bpe:
     def merge(self, data: bytes) -> list[int]:
         """Ids of one piece."""
         n = len(data)
-        byte_ids, ranks, pairs = self.byte_ids, self.ranks, self.pairs
+        byte_ids, ranks, merged = self.byte_ids, self.ranks, self.made
         ids = [byte_ids[b] for b in data]
         found = ranks.get
         if n <= SHORT:
             # the queue is a plain list, whose smallest entry is the leftmost pair of lowest rank
-            none = len(pairs)
+            none = len(merged)
             queue = [found(pair, none) for pair in zip(ids, ids[1:])]
             while queue and (rank := min(queue)) < none:
                 i = queue.index(rank)
-                ids[i] = made = pairs[rank][2]
+                ids[i] = made = merged[rank]
                 del ids[i + 1], queue[i]
                 if i < len(queue):
                     queue[i] = found((made, ids[i + 1]), none)
@@ -82,13 +86,10 @@ class Bpe:
         pop, push = heapq.heappop, heapq.heappush
         while queue:
             rank, i = pop(queue)
-            left, right, made = pairs[rank]
-            if ids[i] != left:
-                continue  # stale: one of the two has merged since
             j = after[i]
-            if j >= n or ids[j] != right:
-                continue
-            k = after[j]
+            if j >= n or found((ids[i], ids[j])) != rank:
+                continue  # stale: one of the two has merged since
+            made, k = merged[rank], after[j]
             ids[i], ids[j], after[i] = made, -1, k
             if k < n:
                 before[k] = i
@@ -115,8 +116,14 @@ class Bpe:
     def encode(self, text: str) -> list[int]:
         return [i for part in self.parts(text) for i in self.piece(part)]
 
+    def listed(self, ids: list[int]) -> str:
+        """The ids in decimal, joined by commas."""
+        if not self.decimals:
+            self.decimals = {i: str(i) for i in self.strings}
+        return ",".join(map(self.decimals.__getitem__, ids))
+
     def decode_bytes(self, ids: list[int]) -> bytes:
-        return b"".join([self.strings[i] for i in ids])
+        return b"".join(map(self.strings.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
         """Text of the ids; bytes that are no UTF-8 become the replacement character."""
@@ -124,35 +131,31 @@ class Bpe:
 
 
 class _Memory:
-    """Ids and bytes of pieces seen before, as what a document's results are joined from.
+    """Ids of pieces seen before, four bytes each, as what a document's ids are joined from.
 
     When a generation is full it becomes the old one: what is met again moves to the new one, and
     what is not is gone with the next change.
     """
 
     def __init__(self, bpe: Bpe) -> None:
-        self.bpe, self.ids, self.bytes = bpe, {}, {}
-        self.old_ids: dict[str, str] = {}
-        self.old_bytes: dict[str, bytes] = {}
+        self.bpe = bpe
+        self.ids: dict[str, bytes] = {}
+        self.old_ids: dict[str, bytes] = {}
 
-    def of(self, text: str) -> tuple[list[str], list[bytes]]:
+    def of(self, text: str) -> np.ndarray:
         parts = self.bpe.parts(text)
         if len(self.ids) > REMEMBERED:
-            self.old_ids, self.old_bytes, self.ids, self.bytes = self.ids, self.bytes, {}, {}
-        ids, data, own = self.ids, self.bytes, {}
+            self.old_ids, self.ids = self.ids, {}
+        ids, own = self.ids, {}
         for part in set(parts).difference(ids):
-            if part in self.old_ids:
-                ids[part], data[part] = self.old_ids[part], self.old_bytes[part]
-                continue
-            found = self.bpe.piece(part)
-            kept = (",".join(map(str, found)), self.bpe.decode_bytes(found))
+            if (kept := self.old_ids.get(part)) is None:
+                kept = array("i", self.bpe.piece(part)).tobytes()
             if len(part) > LONGEST:
                 own[part] = kept
             else:
-                ids[part], data[part] = kept
-        if own:
-            return [own[p][0] if p in own else ids[p] for p in parts], [own[p][1] if p in own else data[p] for p in parts]
-        return list(map(ids.__getitem__, parts)), list(map(data.__getitem__, parts))
+                ids[part] = kept
+        found = [own[p] if p in own else ids[p] for p in parts] if own else map(ids.__getitem__, parts)
+        return np.frombuffer(b"".join(found), np.int32)
 
 
 def _memory(source: str) -> _Memory:
@@ -180,8 +183,8 @@ def _with(docs: DataFrame, path: str, added: list[T.StructField], of_text, text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = _memory(source.value)
         for whole in batches:
-            for start in range(0, whole.num_rows, 512):
-                batch = whole.slice(start, 512)
+            for start in range(0, whole.num_rows, BLOCK):
+                batch = whole.slice(start, BLOCK)
                 made = [of_text(memory, text) for text in _texts(batch.column(text_col))]
                 columns = [pa.array([m[i] for m in made], t.type) for i, t in enumerate(types)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *types.names])
@@ -189,16 +192,15 @@ def _with(docs: DataFrame, path: str, added: list[T.StructField], of_text, text_
     return docs.mapInArrow(tidy(run, "bpe"), schema)
 
 
-def _encoded(memory: _Memory, text: str) -> tuple[list[int], str]:
-    ids, data = memory.of(text)
-    return [int(i) for i in ",".join(ids).split(",")] if ids else [], b"".join(data).decode("utf-8", "replace")
+def _encoded(memory: _Memory, text: str) -> tuple[np.ndarray, str]:
+    ids = memory.of(text)
+    return ids, memory.bpe.decode(ids.tolist())
 
 
 def _digested(memory: _Memory, text: str) -> tuple[int, str, str]:
-    ids, data = memory.of(text)
-    listed = ",".join(ids)
-    decoded = b"".join(data).decode("utf-8", "replace").encode()
-    return listed.count(",") + bool(listed), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
+    ids = memory.of(text).tolist()
+    decoded = memory.bpe.decode(ids).encode()
+    return len(ids), hashlib.sha256(memory.bpe.listed(ids).encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from html.parser import HTMLParser
 
 import pytest
@@ -270,6 +271,33 @@ def test_encoding_agrees_with_the_library(documents):
     assert bpe.encode(documents([]), path).count() == 0
 
 
+def test_pieces_and_ids_are_held_in_few_bytes(monkeypatch):
+    with open(queries.tokenizer_path(), encoding="utf-8") as file:
+        model = bpe.Bpe(file.read())
+    own = random.Random(11)
+    words = [" " + "".join(own.choices("abcdefghij", k=10)) for _ in range(20000)]
+    texts = ["".join(words[i : i + 100]) for i in range(0, len(words), 100)]
+    memory = bpe._Memory(model)
+    tracemalloc.start()
+    for text in texts:
+        bpe._encoded(memory, text)
+    held, _ = tracemalloc.get_traced_memory()
+    found = [bpe._encoded(memory, text) for text in texts]
+    more, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    n_tokens = sum(len(ids) for ids, _ in found)
+    assert held < 190 * len(words)
+    assert more - held < 10 * n_tokens  # ids and decoded text
+    # what is remembered, in either generation or none, changes no result
+    monkeypatch.setattr(bpe, "REMEMBERED", 150)
+    few = bpe._Memory(model)
+    for text, (ids, decoded) in zip([*texts[:3], *texts[:3], "x" * 200, ""], [*found[:3], *found[:3], bpe._encoded(memory, "x" * 200), ([], "")], strict=True):
+        got, back = bpe._encoded(few, text)
+        assert list(got) == list(ids) == model.encode(text) and back == decoded == text
+        listed = ",".join(map(str, model.encode(text)))
+        assert bpe._digested(few, text) == (len(ids), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+
+
 def test_archives(spark, tmp_path):
     big, small = "<p>é" * 100, "<p>"
     rows = [(1, "http://a", big), (2, "http://b\r\nX: y", big), (3, None, small), (4, "u", small), (5, "u", None), (6, "u", "WARC/1.1\r\n\r\n" * 50), (0, "u", big)]
