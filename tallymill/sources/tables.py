@@ -97,6 +97,7 @@ class Models:
             VersionedTable(self.spark, f"{self.root}/{name}").replace(made).createOrReplaceTempView(name)
         else:
             replace_table(made, name)
+            self.spark.catalog.dropTempView(name)  # one that other models left would be read in its place
         self.built = [n for n in self.built if n != name] + [name]
         return self.spark.table(name)
 

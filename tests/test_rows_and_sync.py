@@ -256,6 +256,14 @@ def test_tables_and_models(spark, rows):
         models.add("odd", lambda s: s.range(1), "index")
 
 
+def test_a_table_is_read_where_a_view_had_its_name(spark, rows):
+    spark.range(3).createOrReplaceTempView("model_of_two_kinds")
+    models = tables.Models(spark)
+    models.add("model_of_two_kinds", lambda s: s.range(1), "table")
+    models.add("reads_it", lambda s: s.table("model_of_two_kinds"))
+    assert rows(models.materialise("model_of_two_kinds")) == rows(models.materialise("reads_it")) == [(0,)]
+
+
 def test_warehouse_models(spark, rows):
     raw = counts(spark, {}, {"UnqID": "ML0002"}).withColumn("source", F.lit("2018"))
     fields = ["site_id", "location_description", "borough", "functional_area_for_monitoring", "road_type", "old_site_id_legacy"]
